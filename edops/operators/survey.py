@@ -27,11 +27,21 @@ _BLANKS = " \t\x0b\x0c\x1c\x1d\x1e\x1f"
 def parse_fields(
     records: DataFrame, layout: dict[str, tuple[int, int]] = SURVEY_LAYOUT, raw: str = "raw_record"
 ) -> DataFrame:
-    """Replace ``raw`` by one trimmed text column per layout field."""
-    fields = [
-        F.trim(F.substring(raw, start, width), F.lit(_BLANKS)).alias(name)
-        for name, (start, width) in layout.items()
-    ]
+    """Replace ``raw`` by one trimmed text column per layout field.
+
+    Records are ASCII, so fields are cut by byte; cutting by character would count
+    through the record from its start for every field.
+    """
+    record = F.col(raw).cast("binary")
+
+    def cut(start: int, width: int) -> Column:
+        text = F.trim(F.substring(record, start, width).cast("string"))
+        # Control blanks are rare; only a field that starts or ends with one pays for
+        # the slower trim. They all sort before the space.
+        odd = (text != "") & ((text < " ") | (F.right(text, F.lit(1)) < " "))
+        return F.when(odd, F.trim(text, F.lit(_BLANKS))).otherwise(text)
+
+    fields = [cut(start, width).alias(name) for name, (start, width) in layout.items()]
     return records.select(*[c for c in records.columns if c != raw], *fields)
 
 
@@ -73,7 +83,10 @@ def _any_set(flags: dict[str, Column], names: list[str]) -> Column:
 
 
 def record_id(row_number: Column) -> Column:
-    return F.format_string(f"{SOURCE_YEAR}-%0{RECORD_DIGITS}d", row_number.cast("long"))
+    """Year and row number, zero-padded to at least six digits."""
+    digits = row_number.cast("long").cast("string")
+    width = F.greatest(F.lit(RECORD_DIGITS), F.length(digits))
+    return F.concat(F.lit(f"{SOURCE_YEAR}-"), F.lpad(digits, width, F.lit("0")))
 
 
 def visit_id(record: Column) -> Column:
