@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from edops.operators.running import SPAN, Running, heavy_keys, running
 from edops.schemas import TERMINAL_TYPES, WATERMARK_MINUTES
+from edops.session import stage
 
 ACCEPTED, DUPLICATE, LATE, ORPHAN = "ACCEPTED", "DUPLICATE", "LATE_EVENT", "STATE_WITHOUT_ARRIVAL"
 INVALID = "INVALID"
@@ -22,17 +23,23 @@ def before_watermark(event_ts: Column, mark: Column, minutes: int) -> Column:
     return F.coalesce(event_ts < limit, F.lit(False))
 
 
-def mark_late(events: DataFrame, minutes: int = WATERMARK_MINUTES, span: int = SPAN) -> DataFrame:
+def mark_late(
+    events: DataFrame,
+    minutes: int = WATERMARK_MINUTES,
+    span: int = SPAN,
+    raises: Column | None = None,
+) -> DataFrame:
     """Add ``late``: older than the running maximum of all earlier events allows.
 
     The order is global, so the sequence is cut into chunks and only one maximum per
-    chunk is carried on. Duplicates and late events cannot raise the maximum: they
-    are no newer than an event that came before them.
+    chunk is carried on. Late events and identical copies cannot raise the maximum:
+    they are no newer than an event that came before them. ``raises`` leaves out rows
+    for which that does not hold.
     """
-    seen = running(events, "seq", [Running("_mark", "max", F.col("event_ts"), before=True)], span=span)
-    return seen.withColumn(
-        "late", before_watermark(F.col("event_ts"), F.col("_mark"), minutes)
-    ).drop("_mark")
+    time = F.col("event_ts") if raises is None else F.when(raises, F.col("event_ts"))
+    seen = running(events, "seq", [Running("mark", "max", time, before=True)], span=span)
+    late = before_watermark(F.col("event_ts"), F.col("mark"), minutes)
+    return seen.withColumn("late", late).drop("mark")
 
 
 def mark_duplicates(
@@ -92,15 +99,40 @@ def classify(
     minutes: int = WATERMARK_MINUTES,
     heavy: dict[str, list] | None = None,
     span: int = SPAN,
+    conflicting: bool = False,
 ) -> DataFrame:
-    """Add ``outcome`` and ``episode`` to every event of one ordered list."""
+    """Add ``outcome`` and ``episode`` to every event of one ordered list.
+
+    Copies of an event id are taken to carry the same event time, as a redelivered
+    event does. ``conflicting`` drops that assumption at the price of further passes.
+    """
     heavy = heavy_keys(events, "event_id", "visit_id") if heavy is None else heavy
-    checked = mark_duplicates(mark_late(events, minutes, span), heavy, span)
+    if conflicting:
+        checked = _settle(events, minutes, heavy, span)
+    else:
+        checked = mark_duplicates(mark_late(events, minutes, span), heavy, span)
     accepted = ~F.col("duplicate") & ~F.col("late")
     traced = trace_visits(checked, accepted, heavy, span)
     return traced.withColumn("outcome", outcome()).drop("duplicate", "late", "live")
 
 
+def _settle(events: DataFrame, minutes: int, heavy: dict[str, list], span: int) -> DataFrame:
+    """Late and duplicate marks when copies of an id may differ in their event time.
+
+    A duplicate must not raise the high-water mark, but which rows are duplicates
+    depends on the mark. Each round leaves out the duplicates of the round before. A
+    round settles at least the first row in order that was still wrong, and the rounds
+    end when nothing changes; without conflicting copies that is the second round.
+    """
+    current = events.withColumn("_raises", F.lit(True))
+    while True:
+        late = mark_late(current, minutes, span, F.col("_raises"))
+        checked = stage(mark_duplicates(late, heavy, span), "classified")
+        if checked.filter(F.col("duplicate") == F.col("_raises")).isEmpty():
+            return checked.drop("_raises")
+        current = checked.withColumn("_raises", ~F.col("duplicate")).drop("late", "duplicate")
+
+
 def outcome() -> Column:
     return (
         F.when(F.col("duplicate"), DUPLICATE)
@@ -144,10 +176,11 @@ def ledger(
     minutes: int = WATERMARK_MINUTES,
     heavy: dict[str, list] | None = None,
     span: int = SPAN,
+    conflicting: bool = False,
 ) -> DataFrame:
     """Outcome of every parsed row, the contract violations included."""
     broken = F.size("errors") > 0
-    valid = classify(parsed.filter(~broken), minutes, heavy, span)
+    valid = classify(parsed.filter(~broken), minutes, heavy, span, conflicting)
     invalid = (
         parsed.filter(broken)
         .withColumn("episode", F.lit(None).cast("long"))
