@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from edops.functions.numeric import rnd
 from edops.schemas import AGE_BANDS, OLDEST_BAND
 
 ALL = "ALL"
+UNKNOWN = "UNKNOWN"
 # Levels from most to least specific, with the dimensions each one keeps.
 LEVELS: list[tuple[str, list[str]]] = [
     ("TRIAGE_AGE_HOUR", ["triage_level", "age_group", "arrival_hour"]),
@@ -25,7 +24,7 @@ def age_band(age: Column) -> Column:
     band = F.lit(OLDEST_BAND)
     for upper, label in reversed(AGE_BANDS):
         band = F.when(age < upper, label).otherwise(band)
-    return F.when(age.isNull(), "UNKNOWN").otherwise(band)
+    return F.when(age.isNull(), UNKNOWN).otherwise(band)
 
 
 def triage_key(triage: Column) -> Column:
@@ -41,24 +40,35 @@ def cohort_key(level: Column, triage: Column, age: Column, hour: Column) -> Colu
     return F.concat_ws("|", level, triage, age, hour)
 
 
+def band_number(age: Column) -> Column:
+    """Position of the age band; unknown ages get a number of their own."""
+    reached = [(age >= upper).cast("int") for upper, _ in AGE_BANDS]
+    return F.coalesce(sum(reached[1:], reached[0]), F.lit(len(AGE_BANDS) + 1))
+
+
+def band_label(number: Column) -> Column:
+    labels = [label for _, label in AGE_BANDS] + [OLDEST_BAND, UNKNOWN]
+    return F.get(F.array(*[F.lit(label) for label in labels]), number)
+
+
 def value_histogram(visits: DataFrame, measures: dict[str, str] = MEASURES) -> DataFrame:
-    """Rows per (triage, age, hour, measure, value): the only pass over the visits.
+    """Rows per (triage, age band, hour, measure, value): the only pass over the visits.
 
     The map side already merges equal values, so the shuffle carries one row per
     distinct value, not per visit. Minutes come from four-digit fields, which bounds
-    every cohort to 10,000 values per measure.
+    every cohort to 10,000 values per measure. Keys are numbers; labels come last.
     """
     values = F.array(
         *[
-            F.struct(F.lit(name).alias("measure"), F.col(column).cast("double").alias("value"))
-            for name, column in measures.items()
+            F.struct(F.lit(i).alias("measure"), F.col(column).cast("double").alias("value"))
+            for i, column in enumerate(measures.values())
         ]
     )
     return (
         visits.select(
-            triage_key(F.col("triage_level")).alias("triage_level"),
-            age_band(F.col("age")).alias("age_group"),
-            hour_key(F.col("arrival_hour")).alias("arrival_hour"),
+            F.nullif(F.col("triage_level"), F.lit(0)).cast("int").alias("triage_level"),
+            band_number(F.col("age")).alias("age_group"),
+            F.col("arrival_hour").cast("int").alias("arrival_hour"),
             F.coalesce(F.col("admitted_flag"), F.lit(False)).cast("long").alias("admitted"),
             F.inline(values),
         )
@@ -67,89 +77,83 @@ def value_histogram(visits: DataFrame, measures: dict[str, str] = MEASURES) -> D
     )
 
 
-def roll_up(
-    histogram: DataFrame,
-    measures: dict[str, str] = MEASURES,
-    levels: list[tuple[str, list[str]]] = LEVELS,
-) -> DataFrame:
+def roll_up(histogram: DataFrame, levels: list[tuple[str, list[str]]] = LEVELS) -> DataFrame:
     """Count each histogram row in every level.
 
-    Masked dimensions become ``ALL``; the level name keeps a cohort of unknown
-    triage apart from the overall one.
+    Dimensions outside a level are NULL, and so is an unknown triage or hour inside
+    one; the level keeps a cohort of unknown triage apart from the overall one.
     """
     targets = F.array(
         *[
             F.struct(
-                F.lit(level).alias("match_level"),
-                *[(F.col(d) if d in kept else F.lit(ALL)).alias(d) for d in DIMENSIONS],
+                F.lit(i).alias("level"),
+                *[(F.col(d) if d in kept else F.lit(None).cast("int")).alias(d) for d in DIMENSIONS],
             )
-            for level, kept in levels
+            for i, (_, kept) in enumerate(levels)
         ]
     )
     return (
         histogram.select("measure", "value", "n", "admitted", F.inline(targets))
-        .groupBy("match_level", *DIMENSIONS, "measure", "value")
+        .groupBy("level", *DIMENSIONS, "measure", "value")
         .agg(F.sum("n").alias("n"), F.sum("admitted").alias("admitted"))
     )
 
 
 def build_cohorts(
-    visits: DataFrame, measures: dict[str, str] = MEASURES, fraction: float = 0.9
+    visits: DataFrame,
+    measures: dict[str, str] = MEASURES,
+    fraction: float = 0.9,
+    levels: list[tuple[str, list[str]]] = LEVELS,
 ) -> DataFrame:
     """Cohort table: counts, means, exact medians, nearest-rank percentiles, admission rate."""
-    groups = ["match_level", *DIMENSIONS]
-    # Parts arrive unsorted and small; NULL values only count towards the cohort size.
-    levels = roll_up(value_histogram(visits, measures), measures)
+    groups = ["level", *DIMENSIONS]
+    # NULL values only count towards the cohort size.
+    counted = roll_up(value_histogram(visits, measures), levels)
     cohort = Window.partitionBy(*groups, "measure")
     up_to = cohort.orderBy(F.col("value").asc_nulls_first()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     known = F.when(F.col("value").isNotNull(), F.col("n"))
-    ranked = levels.withColumn("reached", F.sum(known).over(up_to)).withColumn(
+    ranked = counted.withColumn("reached", F.sum(known).over(up_to)).withColumn(
         "total", F.sum(known).over(cohort)
     )
 
-    def at(index: Column, name: str) -> Column:
+    def at(index: Column, mine: Column) -> Column:
         """Smallest value whose running count passes the zero-based index."""
-        hit = (F.col("measure") == name) & (F.col("reached") > index)
-        return F.min(F.when(hit, F.col("value")))
+        return F.min(F.when(mine & (F.col("reached") > index), F.col("value")))
 
     last = (F.col("total") - 1).cast("double")
     columns = []
-    for name in measures:
-        mine = F.col("measure") == name
+    for i, name in enumerate(measures):
+        mine = F.col("measure") == i
         weighted = F.sum(F.when(mine, F.col("value") * F.col("n")))
-        middle = (at(F.floor(last / 2), name) + at(F.ceil(last / 2), name)) / F.lit(2.0)
+        middle = (at(F.floor(last / 2), mine) + at(F.ceil(last / 2), mine)) / F.lit(2.0)
+        nearest = at(F.rint(last * F.lit(fraction)), mine)
         columns += [
             rnd(weighted / F.sum(F.when(mine, known)), 2).alias(f"avg_{name}_minutes"),
             rnd(middle, 2).alias(f"median_{name}_minutes"),
-            rnd(at(F.rint(last * F.lit(fraction)), name), 2).alias(
-                f"p{round(fraction * 100)}_{name}_minutes"
-            ),
+            rnd(nearest, 2).alias(f"p{round(fraction * 100)}_{name}_minutes"),
         ]
     # Each visit appears once per measure; the first one carries the cohort totals.
-    first = F.col("measure") == next(iter(measures))
-    size = F.sum(F.when(first, F.col("n")))
-    admitted = F.sum(F.when(first, F.col("admitted")))
-    return (
-        ranked.groupBy(*groups)
-        .agg(
-            size.alias("patient_count"),
-            *columns,
-            rnd(admitted.cast("double") / size, 6).alias("admission_rate"),
-        )
-        .select(
-            cohort_key(*[F.col(g) for g in groups]).alias("cohort_key"),
-            *groups,
-            "patient_count",
-            *[c for name in measures for c in _measure_columns(name, fraction)],
-            "admission_rate",
-        )
+    size = F.sum(F.when(F.col("measure") == 0, F.col("n")))
+    admitted = F.sum(F.when(F.col("measure") == 0, F.col("admitted")))
+    grouped = ranked.groupBy(*groups).agg(
+        size.alias("patient_count"),
+        *columns,
+        rnd(admitted.cast("double") / size, 6).alias("admission_rate"),
+    )
+    labels = {
+        "match_level": F.get(F.array(*[F.lit(name) for name, _ in levels]), F.col("level")),
+        "triage_level": F.coalesce(F.col("triage_level").cast("string"), F.lit(ALL)),
+        "age_group": F.coalesce(band_label(F.col("age_group")), F.lit(ALL)),
+        "arrival_hour": F.coalesce(F.col("arrival_hour").cast("string"), F.lit(ALL)),
+    }
+    shown = [c for c in grouped.columns if c not in groups]
+    return grouped.select(
+        cohort_key(*labels.values()).alias("cohort_key"),
+        *[column.alias(name) for name, column in labels.items()],
+        *shown,
     )
-
-
-def _measure_columns(name: str, fraction: float) -> list[str]:
-    return [f"avg_{name}_minutes", f"median_{name}_minutes", f"p{round(fraction * 100)}_{name}_minutes"]
 
 
 def match_cohorts(
@@ -163,19 +167,22 @@ def match_cohorts(
     """
     keys = {"triage_level": triage_key(triage), "age_group": age_band(age), "arrival_hour": hour_key(hour)}
     out = states.withColumns({f"_{name}": value for name, value in keys.items()})
+    matches = []
     for i, (level, kept) in enumerate(LEVELS):
         wanted = cohort_key(
             F.lit(level), *[F.col(f"_{d}") if d in kept else F.lit(ALL) for d in DIMENSIONS]
         )
+        if not kept:  # one cohort for all rows: a value, not a join
+            overall = cohorts.filter(F.col("cohort_key") == wanted)
+            matches.append(overall.select(F.struct("*")).scalar())
+            continue
         side = F.broadcast(
             cohorts.select(F.col("cohort_key").alias(f"_key{i}"), F.struct("*").alias(f"_match{i}"))
         )
         out = out.join(side, wanted == F.col(f"_key{i}"), "left")
-    matches = [F.col(f"_match{i}") for i in range(len(LEVELS))]
+        matches.append(F.col(f"_match{i}"))
     missing = F.raise_error(F.lit("No cohort matches and there is no overall cohort"))
-    found = F.coalesce(*matches)
-    any_match = reduce(lambda a, b: a | b, [m.isNotNull() for m in matches])
-    return out.select(
-        *states.columns,
-        F.when(any_match, found).otherwise(missing.cast(cohorts.schema)).alias("cohort"),
+    found = out.select(*states.columns, F.coalesce(*matches).alias("cohort"))
+    return found.withColumn(
+        "cohort", F.coalesce(F.col("cohort"), missing.cast(cohorts.schema))
     )

@@ -195,6 +195,9 @@ TABLE_LAYOUT: dict[str, tuple[str | None, list[str]]] = {
     "ed_load_15min": ("window_start", ["window_start"]),
 }
 
+# Day columns that hold a single day per run: their rows need no exchange before a write.
+ONE_DAY_PER_RUN = ["ingestion_timestamp", "as_of"]
+
 # Columns of the three clinical extracts.
 CLINICAL_COLUMNS: dict[str, str] = {
     "edstays": (

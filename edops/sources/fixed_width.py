@@ -7,14 +7,18 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from edops.schemas import BRONZE_VISITS, SOURCE_SYSTEM, SOURCE_YEAR, names
+from edops.session import stage
+
+
+BROADCAST_ROWS = 500_000
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """Text lines as (path, filename, line_number, value).
 
     A file split is read by one task in order, so a row's place in its split plus the
-    lines of the earlier splits of its file gives the line number. No global sort and
-    no single-task numbering is needed; one small row per split is exchanged.
+    lines of the earlier splits of its file gives the line number. A first pass counts
+    the lines of each split (one row per split); the lines themselves are not moved.
     """
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("path"),
@@ -27,15 +31,27 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
         F.min("position").alias("first"), F.count(F.lit(1)).alias("n")
     )
     earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = splits.select(
-        "path", "block", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset")
+    offsets = stage(
+        splits.select(
+            "path",
+            "block",
+            "first",
+            "n",
+            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"),
+        ),
+        "splits",
     )
-    return lines.join(offsets, ["path", "block"]).select(
-        "path",
-        "filename",
-        (F.col("offset") + F.col("position") - F.col("first") + 1).alias("line_number"),
-        "value",
+    # One row per 128 MB of text; beyond the limit the join exchanges rows instead.
+    few = offsets.count() <= BROADCAST_ROWS
+    joined = lines.join(F.broadcast(offsets) if few else offsets, ["path", "block"], "left")
+    place = F.col("position") - F.col("first")
+    # Were the file cut differently by the second pass, some row of a shifted split
+    # would fall outside its range: the job then fails instead of numbering wrongly.
+    same_cut = F.coalesce((place >= 0) & (place < F.col("n")), F.lit(False))
+    number = F.when(same_cut, F.col("offset") + place + 1).otherwise(
+        F.raise_error(F.lit("File splits changed between two passes; run again")).cast("long")
     )
+    return joined.select("path", "filename", number.alias("line_number"), "value")
 
 
 def ascii_only(text: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from edops.operators.bi import assert_contract, manifest, secret_rows
-from edops.schemas import TABLE_LAYOUT
+from edops.schemas import ONE_DAY_PER_RUN, TABLE_LAYOUT
 
 
 def write_table(df: DataFrame, path: str, replace: bool = False) -> None:
@@ -17,12 +17,12 @@ def write_laid_out(df: DataFrame, path: str, table: str, replace: bool = False)
     """Parquet table partitioned by day and sorted by its filter columns."""
     day, cluster = TABLE_LAYOUT[table]
     out = df.withColumn("partition_date", F.to_date(day)) if day else df
-    if day:
+    if day and day not in ONE_DAY_PER_RUN:
         # Few files per day, but a large day is split over several tasks and files.
         out = out.hint("rebalance", "partition_date")
-        out = out.sortWithinPartitions("partition_date", *cluster)
-    elif cluster:
-        out = out.sortWithinPartitions(*cluster)
+    order = ["partition_date", *cluster] if day else cluster
+    if order:
+        out = out.sortWithinPartitions(*order)
     writer = out.write.mode("overwrite" if replace else "errorifexists")
     (writer.partitionBy("partition_date") if day else writer).parquet(path)
 

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -35,6 +36,8 @@ from edops.operators.running import HEAVY_ROWS, SPAN, heavy_keys
 from edops.operators.visits import STATE_COLUMNS, current_rows, merge_state, trace_batch
 from edops.schemas import PATIENT_EVENTS, STORED_STATE, WATERMARK_MINUTES, names
 
+BROADCAST_ROWS = 500_000
+
 _LEDGER = (
     f"{PATIENT_EVENTS}, event_ts timestamp, errors array<string>, raw_value string, "
     "ingest_ts timestamp, seq long, episode long, outcome string"
@@ -155,6 +158,8 @@ class VisitStream:
         """
         arrived = batch.withColumn("_position", F.monotonically_increasing_id())
         flat = flatten_events(parse_events(arrived), ("raw_value", "ingest_ts", "_position"))
+        # The range sort reads its input twice, once to sample it.
+        flat = flat.persist(StorageLevel.MEMORY_AND_DISK)
         ordered = flat.orderBy("event_ts", "event_id", "_position").drop("_position")
         path = self._path("parsed")
         (
@@ -162,6 +167,7 @@ class VisitStream:
             .write.mode("overwrite")
             .parquet(path)
         )
+        flat.unpersist()
         schema = f"raw_value string, ingest_ts timestamp, {PATIENT_EVENTS}, event_ts timestamp, errors array<string>, seq long"
         return self.spark.read.schema(schema).parquet(path)
 
@@ -173,7 +179,10 @@ class VisitStream:
         """
         late = before_watermark(F.col("event_ts"), F.lit(mark).cast("timestamp"), self.watermark_minutes)
         flagged = valid.withColumn("late", late)
-        known = log.join(valid.select("event_id"), "event_id", "left_semi").select(
+        ids = valid.select("event_id").distinct()
+        if valid.count() <= BROADCAST_ROWS:
+            ids = F.broadcast(ids)  # the log is then read in place, not exchanged
+        known = log.join(ids, "event_id", "left_semi").select(
             "event_id", F.lit(-1).cast("long").alias("seq"), F.lit(False).alias("late")
         )
         both = known.unionByName(flagged, allowMissingColumns=True)
