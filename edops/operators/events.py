@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from edops.operators.running import SPAN, Running, heavy_keys, running
 from edops.schemas import TERMINAL_TYPES, WATERMARK_MINUTES
-from edops.session import stage
+from edops.session import stage, stage_if
 
 ACCEPTED, DUPLICATE, LATE, ORPHAN = "ACCEPTED", "DUPLICATE", "LATE_EVENT", "STATE_WITHOUT_ARRIVAL"
 INVALID = "INVALID"
@@ -111,9 +111,13 @@ def classify(
         checked = _settle(events, minutes, heavy, span)
     else:
         checked = mark_duplicates(mark_late(events, minutes, span), heavy, span)
+    # Cutting heavy keys reads a step's input twice, so each step is then stored once.
+    split = any(heavy.values())
+    checked = stage_if(split and not conflicting, checked, "checked")
     accepted = ~F.col("duplicate") & ~F.col("late")
     traced = trace_visits(checked, accepted, heavy, span)
-    return traced.withColumn("outcome", outcome()).drop("duplicate", "late", "live")
+    classified = traced.withColumn("outcome", outcome()).drop("duplicate", "late", "live")
+    return stage_if(split, classified, "classified")
 
 
 def _settle(events: DataFrame, minutes: int, heavy: dict[str, list], span: int) -> DataFrame:

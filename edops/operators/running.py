@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 SPAN = 1 << 20
 # A key is heavy when it holds over 1/HEAVY_SHARE of the rows and over HEAVY_ROWS rows.
 HEAVY_SHARE = 5_000
-HEAVY_ROWS = 1_000_000
+HEAVY_ROWS = 4_000_000
 _TRACKED = 50_000
 _CHUNK = "_chunk"
 

@@ -9,14 +9,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from edops.functions.numeric import code_number, real_number, scaled_number
 from edops.functions.times import iso_utc
-from edops.operators import bi, cohorts as co, context as cx, events as ev, gold as gd, quality as dq
+from edops.operators import bi, cohorts as co, context as cx, events as ev, quality as dq
 from edops.operators import survey as sv, visits as vs
 from edops.operators.contract import EVENT_COLUMNS, flatten_events, parse_events
 from edops.operators.running import heavy_keys
 from edops.plans import clinical as cl, export as ex, fixtures as fx, historical, replay
 from edops.schemas import (
-    BI_TABLES, CLINICAL_COLUMNS, RECORD_DIGITS, SEX_CODES, SOURCE_SYSTEM, STORED_STATE,
-    SURVEY_LAYOUT, WEEKDAY_CODES,
+    CLINICAL_COLUMNS, SEX_CODES, STORED_STATE, SURVEY_LAYOUT, WEEKDAY_CODES,
 )
 from edops.session import configure, fresh_path, stage
 from edops.sources import sinks
@@ -524,7 +523,7 @@ def export_validation(spark, sf_dir):
 
 @query("publish_tables")
 def publish_tables(spark, sf_dir):
-    done = ex.publish(_tables(spark, sf_dir), fresh_path(spark, "published"), apply=True)
+    done = sinks.publish(_tables(spark, sf_dir), fresh_path(spark, "published"), apply=True)
     return done.select("table_name", "row_count", "stored_rows", F.col("matches").cast("int").alias("matches"))
 
 

@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from edops.operators import bi
-from edops.operators.gold import kpis
 from edops.plans.replay import Gold
-from edops.sources.sinks import publish, validate_export, write_csv, write_document
 from edops.session import stage
+from edops.sources.sinks import validate_export, write_csv, write_document
 
 
 def bi_tables(
@@ -40,6 +39,3 @@ def export(
     listed = bi.manifest(stored)
     write_document(listed, f"{folder}/manifest")
     return listed, validate_export(spark, listed, folder)
-
-
-__all__ = ["bi_tables", "export", "kpis", "publish"]

@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from edops.operators.context import enrich
 from edops.operators.events import classify, ledger, stream_counters
 from edops.operators.gold import high_water_mark, kpis, load_15min, row_count
 from edops.operators.running import SPAN
-from edops.operators.visits import completed_visits, current_rows, fold_visits, open_visits
+from edops.operators.visits import current_rows, fold_visits, open_visits
 from edops.schemas import WATERMARK_MINUTES
 from edops.session import stage
+from edops.sources.sinks import write_laid_out
 from edops.streaming.job import VisitStream
 
 
@@ -23,12 +24,6 @@ class Gold:
     ed_load_15min: DataFrame
 
 
-def accepted_mark(classified: DataFrame) -> Column:
-    """Newest accepted event time; orphans count, late events do not."""
-    kept = classified.filter(F.col("outcome").isin("ACCEPTED", "STATE_WITHOUT_ARRIVAL"))
-    return high_water_mark(kept)
-
-
 def active_state(
     events: DataFrame, minutes: int = WATERMARK_MINUTES, span: int = SPAN
 ) -> DataFrame:
@@ -52,6 +47,17 @@ def gold(states: DataFrame, events: DataFrame, cohorts: DataFrame) -> Gold:
     return Gold(current, snapshot, load_15min(events, snapshot))
 
 
+def write_gold(result: Gold, target: str, replace: bool = True) -> None:
+    """Store the three Gold tables by day and in their filter order."""
+    tables = {
+        "current_ed_state": result.current_ed_state,
+        "ed_kpis": result.ed_kpis,
+        "ed_load_15min": result.ed_load_15min,
+    }
+    for name, df in tables.items():
+        write_laid_out(df, f"{target}/{name}", name, replace)
+
+
 def gold_of_stream(stream: VisitStream, cohorts: DataFrame, accepted_only: bool = False) -> Gold:
     """Gold from persisted stream state; an empty event log is an error."""
     log = stream.event_log(accepted_only)
@@ -104,6 +110,3 @@ def write_log_batch(
         known = previous.filter(F.col("batch_id") != batch_id).select("event_id")
         fresh = fresh.join(known, "event_id", "left_anti")
     fresh.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
-
-
-__all__ = ["Gold", "active_state", "append_log", "completed_visits", "enriched_state", "evidence", "gold"]

@@ -35,6 +35,7 @@ from edops.operators.gold import WINDOW_MINUTES
 from edops.operators.running import HEAVY_ROWS, SPAN, heavy_keys
 from edops.operators.visits import STATE_COLUMNS, current_rows, merge_state, trace_batch
 from edops.schemas import PATIENT_EVENTS, STORED_STATE, WATERMARK_MINUTES, names
+from edops.session import stage_if
 
 BROADCAST_ROWS = 500_000
 
@@ -123,6 +124,7 @@ class VisitStream:
         mark, state = self.mark(before), self.state(before)
 
         checked = self._check(valid, self.log_ids(batch_id, mark), mark, heavy)
+        checked = stage_if(any(heavy.values()), checked, "checked")
         traced = trace_batch(state, checked, heavy, self.span)
         invalid = parsed.filter(broken).withColumn("outcome", F.lit(INVALID))
         ledger = traced.unionByName(invalid, allowMissingColumns=True).select(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from edops.operators.events import ledger
 from edops.operators.visits import current_rows, fold_visits, open_visits
-from edops.plans.replay import gold_of_stream, write_log_batch
+from edops.plans.replay import gold_of_stream, write_gold, write_log_batch
 from edops.schemas import STORED_STATE
 from edops.sources.event_stream import file_events, kafka_events, kafka_records
 from edops.streaming.job import VisitStream, run_for
@@ -158,6 +158,9 @@ def test_file_stream_with_restart_and_one_more_arrival(spark, tmp_path):
     kpi = gold.ed_kpis.first()
     assert (kpi["active_patients"], kpi["arrivals"], kpi["discharges"]) == (2, 3, 1)
     assert [r["active_patients"] for r in gold.ed_load_15min.orderBy("window_start").collect()] == [2, 2]
+    write_gold(gold, str(tmp_path / "gold"))
+    assert (tmp_path / "gold" / "current_ed_state" / "partition_date=2026-01-01").is_dir()
+    assert spark.read.parquet(str(tmp_path / "gold" / "ed_load_15min")).count() == 2
 
 
 def test_gold_needs_events(spark, tmp_path):
