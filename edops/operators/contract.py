@@ -20,23 +20,21 @@ def parse_events(raw: DataFrame, text: str = "raw_value") -> DataFrame:
     ``MALFORMED_JSON``. A wrongly typed optional field is NULL, while a wrongly typed
     time, triage level or version is an error.
     """
-    item = F.col("_item")
-    version, triage = _number(item["event_version"]), _number(item["triage_level"])
+    item, version, triage = F.col("_item"), F.col("_version"), F.col("_triage")
     time = item["event_time"]
-    time_text = F.when(F.schema_of_variant(time) == "STRING", _text(time))
     typed = {
         "event_version": F.when(version == F.floor(version), version.cast("int")),
-        "event_time": _text(time),
+        "event_time": F.col("_time"),
         "triage_level": F.when(triage.isin([1.0, 2.0, 3.0, 4.0, 5.0]), triage.cast("int")),
+        "age": item["age"].try_cast("double").try_cast("int"),
     }
-    typed["age"] = item["age"].try_cast("double").try_cast("int")
     event = [
         typed.get(f.name, item[f.name].try_cast(f.dataType)).alias(f.name)
         for f in struct(PATIENT_EVENTS)
     ]
     facts = F.struct(
         F.struct(*event).alias("event"),
-        parse_utc(time_text).alias("event_ts"),
+        F.when(F.schema_of_variant(time) == "STRING", parse_utc(F.col("_time"))).alias("event_ts"),
         item.isNull().alias("_malformed"),
         _text(item["event_version"]).alias("_version_text"),
         _text(item["triage_level"]).isNotNull().alias("_has_triage"),
@@ -46,6 +44,13 @@ def parse_events(raw: DataFrame, text: str = "raw_value") -> DataFrame:
     read = (
         raw.withColumn("_items", _items(F.col(text)))
         .withColumn("_item", _only_object(F.col(text), F.col("_items")))
+        .withColumns(
+            {
+                "_version": _number(item["event_version"]),
+                "_triage": _number(item["triage_level"]),
+                "_time": _text(time),
+            }
+        )
         .select(*raw.columns, F.inline(F.array(facts)))
     )
     errors = contract_errors(

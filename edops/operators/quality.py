@@ -8,6 +8,7 @@ from edops.operators.running import Running, heavy_keys, running
 from edops.schemas import FLAG_NAMES, NOT_VITAL_FLAGS, RANGE_RULES
 
 REPEATED = "DUPLICATE_VISIT_ID"
+_NO_KEY = "\0"
 
 
 def quality_flags(
@@ -39,26 +40,24 @@ def add_quality(visits: DataFrame) -> DataFrame:
 
 
 def mark_repeats(
-    visits: DataFrame, key: str, order: str, heavy: dict[str, list] | None = None
+    visits: DataFrame, key: str, order: str, heavy: list | None = None
 ) -> DataFrame:
     """Append ``DUPLICATE_VISIT_ID`` to the second and later rows of each key.
 
     Adds ``occurrence`` (1 for the first row). ``heavy`` defaults to the measured
-    heavy keys, so a key that fills a third of the table is still split.
+    heavy keys, so a key that fills a third of the table is still split. Rows without
+    a key repeat each other.
     """
-    heavy = heavy_keys(visits, key) if heavy is None else heavy
-    seen = running(visits, order, [Running("_before", "sum", F.lit(1), before=True)], [key], heavy)
-    repeated = F.col("_before") > 0
+    keyed = visits.withColumn("_key", F.coalesce(F.col(key), F.lit(_NO_KEY)))
+    found = heavy_keys(keyed, "_key") if heavy is None else {"_key": heavy}
+    seen = running(keyed, order, [Running("_before", "sum", F.lit(1), before=True)], ["_key"], found)
+    flags = F.col("data_quality_flags")
+    marked = F.when(F.col("_before") > 0, F.array_append(flags, F.lit(REPEATED))).otherwise(flags)
     return (
-        seen.withColumn(
-            "data_quality_flags",
-            F.when(
-                repeated, F.array_append("data_quality_flags", F.lit(REPEATED))
-            ).otherwise(F.col("data_quality_flags")),
-        )
+        seen.withColumn("data_quality_flags", marked)
         .withColumn("data_quality_status", quality_status(F.col("data_quality_flags")))
         .withColumn("occurrence", (F.col("_before") + 1).cast("long"))
-        .drop("_before")
+        .drop("_before", "_key")
     )
 
 

@@ -101,7 +101,7 @@ def diagnosis_group(code: Column) -> Column:
 
 
 def clean_visits(
-    bronze: DataFrame, order: str = "source_row_number", heavy: dict[str, list] | None = None
+    bronze: DataFrame, order: str = "source_row_number", heavy: list | None = None
 ) -> DataFrame:
     """Bronze records to the clean visit table with quality flags.
 

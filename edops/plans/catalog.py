@@ -26,6 +26,8 @@ from edops.sources.fixed_width import read_bronze
 from edops.streaming.job import VisitStream
 
 MINUTES = 180  # watermark of the replay queries
+SMALLEST_COHORT = 50
+HALF_TIME = "2024-01-16 00:00:00"  # cuts the events into an earlier and a later batch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -305,11 +307,14 @@ def active_state(spark, sf_dir):
 @query("event_log_append")
 def event_log_append(spark, sf_dir):
     events = _events(spark, sf_dir).select("event_id", "visit_id", "event_type", "event_ts", "number")
-    half = F.col("number") % 3 != 0
-    previous = events.filter(half).dropDuplicates(["event_id"])
+    previous = events.filter(_early()).dropDuplicates(["event_id"])
     return replay.append_log(previous, events)
 
 
+def _early() -> Column:
+    return F.col("event_ts") < F.lit(HALF_TIME).cast("timestamp")
+
+
 def _in_time_order(spark, sf_dir):
     return _events(spark, sf_dir).withColumn("seq", F.col("time_seq")).withColumn("late", F.lit(False))
 
@@ -318,7 +323,7 @@ def _in_time_order(spark, sf_dir):
 def state_merge(spark, sf_dir):
     """Two batches cut by event time, the second one continuing the stored state."""
     events = _in_time_order(spark, sf_dir)
-    cut = F.col("event_ts") < F.lit("2024-01-16 00:00:00").cast("timestamp")
+    cut = _early()
     state = spark.createDataFrame([], STORED_STATE)
     for part in (events.filter(cut), events.filter(~cut)):
         heavy = heavy_keys(part, "event_id", "visit_id")
@@ -338,10 +343,10 @@ def _states(spark, sf_dir):
 
 @query("cohort_fallback")
 def cohort_fallback(spark, sf_dir):
-    """Every visit finds its cohort again; odd hours are unknown to the finest level."""
+    """Every visit finds its cohort again; small cohorts of the finest level are left out."""
     visits = fx.visits(spark, sf_dir)
     known = _cohorts(spark, sf_dir).filter(
-        (F.col("match_level") != "TRIAGE_AGE_HOUR") | (F.col("arrival_hour").try_cast("int") % 2 == 0)
+        (F.col("match_level") != "TRIAGE_AGE_HOUR") | (F.col("patient_count") >= SMALLEST_COHORT)
     )
     rows = co.match_cohorts(
         visits.select("visit_id", "record_order", "triage_level", "age", "arrival_hour"),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from edops.schemas import CLINICAL_COLUMNS
 from edops.sources.clinical import SUFFIX, clinical_schema, read_extract, validate_source
-from edops.sources.sinks import load_plan, reconcile, require_reconciled, write_document, write_table
+from edops.sources.sinks import load_plan, reconcile, require_reconciled, write_table
 
 
 def source_path(source_dir: str, table: str) -> str:
@@ -40,17 +40,19 @@ def ingest(
         write_table(df.hint("rebalance"), f"{target}/{name}", replace)
     checked = reconcile(spark, sources, target)
     require_reconciled(checked)
-    write_document(run_manifest(reports, target, apply), f"{target}/manifest")
+    run_manifest(reports, target, apply).write.mode("overwrite").json(f"{target}/manifest")
     return checked
 
 
 def run_manifest(reports: list[DataFrame], target: str, applied: bool) -> DataFrame:
-    """One document: target, mode and the per-file fingerprints."""
+    """One row per source file: its fingerprint, the target and the mode of the run."""
     files = reduce(DataFrame.unionByName, reports)
-    described = files.select(
-        F.struct("table_name", "path", "size_bytes", "sha256", "row_count").alias("file")
-    )
-    # One entry per source file: a listing, not data.
-    return described.agg(F.collect_list("file").alias("files")).select(
-        F.lit(target).alias("target"), F.lit(applied).alias("applied"), "files"
+    return files.select(
+        F.lit(target).alias("target"),
+        F.lit(applied).alias("applied"),
+        "table_name",
+        "path",
+        "size_bytes",
+        "sha256",
+        "row_count",
     )

@@ -260,7 +260,7 @@ def matched(source: str, cohorts: str, columns: str) -> str:
     return f"SELECT {columns}, {found}, {values} FROM {source} k {joins}"
 
 
-cte("known", ["cohorts"], "SELECT * FROM cohorts WHERE match_level <> 'TRIAGE_AGE_HOUR' OR TRY_CAST(arrival_hour AS INT) % 2 = 0")
+cte("known", ["cohorts"], "SELECT * FROM cohorts WHERE match_level <> 'TRIAGE_AGE_HOUR' OR patient_count >= 50")
 cte("fallback", ["keyed", "known"], matched("keyed", "known", "k.visit_id, k.record_order"))
 oracle("cohort_fallback", ["fallback"], "SELECT visit_id, record_order, cohort_key, match_level FROM fallback")
 EXPECTED = "coalesce(nullif(m_median_wait_minutes, 0), nullif(m_avg_wait_minutes, 0), 0)::DOUBLE"

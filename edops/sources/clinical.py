@@ -73,20 +73,21 @@ def _plain(column: str):
 
 
 def validate_source(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """The source report, after checking that the extract can be loaded.
-
-    The report has one row per file and is small; it is computed once.
-    """
+    """The source report, after checking that the extract can be loaded."""
     if not (path.endswith(SUFFIX) or _has_extract(spark, path)):
         raise ValueError(f"Expected {SUFFIX} files: {path}")
     report = source_report(spark, path, table)
-    rows = report.select("path", "header", "header_ok", "row_count").collect()
-    if not rows:
+    wrong = F.when(~F.col("header_ok"), F.struct("path", "header"))
+    found = report.agg(
+        F.count(F.lit(1)).alias("files"),
+        F.min(wrong).alias("wrong"),
+        F.coalesce(F.sum("row_count"), F.lit(0)).alias("rows"),
+    ).first()
+    if found["files"] == 0:
         raise FileNotFoundError(f"Missing required source file: {path}")
-    for row in rows:
-        if not row["header_ok"]:
-            raise ValueError(f"Unexpected header in {row['path']}: {row['header']}")
-    if sum(row["row_count"] for row in rows) == 0:
+    if found["wrong"] is not None:
+        raise ValueError(f"Unexpected header in {found['wrong']['path']}: {found['wrong']['header']}")
+    if found["rows"] == 0:
         raise ValueError(f"Source file contains no data rows: {path}")
     return report
 

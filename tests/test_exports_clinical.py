@@ -80,8 +80,9 @@ def test_dry_run_writes_nothing_then_load_is_protected(spark, tmp_path):
     assert not target.exists()
     done = clinical.ingest(spark, source, str(target), apply=True).collect()
     assert all(r["matches"] and r["stored_rows"] == 1 for r in done)
-    listed = spark.read.json(str(target / "manifest")).first()
-    assert listed["applied"] is True and len(listed["files"]) == 3 and len(listed["files"][0]["sha256"]) == 64
+    listed = spark.read.json(str(target / "manifest")).collect()
+    assert sorted(r["table_name"] for r in listed) == sorted(CLINICAL_COLUMNS)
+    assert all(r["applied"] and len(r["sha256"]) == 64 and r["row_count"] == 1 for r in listed)
     with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
         clinical.ingest(spark, source, str(target), apply=True)
     clinical.ingest(spark, source, str(target), apply=True, replace=True)

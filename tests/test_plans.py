@@ -62,10 +62,12 @@ def test_visit_fold_shuffles_each_key_once(spark):
 
 def test_heavy_keys_are_cut_into_chunks(spark):
     heavy = {"event_id": [], "visit_id": ["V1"]}
-    text = plan(vs.fold_visits(ev.classify(fx.events(spark, DATA), 180, heavy, fx.ORDER_SPAN)))
-    assert "hashpartitioning(visit_id#" in text and "_chunk#" in text
+    classified = ev.classify(fx.events(spark, DATA), 180, heavy, fx.ORDER_SPAN)
+    text = plan(vs.fold_visits(classified, heavy, fx.ORDER_SPAN))
+    window = next(line for line in text.splitlines() if "windowspecdefinition" in line)
+    assert "_chunk#" in window and "SinglePartition" not in text
 
 
 def test_silver_moves_rows_once(spark):
-    tree = plan(clean_visits(fx.records(spark, DATA), "record_order", {})).split("\n\n")[0]
+    tree = plan(clean_visits(fx.records(spark, DATA), "record_order", [])).split("\n\n")[0]
     assert tree.count("Exchange") == 1

@@ -31,7 +31,7 @@ def bronze(spark, *records):
 
 
 def clean(spark, *records):
-    return clean_visits(bronze(spark, *records), heavy={}).orderBy("source_record_id").collect()
+    return clean_visits(bronze(spark, *records), heavy=[]).orderBy("source_record_id").collect()
 
 
 def test_valid_record(spark):
@@ -101,7 +101,7 @@ def test_record_numbers_grow_past_six_digits(spark):
         [(record(), n, STAMP) for n in (7, 123456, 1234567)],
         "raw_record string, source_row_number long, ingestion_timestamp timestamp",
     )
-    ids = {r["source_record_id"] for r in clean_visits(rows, heavy={}).collect()}
+    ids = {r["source_record_id"] for r in clean_visits(rows, heavy=[]).collect()}
     assert ids == {"2022-000007", "2022-123456", "2022-1234567"}
 
 
@@ -110,7 +110,7 @@ def test_repeated_visit_is_flagged_after_the_first(spark):
         [(record(heart_rate="400"), 5, STAMP, o) for o in (30, 10, 20)] + [(record(), 6, STAMP, 40)],
         "raw_record string, source_row_number long, ingestion_timestamp timestamp, place long",
     )
-    for heavy in ({}, None):
+    for heavy in ([], None):
         out = clean_visits(rows, "place", heavy)
         flags = sorted(tuple(r["data_quality_flags"]) for r in out.collect())
         assert flags == [(), ("INVALID_HEART_RATE",)] + [("INVALID_HEART_RATE", "DUPLICATE_VISIT_ID")] * 2
@@ -121,7 +121,7 @@ def test_repeated_visit_is_flagged_after_the_first(spark):
 
 
 def test_empty_table_reports_zero(spark):
-    report = quality_report(clean_visits(bronze(spark, record()).filter("false"), heavy={})).first()
+    report = quality_report(clean_visits(bronze(spark, record()).filter("false"), heavy=[])).first()
     assert report["row_count"] == 0 and report["records_flagged"] == 0
 
 
