@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from edops.functions.numeric import rnd
 from edops.schemas import AGE_BANDS, OLDEST_BAND
+from edops.session import stage
 
 ALL = "ALL"
 UNKNOWN = "UNKNOWN"
+BROADCAST_ROWS = 50_000
 # Levels from most to least specific, with the dimensions each one keeps.
 LEVELS: list[tuple[str, list[str]]] = [
     ("TRIAGE_AGE_HOUR", ["triage_level", "age_group", "arrival_hour"]),
@@ -161,10 +163,13 @@ def match_cohorts(
 ) -> DataFrame:
     """Add ``cohort``: the row of the most specific cohort that exists.
 
-    The cohort table has at most 6 triage x 6 age x 101 hour keys plus its coarser
-    levels (3,679 rows), so it is broadcast. One broadcast serves all levels. A state
-    without any cohort, not even the overall one, is an error.
+    The cohort table is stored once and counted. Built from survey visits it has at
+    most 6 triage x 6 age x 101 hour keys plus the coarser levels (3,679 rows), and one
+    broadcast serves all levels; a larger table is joined by exchange. A state without
+    any cohort, not even the overall one, is an error.
     """
+    cohorts = stage(cohorts, "cohorts")
+    few = cohorts.count() <= BROADCAST_ROWS
     keys = {"triage_level": triage_key(triage), "age_group": age_band(age), "arrival_hour": hour_key(hour)}
     out = states.withColumns({f"_{name}": value for name, value in keys.items()})
     matches = []
@@ -176,10 +181,10 @@ def match_cohorts(
             overall = cohorts.filter(F.col("cohort_key") == wanted)
             matches.append(overall.select(F.struct("*")).scalar())
             continue
-        side = F.broadcast(
-            cohorts.select(F.col("cohort_key").alias(f"_key{i}"), F.struct("*").alias(f"_match{i}"))
+        side = cohorts.select(
+            F.col("cohort_key").alias(f"_key{i}"), F.struct("*").alias(f"_match{i}")
         )
-        out = out.join(side, wanted == F.col(f"_key{i}"), "left")
+        out = out.join(F.broadcast(side) if few else side, wanted == F.col(f"_key{i}"), "left")
         matches.append(F.col(f"_match{i}"))
     missing = F.raise_error(F.lit("No cohort matches and there is no overall cohort"))
     found = out.select(*states.columns, F.coalesce(*matches).alias("cohort"))

@@ -15,7 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-SPAN = 1 << 20
+SPAN = 1 << 17
 # A key is heavy when it holds over 1/HEAVY_SHARE of the rows and over HEAVY_ROWS rows.
 HEAVY_SHARE = 5_000
 HEAVY_ROWS = 4_000_000

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from edops.schemas import RECORD_WIDTH, SOURCE_SYSTEM, SOURCE_YEAR, SURVEY_LAYOUT
 
-ORDER_SPAN = 1 << 28  # event order numbers are 256 apart
+ORDER_SPAN = 1 << 25  # event order numbers are 256 apart
 STAMP = "2024-02-01 00:00:00"
 
 DISPOSITION_FLAGS = [

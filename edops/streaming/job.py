@@ -152,17 +152,17 @@ class VisitStream:
         )
 
     def _parse(self, batch: DataFrame) -> DataFrame:
-        """Parse once and fix the processing order: event time, then event id.
+        """Parse once and fix the processing order: event time, then arrival.
 
-        The arrival position breaks ties, so copies of one event never share a sort key
-        and the range sort can split them. The order number is only stable in a written
-        table, hence the parsed batch is stored before anything branches off it.
+        The position is unique, so copies of one event never share a sort key and the
+        range sort can split them. The order number is only stable in a written table,
+        hence the parsed batch is stored before anything branches off it.
         """
         arrived = batch.withColumn("_position", F.monotonically_increasing_id())
         flat = flatten_events(parse_events(arrived), ("raw_value", "ingest_ts", "_position"))
         # The range sort reads its input twice, once to sample it.
         flat = flat.persist(StorageLevel.MEMORY_AND_DISK)
-        ordered = flat.orderBy("event_ts", "event_id", "_position").drop("_position")
+        ordered = flat.orderBy("event_ts", "_position").drop("_position")
         path = self._path("parsed")
         (
             ordered.withColumn("seq", F.monotonically_increasing_id())
