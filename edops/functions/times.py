@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import UTC, datetime
+
 from pyspark.sql import Column, functions as F
 
 # Date, optionally with time of day and zone. Bare years and month names are refused.
@@ -23,3 +25,15 @@ def iso_utc(ts: Column) -> Column:
 
 def minutes_between(later: Column, earlier: Column) -> Column:
     return (F.unix_micros(later) - F.unix_micros(earlier)).cast("double") / F.lit(6e7)
+
+
+def from_micros(micros: int | None) -> Column:
+    """Timestamp of a driver-side value, whatever time zone the driver runs in."""
+    return F.timestamp_micros(F.lit(micros).cast("long"))
+
+
+def utc_literal(moment: datetime) -> Column:
+    """A driver-side time as a timestamp; without a zone it is taken as UTC."""
+    aware = moment if moment.tzinfo else moment.replace(tzinfo=UTC)
+    since = aware - datetime(1970, 1, 1, tzinfo=UTC)
+    return from_micros((since.days * 86_400 + since.seconds) * 1_000_000 + since.microseconds)

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from edops.functions.times import utc_literal
 from edops.schemas import BRONZE_VISITS, SOURCE_SYSTEM, SOURCE_YEAR, names
 from edops.session import stage
 
@@ -70,7 +71,7 @@ def read_bronze(
     source_year: int = SOURCE_YEAR,
 ) -> DataFrame:
     """Raw records with their origin. Blank lines are counted, then left out."""
-    stamp = F.lit(ingested_at).cast("timestamp") if ingested_at else F.current_timestamp()
+    stamp = utc_literal(ingested_at) if ingested_at else F.current_timestamp()
     checked = numbered_lines(spark, path).withColumn("raw_record", ascii_only(F.col("value")))
     return (
         checked.filter(F.col("raw_record") != "")

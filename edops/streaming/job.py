@@ -20,6 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from edops.functions.times import from_micros
 from edops.operators.contract import EVENT_COLUMNS, flatten_events, parse_events
 from edops.operators.events import (
     ACCEPTED,
@@ -82,7 +83,8 @@ class VisitStream:
 
     def _mark_row(self, batch_id: int):
         """High-water mark and counters of a batch; None while it is not complete."""
-        return self._read(_MARK, self._path("marks", batch_id)).first()
+        marks = self._read(_MARK, self._path("marks", batch_id))
+        return marks.select("*", F.unix_micros("high_water").alias("mark")).first()
 
     # --- previous batch ----------------------------------------------------------
 
@@ -94,20 +96,24 @@ class VisitStream:
             path = self.initial_state
         return self._read(STORED_STATE, path)
 
-    def mark(self, batch_id: int):
-        """High-water mark after a batch (one value)."""
+    def mark(self, batch_id: int) -> int | None:
+        """High-water mark after a batch, in microseconds (one value)."""
         if batch_id >= 0:
-            return self._mark_row(batch_id)["high_water"]
-        return self.state(-1).agg(F.max("last_event_time")).first()[0]
+            return self._mark_row(batch_id)["mark"]
+        return self.state(-1).agg(F.unix_micros(F.max("last_event_time"))).first()[0]
 
-    def log_ids(self, batch_id: int, mark) -> DataFrame:
+    def log_ids(self, batch_id: int, mark: int | None) -> DataFrame:
         """Accepted event ids of all batches before ``batch_id``."""
         if batch_id <= 0:
             return self.spark.createDataFrame([], "event_id string")
         log = self.ledger().filter(F.col("batch_id") < batch_id)
         if self.dedupe_horizon_minutes is not None and mark is not None:
             reach = F.expr(f"INTERVAL {int(self.dedupe_horizon_minutes)} MINUTES")
-            log = log.filter(F.col("event_ts") >= F.lit(mark) - reach)
+            limit = from_micros(mark) - reach
+            # No event is newer than its batch's mark, so older batches are not opened.
+            recent = self._marks().filter(F.col("high_water") >= limit)
+            first = recent.agg(F.min("batch_id")).first()[0]
+            log = log.filter((F.col("batch_id") >= first) & (F.col("event_ts") >= limit))
         return log.filter(F.col("outcome").isin(ACCEPTED, ORPHAN)).select("event_id")
 
     # --- one batch -----------------------------------------------------------------
@@ -141,7 +147,7 @@ class VisitStream:
             .parquet(self._path("episodes", batch_id))
         )
         seen = written.filter(F.col("outcome").isin(ACCEPTED, ORPHAN))
-        high_water = F.greatest(seen.agg(F.max("event_ts")).scalar(), F.lit(mark).cast("timestamp"))
+        high_water = F.greatest(seen.agg(F.max("event_ts")).scalar(), from_micros(mark))
         (
             stream_counters(written)
             .withColumn("high_water", high_water)
@@ -173,13 +179,13 @@ class VisitStream:
         schema = f"raw_value string, ingest_ts timestamp, {PATIENT_EVENTS}, event_ts timestamp, errors array<string>, seq long"
         return self.spark.read.schema(schema).parquet(path)
 
-    def _check(self, valid: DataFrame, log: DataFrame, mark, heavy: dict[str, list]) -> DataFrame:
+    def _check(self, valid: DataFrame, log: DataFrame, mark: int | None, heavy: dict[str, list]) -> DataFrame:
         """Add ``late`` (against the mark of earlier batches) and ``duplicate``.
 
         A batch is processed in event-time order, so nothing in it is late against its
         own events. Ids already in the log take part as copies that came first.
         """
-        late = before_watermark(F.col("event_ts"), F.lit(mark).cast("timestamp"), self.watermark_minutes)
+        late = before_watermark(F.col("event_ts"), from_micros(mark), self.watermark_minutes)
         flagged = valid.withColumn("late", late)
         ids = valid.select("event_id").distinct()
         if valid.count() <= BROADCAST_ROWS:
@@ -192,9 +198,12 @@ class VisitStream:
 
     # --- results -----------------------------------------------------------------
 
-    def batches(self) -> list[int]:
-        rows = self.spark.read.parquet(self._path("marks")).select("batch_id").distinct().collect()
-        return sorted(row["batch_id"] for row in rows)
+    def _marks(self) -> DataFrame:
+        return self.spark.read.schema(f"{_MARK}, batch_id int").parquet(self._path("marks"))
+
+    def last_batch(self) -> int:
+        """Newest complete batch."""
+        return self._marks().agg(F.max("batch_id")).first()[0]
 
     def ledger(self) -> DataFrame:
         return self.spark.read.schema(f"{_LEDGER}, batch_id int").parquet(self._path("ledger"))
@@ -212,8 +221,8 @@ class VisitStream:
 
     def open_visits(self) -> DataFrame:
         """Snapshot after the last committed batch."""
-        last = self.batches()[-1]
-        return current_rows(self.state(last), F.lit(self.mark(last)).cast("timestamp"))
+        last = self.last_batch()
+        return current_rows(self.state(last), from_micros(self.mark(last)))
 
     def completed(self) -> DataFrame:
         episodes = self.spark.read.schema(
@@ -222,8 +231,7 @@ class VisitStream:
         return episodes.filter("completed").drop("completed")
 
     def counters(self) -> DataFrame:
-        marks = self.spark.read.schema(f"{_MARK}, batch_id int").parquet(self._path("marks"))
-        return marks.agg(*[F.sum(c).alias(c) for c in _COUNTERS])
+        return self._marks().agg(*[F.sum(c).alias(c) for c in _COUNTERS])
 
     # --- streaming queries -----------------------------------------------------------
 
