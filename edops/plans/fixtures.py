@@ -21,13 +21,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a table over all cores.
+
+    A small file may be a single row group, hence a single task. A table that already
+    has a partition per core stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed visits from the order lines; pairs of order and line give repeated ids."""
     part, order, supp = F.col("l_partkey"), F.col("l_orderkey"), F.col("l_suppkey")
     wait = F.when(
         F.col("l_tax") != 0, F.col("l_quantity").cast("int") * 3 + part % 7
     ).cast("double")
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem")).select(
         F.concat(F.lit("V"), order, F.lit("-"), "l_linenumber").alias("visit_id"),
         F.nullif(F.col("l_linenumber") % 6, F.lit(0)).cast("int").alias("triage_level"),
         F.when(supp % 11 != 0, part % 130).cast("int").alias("age"),
@@ -115,7 +125,7 @@ def raw_record(texts: dict[str, Column]) -> Column:
 
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze survey rows. Lines of one pair share a row number, hence a visit id."""
-    return table(spark, sf_dir, "lineitem").select(
+    return spread(table(spark, sf_dir, "lineitem")).select(
         raw_record(record_texts()).alias("raw_record"),
         F.lit(SOURCE_SYSTEM).alias("source_system"),
         F.lit(SOURCE_YEAR).alias("source_year"),
@@ -181,7 +191,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_time": F.when(number % 73 == 0, F.lit("garbage")).otherwise(time),
         "event_type": F.when(number % 71 == 0, F.lit("UNKNOWN")).otherwise(F.col("event_type")),
     }
-    source = events(spark, sf_dir).withColumn("event_time", F.lit(None).cast("string"))
+    source = spread(events(spark, sf_dir)).withColumn("event_time", F.lit(None).cast("string"))
     kept = [c for c in source.columns if c not in ("event_ts", "seq", "number", "time_seq")]
     text = F.to_json(F.struct(*[damaged.get(c, F.col(c)).alias(c) for c in kept]))
     return source.select(
@@ -209,8 +219,8 @@ def event_slices(spark: SparkSession, sf_dir: str, folder: str, slices: int = 3,
 
 def clinical(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The three clinical extracts; free text holds commas, quotes and line breaks."""
-    orders = table(spark, sf_dir, "orders")
-    lines = table(spark, sf_dir, "lineitem")
+    orders = spread(table(spark, sf_dir, "orders"))
+    lines = spread(table(spark, sf_dir, "lineitem"))
     subject, stay = F.col("o_custkey"), F.col("o_orderkey")
     when = F.col("o_orderdate").cast("timestamp")
     edstays = orders.select(
