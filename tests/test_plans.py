@@ -68,6 +68,8 @@ def test_heavy_keys_are_cut_into_chunks(spark):
     assert "_chunk#" in window and "SinglePartition" not in text
 
 
-def test_silver_moves_rows_once(spark):
-    tree = plan(clean_visits(fx.records(spark, DATA), "record_order", [])).split("\n\n")[0]
+def test_silver_moves_rows_once(spark, tmp_path):
+    fx.records(spark, DATA).write.parquet(str(tmp_path / "bronze"))
+    stored = spark.read.parquet(str(tmp_path / "bronze"))
+    tree = plan(clean_visits(stored, "record_order", [])).split("\n\n")[0]
     assert tree.count("Exchange") == 1
