@@ -65,23 +65,43 @@ def load_plan(tables: dict[str, DataFrame], target: str, replace: bool) -> DataF
     )
 
 
+def save_table(df: DataFrame, name: str, replace: bool = False) -> None:
+    """Catalog table; without ``replace`` an existing table is protected."""
+    df.write.mode("overwrite" if replace else "errorifexists").saveAsTable(name)
+
+
 def publish(
-    tables: dict[str, DataFrame], target: str, apply: bool = False, replace: bool = True
+    tables: dict[str, DataFrame],
+    target: str,
+    apply: bool = False,
+    replace: bool = True,
+    catalog: bool = False,
 ) -> DataFrame:
-    """Plan, or load each table with its declared schema and reconcile it."""
+    """Plan, or load each table with its declared schema and reconcile it.
+
+    ``target`` is a folder, or with ``catalog`` a database of the session's catalog.
+    """
     for name, df in tables.items():
         assert_contract(df, name)
     if not apply:
         return load_plan(tables, target, replace)
     for name, df in tables.items():
-        write_table(df, f"{target}/{name}", replace)
+        if catalog:
+            save_table(df, f"{target}.{name}", replace)
+        else:
+            write_table(df, f"{target}/{name}", replace)
     spark = next(iter(tables.values())).sparkSession
-    return reconcile(spark, tables, target)
+    return reconcile(spark, tables, target, catalog)
 
 
-def reconcile(spark: SparkSession, sources: dict[str, DataFrame], target: str) -> DataFrame:
+def reconcile(
+    spark: SparkSession, sources: dict[str, DataFrame], target: str, catalog: bool = False
+) -> DataFrame:
     """Stored columns and row counts next to the source's."""
-    stored = {name: spark.read.parquet(f"{target}/{name}") for name in sources}
+    stored = {
+        name: spark.table(f"{target}.{name}") if catalog else spark.read.parquet(f"{target}/{name}")
+        for name in sources
+    }
     left = manifest(sources)
     right = manifest(stored).select(
         "table_name", F.col("columns").alias("stored_columns"), F.col("row_count").alias("stored_rows")

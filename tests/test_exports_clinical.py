@@ -166,6 +166,18 @@ def test_publish_plan_then_load(spark, tmp_path):
     assert read_head(spark, f"{target}/ed_kpis", 1).count() == 1
 
 
+def test_publish_to_the_catalog(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE gold_test LOCATION '{tmp_path}/gold_test'")
+    try:
+        for _ in range(2):
+            done = sinks.publish(tables(spark), "gold_test", apply=True, catalog=True)
+            assert all(r["matches"] for r in done.collect())
+        with pytest.raises(Exception, match="already exists|ALREADY_EXISTS"):
+            sinks.publish(tables(spark), "gold_test", apply=True, replace=False, catalog=True)
+    finally:
+        spark.sql("DROP DATABASE gold_test CASCADE")
+
+
 def test_status_of_checks(spark):
     df = spark.createDataFrame([(0, "HARD"), (1, "HARD"), (0, "SOFT"), (2, "SOFT"), (5, "INFO")], "n long, k string").coalesce(1)
     got = [r[0] for r in df.select(bi.check_status(F.col("n"), F.col("k"))).collect()]
