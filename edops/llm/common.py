@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -10,6 +11,7 @@ from edops.session import stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 ROWS_PER_RUN = 4_096
+TEXTS = 512  # texts per Arrow batch
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -93,3 +95,18 @@ def _star(links: DataFrame, larger: bool) -> DataFrame:
         return joined.filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     moved = joined.filter(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select(F.col("c").alias("u"), F.col("m").alias("v")))
+
+
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Send at most ``rows`` rows to Python at once, so that long texts or lists fit in memory.
+
+    Only what runs inside the block is affected, so results are stored there.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from edops.llm import mixing, sharding, substrings
+from edops.llm import minhash, mixing, sharding, substrings
 from edops.llm.common import read
 
 SHARDS = 8
@@ -41,11 +41,19 @@ def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_min_max_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = minhash.near_duplicates(read(spark, sf_dir, "documents"), size=3, similarity=(85, 100))
+    kept = F.col("key").eqNullSafe(F.col("component"))
+    return near.select(
+        F.col("key").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), kept.alias("kept")
+    )
+
+
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     repeats = substrings.remove_repeats(read(spark, sf_dir, "documents"))
     return repeats.select(F.col("key").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op2_kd_shards": op2_kd_shards, "op10_repeats": op10_repeats}
+QUERIES = {"op1_mixing": op1_mixing, "op2_kd_shards": op2_kd_shards, "op6_min_max_hash": op6_min_max_hash, "op10_repeats": op10_repeats}
 
 ORACLES: dict[str, str] = {}

@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from edops.llm.common import TEXTS, arrow_rows
 from edops.llm.words import Words, rolling, slices, split_words, starts_of
 from edops.session import stage
 
@@ -205,13 +206,13 @@ def remove_repeats(
         F.col(key).cast("long").alias("key"), body.alias("text"),
         F.xxhash64(body).alias("body"), F.xxhash64(F.lit(1), body).alias("body2"),
     )
-    scanned = stage(
-        rows.mapInArrow(
-            _scan(length, seed),
-            "key long, body long, body2 long, n_words long, sha string, seeds array<long>, own array<int>",
-        ),
-        "repeat-scan",
+    spark = docs.sparkSession
+    scan = rows.mapInArrow(
+        _scan(length, seed),
+        "key long, body long, body2 long, n_words long, sha string, seeds array<long>, own array<int>",
     )
+    with arrow_rows(spark, TEXTS):
+        scanned = stage(scan, "repeat-scan")
     # Whole copies: all but those with the smallest key lose every word.
     copies = scanned.filter(F.col("n_words") >= length).groupBy("body", "body2").agg(
         F.min(F.struct("key")).alias("first"), F.count(F.lit(1)).alias("n")
@@ -252,7 +253,9 @@ def remove_repeats(
         "d.key", "d.body", "d.text", F.coalesce("s.starts", none.cast("array<int>")).alias("starts"), "d.own"
     )
     marked = marked.filter((F.size("starts") > 0) | (F.size("own") > 0))
-    cut = marked.mapInArrow(_cut(length), "key long, body long, removed long, sha string, cut string")
+    with arrow_rows(spark, TEXTS):
+        cut = marked.mapInArrow(_cut(length), "key long, body long, removed long, sha string, cut string")
+        cut = stage(cut, "repeat-cut")
     cut = cut.unionByName(
         later.select("key", "body", F.lit(None).cast("long").alias("removed"), F.lit(None).cast("string").alias("sha"), F.lit("").alias("cut"))
     ).dropDuplicates(["key", "body"])
