@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from edops.llm import minhash, mixing, sharding, substrings
-from edops.llm.common import read
+from edops.llm import minhash, mixing, quality, sharding, substrings
+from edops.llm.common import TEXTS, arrow_rows, read
+from edops.session import stage
 
 SHARDS = 8
 
@@ -41,6 +42,14 @@ def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with arrow_rows(spark, TEXTS):
+        judged = stage(quality.repetition(read(spark, sf_dir, "documents")), "quality")
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op6_min_max_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = minhash.near_duplicates(read(spark, sf_dir, "documents"), size=3, similarity=(85, 100))
     kept = F.col("key").eqNullSafe(F.col("component"))
@@ -54,6 +63,6 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.select(F.col("key").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op2_kd_shards": op2_kd_shards, "op6_min_max_hash": op6_min_max_hash, "op10_repeats": op10_repeats}
+QUERIES = {"op1_mixing": op1_mixing, "op2_kd_shards": op2_kd_shards, "op5_repetition": op5_repetition, "op6_min_max_hash": op6_min_max_hash, "op10_repeats": op10_repeats}
 
 ORACLES: dict[str, str] = {}

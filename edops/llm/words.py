@@ -97,10 +97,10 @@ def split_words(column: pa.Array, lower: bool = False) -> Words:
         right[-1], right[:-1] = True, left[1:] | ~word[1:]
     end = np.flatnonzero(word & right) + 1
     text = np.searchsorted(bounds, start, "right") - 1
-    return Words(data, bounds, text, start, end, _hash(data, start, end))
+    return Words(data, bounds, text, start, end, hash_ranges(data, start, end))
 
 
-def _hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def hash_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Polynomial hash of each byte range: random byte values times powers of an odd step."""
     if not len(start):
         return np.zeros(0, np.uint64)
