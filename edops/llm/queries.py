@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from edops.llm import minhash, mixing, quality, sharding, substrings
+from edops.llm import bloom_lm, minhash, mixing, quality, sharding, substrings
 from edops.llm.common import TEXTS, arrow_rows, read
 from edops.session import stage
 
@@ -58,11 +58,23 @@ def op6_min_max_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def held_out(buckets: int, bucket: int) -> Column:
+    """Whether crc32 of the document number, as text, falls into the bucket."""
+    crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    return F.pmod(crc, F.lit(buckets)) == bucket
+
+
+def op8_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = bloom_lm.score(read(spark, sf_dir, "documents"), ~held_out(10, 0))
+    scored = scored.withColumnRenamed("key", "doc_id").withColumn("held_out", held_out(10, 0))
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     repeats = substrings.remove_repeats(read(spark, sf_dir, "documents"))
     return repeats.select(F.col("key").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op2_kd_shards": op2_kd_shards, "op5_repetition": op5_repetition, "op6_min_max_hash": op6_min_max_hash, "op10_repeats": op10_repeats}
+QUERIES = {"op1_mixing": op1_mixing, "op2_kd_shards": op2_kd_shards, "op5_repetition": op5_repetition, "op6_min_max_hash": op6_min_max_hash, "op8_bloom_lm": op8_bloom_lm, "op10_repeats": op10_repeats}
 
 ORACLES: dict[str, str] = {}
