@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from edops.llm import bloom_lm, minhash, mixing, quality, sharding, substrings
+from edops.llm import bloom_lm, langid, minhash, mixing, quality, sharding, substrings
 from edops.llm.common import TEXTS, arrow_rows, read
 from edops.session import stage
 
@@ -70,11 +70,17 @@ def op8_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.identify(read(spark, sf_dir, "documents"), ~held_out(4, 2))
+    found = found.withColumnRenamed("key", "doc_id").withColumn("held_out", held_out(4, 2))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     repeats = substrings.remove_repeats(read(spark, sf_dir, "documents"))
     return repeats.select(F.col("key").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op2_kd_shards": op2_kd_shards, "op5_repetition": op5_repetition, "op6_min_max_hash": op6_min_max_hash, "op8_bloom_lm": op8_bloom_lm, "op10_repeats": op10_repeats}
+QUERIES = {"op1_mixing": op1_mixing, "op2_kd_shards": op2_kd_shards, "op5_repetition": op5_repetition, "op6_min_max_hash": op6_min_max_hash, "op8_bloom_lm": op8_bloom_lm, "op9_language_mixture": op9_language_mixture, "op10_repeats": op10_repeats}
 
 ORACLES: dict[str, str] = {}
