@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from edops.llm import bloom_lm, langid, minhash, mixing, packing, quality, sharding, substrings
+from edops.llm import bloom_lm, html_extract, langid, minhash, mixing, packing, quality, sharding, substrings
 from edops.llm.common import TEXTS, arrow_rows, read
 from edops.session import stage
 
@@ -42,6 +42,10 @@ def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_dom_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read(spark, sf_dir, "pages")).withColumnRenamed("key", "page_id")
+
+
 def tokenizer_path() -> str:
     """Place of the public tokenizer file that packing uses."""
     import public_tokenizers
@@ -93,6 +97,6 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.select(F.col("key").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op2_kd_shards": op2_kd_shards, "op4_linear_grouping": op4_linear_grouping, "op5_repetition": op5_repetition, "op6_min_max_hash": op6_min_max_hash, "op8_bloom_lm": op8_bloom_lm, "op9_language_mixture": op9_language_mixture, "op10_repeats": op10_repeats}
+QUERIES = {"op1_mixing": op1_mixing, "op2_kd_shards": op2_kd_shards, "op3_dom_trees": op3_dom_trees, "op4_linear_grouping": op4_linear_grouping, "op5_repetition": op5_repetition, "op6_min_max_hash": op6_min_max_hash, "op8_bloom_lm": op8_bloom_lm, "op9_language_mixture": op9_language_mixture, "op10_repeats": op10_repeats}
 
 ORACLES: dict[str, str] = {}
