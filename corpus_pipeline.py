@@ -1,14 +1,60 @@
-"""The corpus pipeline: five stages over ``documents``, each by one operator of ``edops.llm``."""
+"""The corpus pipeline: five stages over ``documents``, each by one operator of ``edops.llm``.
+
+Every stage works on all that its predecessor kept. The first four return the columns of
+documents; the last one returns the pieces of the packed sequences. Extra columns pass
+through the first four stages.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from edops.llm import mixing
-from edops.llm.common import read
+from edops.llm import minhash, mixing, packing, quality, substrings
+from edops.llm.common import TEXTS, arrow_rows, read
+from edops.llm.queries import tokenizer_path
 from edops.session import stage
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+def _unit(key: str | Column, body: str | Column) -> Column:
+    """One number for a document: its key and a hash of its text."""
+    key = F.col(key) if isinstance(key, str) else key
+    return F.xxhash64(F.coalesce(key.cast("long"), F.lit(-1)), body).alias("_unit")
+
+
+def _with_unit(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("_unit", _unit("doc_id", F.xxhash64(F.coalesce("text", F.lit("")))))
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that the base rule or the repetition limits reject."""
+    judged = quality.repetition(docs, keep=tuple(docs.columns))
+    with arrow_rows(spark, TEXTS):
+        return stage(judged.filter("kept").select(*docs.columns), "pipeline-kept")
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near duplicates: the one with the smallest key.
+
+    Rows that agree in key and text are one document. Texts without a word stay.
+    """
+    near = minhash.near_duplicates(docs)
+    heads = near.filter(F.col("key").eqNullSafe(F.col("component")) & (F.col("n_shingles") > 0))
+    heads = heads.groupBy("key").agg(F.min("body").alias("body"))
+    empty = near.filter("n_shingles = 0").select("key", "body")
+    chosen = stage(heads.union(empty).select(_unit("key", F.col("body"))).distinct(), "pipeline-heads")
+    # Both the join and the removal of repeated rows use the exchange by ``_unit``.
+    kept = _with_unit(docs).join(chosen, "_unit", "left_semi")
+    return kept.dropDuplicates(["_unit"]).select(*docs.columns)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Take out word sequences that occur earlier; documents stay, with what is left of them."""
+    cuts = substrings.remove_repeats(docs).filter("cut is not null")
+    cuts = stage(cuts.select(_unit("key", F.col("body")), F.col("cut").alias("_cut")).dropDuplicates(["_unit"]), "pipeline-cuts")
+    joined = _with_unit(docs).join(cuts, "_unit", "left")
+    text = F.coalesce("_cut", "text")
+    size = F.when(F.col("_cut").isNull(), F.col("n_chars")).otherwise(F.length("_cut").cast("long"))
+    return joined.withColumns({"text": text, "n_chars": size}).select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,9 +62,20 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.take(mixing.mix(docs)).select(*docs.columns)
 
 
-STAGES = [("mixing", mix_sources)]
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pack the documents into sequences: one row per piece, with its sequence and place."""
+    return packing.pack(docs, tokenizer_path()).drop("body").withColumnRenamed("key", "doc_id")
+
+
+STAGES = [
+    ("quality", quality_rules),
+    ("near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
 
-# Sampling, packing and 64-bit set hashes have no SQL form; the tests compare with brute force.
+# Signatures, draws and packing have no SQL form; the tests compare with brute force.
 ORACLE_SQL = None
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from edops.llm import bloom_lm, html_extract, langid, minhash, mixing, packing, quality, sharding, substrings
+from edops.llm import bloom_lm, html_extract, langid, minhash, mixing, nn_descent, packing, quality, sharding, substrings
 from edops.llm.common import TEXTS, arrow_rows, read
 from edops.session import stage
 
@@ -74,6 +74,14 @@ def op6_min_max_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = nn_descent.near_duplicates(read(spark, sf_dir, "embeddings"))
+    kept = F.col("key").eqNullSafe(F.col("component"))
+    return near.select(
+        F.col("key").alias("vec_id"), "n_links", F.col("component").alias("component_id"), kept.alias("kept")
+    )
+
+
 def held_out(buckets: int, bucket: int) -> Column:
     """Whether crc32 of the document number, as text, falls into the bucket."""
     crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
@@ -97,6 +105,6 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.select(F.col("key").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op2_kd_shards": op2_kd_shards, "op3_dom_trees": op3_dom_trees, "op4_linear_grouping": op4_linear_grouping, "op5_repetition": op5_repetition, "op6_min_max_hash": op6_min_max_hash, "op8_bloom_lm": op8_bloom_lm, "op9_language_mixture": op9_language_mixture, "op10_repeats": op10_repeats}
+QUERIES = {"op1_mixing": op1_mixing, "op2_kd_shards": op2_kd_shards, "op3_dom_trees": op3_dom_trees, "op4_linear_grouping": op4_linear_grouping, "op5_repetition": op5_repetition, "op6_min_max_hash": op6_min_max_hash, "op7_nn_descent": op7_nn_descent, "op8_bloom_lm": op8_bloom_lm, "op9_language_mixture": op9_language_mixture, "op10_repeats": op10_repeats}
 
 ORACLES: dict[str, str] = {}
