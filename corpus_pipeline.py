@@ -22,14 +22,16 @@ def _unit(key: str | Column, body: str | Column) -> Column:
 
 
 def _with_unit(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("_unit", _unit("doc_id", F.xxhash64(F.coalesce("text", F.lit("")))))
+    """(row, _unit): the row as a struct, so that no column name can clash."""
+    body = F.xxhash64(F.coalesce("text", F.lit("")))
+    return docs.select(F.struct(*docs.columns).alias("row"), _unit("doc_id", body))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the base rule or the repetition limits reject."""
     judged = quality.repetition(docs, keep=tuple(docs.columns))
     with arrow_rows(spark, TEXTS):
-        return stage(judged.filter("kept").select(*docs.columns), "pipeline-kept")
+        return stage(judged.filter("kept").select("row.*"), "pipeline-kept")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +46,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     chosen = stage(heads.union(empty).select(_unit("key", F.col("body"))).distinct(), "pipeline-heads")
     # Both the join and the removal of repeated rows use the exchange by ``_unit``.
     kept = _with_unit(docs).join(chosen, "_unit", "left_semi")
-    return kept.dropDuplicates(["_unit"]).select(*docs.columns)
+    return kept.dropDuplicates(["_unit"]).select("row.*")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,14 +54,16 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     cuts = substrings.remove_repeats(docs).filter("cut is not null")
     cuts = stage(cuts.select(_unit("key", F.col("body")), F.col("cut").alias("_cut")).dropDuplicates(["_unit"]), "pipeline-cuts")
     joined = _with_unit(docs).join(cuts, "_unit", "left")
-    text = F.coalesce("_cut", "text")
-    size = F.when(F.col("_cut").isNull(), F.col("n_chars")).otherwise(F.length("_cut").cast("long"))
-    return joined.withColumns({"text": text, "n_chars": size}).select(*docs.columns)
+    new = {
+        "text": F.coalesce("_cut", "row.text"),
+        "n_chars": F.when(F.col("_cut").isNull(), F.col("row.n_chars")).otherwise(F.length("_cut").cast("long")),
+    }
+    return joined.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take documents so that the sources meet their target weights; some are repeated."""
-    return mixing.take(mixing.mix(docs)).select(*docs.columns)
+    return mixing.take(mixing.mix(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

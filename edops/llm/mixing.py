@@ -15,7 +15,7 @@ more runs. Everything is DataFrame expressions.
 Defined cases: a null source is a source of its own, ordered last; a null or empty text
 has size 0, adds nothing to any target and rounds by its own draw; rows that agree in
 key and source and size share one decision; an empty table gives an empty result; extra
-columns of the input are kept.
+columns are kept inside ``row``, whatever their names.
 """
 
 from __future__ import annotations
@@ -142,14 +142,16 @@ def mix(
     most: float = MOST_REPEATS,
     seed: int = 0,
 ) -> DataFrame:
-    """All columns of ``docs`` with _size, _source_size, _target and _copies.
+    """``row`` (a struct of all columns of ``docs``), size, source_size, target and copies.
 
-    ``_copies`` (0 to ``most``) says how often the mix takes a document; equal input gives
+    ``copies`` (0 to ``most``) says how often the mix takes a document; equal input gives
     equal output. The texts are read once for the sizes; everything after works on a small
     stored table of (key, source, size).
     """
-    sized = docs.withColumn("_size", word_count(text))
-    small = sized.select(F.col(key).alias("key"), F.col(source).alias("source"), F.col("_size").alias("size"))
+    sized = docs.select(
+        F.struct(*docs.columns).alias("row"), F.col(key).alias("_key"), F.col(source).alias("_from"), word_count(text).alias("_size")
+    )
+    small = sized.select(F.col("_key").alias("key"), F.col("_from").alias("source"), F.col("_size").alias("size"))
     small = small.groupBy("key", "source", "size").agg(F.count(F.lit(1)).alias("rows"))
     small = stage(small, "mix-sizes")
     targets = stage(
@@ -179,17 +181,15 @@ def mix(
         F.col("key").alias("_k"),
         F.col("source").alias("_s"),
         F.col("size").alias("_z"),
-        F.col("source_size").alias("_source_size"),
-        F.col("target").alias("_target"),
-        (F.col("whole") + extra).cast("long").alias("_copies"),
+        "source_size",
+        "target",
+        (F.col("whole") + extra).cast("long").alias("copies"),
     )
-    same = F.col(key).eqNullSafe(F.col("_k")) & F.col(source).eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_z"))
-    return sized.join(plan, same).drop("_k", "_s", "_z")
+    same = F.col("_key").eqNullSafe(F.col("_k")) & F.col("_from").eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_z"))
+    return sized.join(plan, same).select("row", F.col("_size").alias("size"), "source_size", "target", "copies")
 
 
 def take(mixed: DataFrame) -> DataFrame:
-    """The rows of the mix: each document as often as its ``_copies`` say."""
-    times = F.explode(F.sequence(F.lit(1), F.col("_copies")))
-    return mixed.filter("_copies > 0").withColumn("_copy", times).drop(
-        "_size", "_source_size", "_target", "_copies", "_copy"
-    )
+    """The rows of the mix: each document as often as its ``copies`` say."""
+    taken = mixed.filter("copies > 0")
+    return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy")).select("row.*")

@@ -8,7 +8,8 @@ not characters, and rejects clean texts of three lines for one short line that r
 
 Defined cases: null is an empty text; a text without words has zero in every measure and
 fails the base rule; lines without a word are no lines; every input row gives one row, so
-equal rows give equal rows; an empty table gives an empty result; extra columns are kept.
+equal rows give equal rows; an empty table gives an empty result; extra columns are
+kept inside ``row`` if asked for, whatever their names.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from edops.llm.words import STEP, Words, hash_ranges, mix, slices, split_words
 
@@ -35,7 +36,6 @@ _SHARES = (
     *(f"repeated_{n}" for n in REPEATED_NGRAM_SHARE),
     "line_char_share",
 )
-MEASURES = "n_words long, " + ", ".join([f"{c} long" for c in _LONG] + [f"{c} double" for c in _SHARES])
 
 
 def _sums(mask: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -138,28 +138,25 @@ def _lines(words: Words, points: np.ndarray, share: np.ndarray) -> dict[str, np.
     }
 
 
-def _measure_all(names: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                found = measure(split_words(part["text"]))
-                columns = [part[c] for c in names]
-                columns += [pa.array(found[c].astype(np.int64)) for c in ("n_words", *_LONG)]
-                columns += [pa.array(found[c].astype(np.float64)) for c in _SHARES]
-                yield pa.RecordBatch.from_arrays(columns, [*names, "n_words", *_LONG, *_SHARES])
-
-    return run
+def _measure_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for part in slices(batch, "text"):
+            found = measure(split_words(part["text"]))
+            columns = [part["row"]]
+            columns += [pa.array(found[c].astype(np.int64)) for c in ("n_words", *_LONG)]
+            columns += [pa.array(found[c].astype(np.float64)) for c in _SHARES]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "n_words", *_LONG, *_SHARES])
 
 
 def repetition(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Measures and verdict of every row: the ``keep`` columns, all measures, base_failed, kept.
-
-    One pass over the texts without a shuffle.
+    """Measures and verdict of every row: ``row`` (a struct of the ``keep`` columns), all
+    measures, base_failed and kept. One pass over the texts without a shuffle.
     """
-    names = [f"_keep{i}" for i in range(len(keep))]
-    rows = docs.select(*[F.col(c).alias(n) for c, n in zip(keep, names)], F.col(text).alias("text"))
-    fields = [f"{n} {rows.schema[n].dataType.simpleString()}" for n in names]
-    measured = rows.mapInArrow(_measure_all(names), ", ".join([*fields, MEASURES]))
+    rows = docs.select(F.struct(*keep).alias("row"), F.col(text).alias("text"))
+    fields = [T.StructField("row", rows.schema["row"].dataType)]
+    fields += [T.StructField(c, T.LongType()) for c in ("n_words", *_LONG)]
+    fields += [T.StructField(c, T.DoubleType()) for c in _SHARES]
+    measured = rows.mapInArrow(_measure_all, T.StructType(fields))
     base = (F.col("n_words") < FEWEST_WORDS) | (
         F.col("n_repeat_words") * 100 > F.col("n_words") * REPEAT_PERCENT
     )
@@ -168,5 +165,4 @@ def repetition(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("do
         repeats |= F.col(f"top_{n}") > limit
     for n, limit in REPEATED_NGRAM_SHARE.items():
         repeats |= F.col(f"repeated_{n}") > limit
-    judged = measured.withColumn("base_failed", base).withColumn("kept", ~(base | repeats))
-    return judged.select(*[F.col(n).alias(c) for c, n in zip(keep, names)], *judged.columns[len(keep) :])
+    return measured.withColumn("base_failed", base).withColumn("kept", ~(base | repeats))

@@ -13,13 +13,7 @@ SHARDS = 8
 
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read(spark, sf_dir, "documents"))
-    return mixed.select(
-        "doc_id",
-        F.col("_size").alias("size"),
-        F.col("_source_size").alias("source_size"),
-        F.col("_target").alias("target"),
-        (F.col("_size") * F.col("_copies")).alias("taken"),
-    )
+    return mixed.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,7 +56,7 @@ def op5_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     with arrow_rows(spark, TEXTS):
         judged = stage(quality.repetition(read(spark, sf_dir, "documents")), "quality")
     return judged.select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+        "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
 
