@@ -1,0 +1,9 @@
+"""The helpers of conftest under a name that tests can import."""
+
+import importlib.util
+import os
+
+_spec = importlib.util.spec_from_file_location("_llm_conftest", os.path.join(os.path.dirname(__file__), "conftest.py"))
+_module = importlib.util.module_from_spec(_spec)
+_spec.loader.exec_module(_module)
+make, prose, words_of, CLASHING = _module.make, _module.prose, _module.words_of, _module.CLASHING
