@@ -286,9 +286,17 @@ def decode(nodes: Nodes, odds: np.ndarray) -> np.ndarray:
         if len(level) and depth[level[0]] > 0:
             np.add.at(worth, parent[level], worth[level])
     keep = worth > 0
-    for level in levels[1:]:
-        keep[level] &= keep[parent[level]]
     blank = np.array([t is not None and not t.strip() for t in nodes.text], bool)
+    said = np.array([t == "#text" for t in nodes.tag], bool)
+    inline = said | np.array([t in _INLINE for t in nodes.tag], bool)
+    speaks, follows = np.zeros(len(parent), bool), np.zeros(len(parent), bool)
+    for level in levels[1:]:
+        up = parent[level]
+        keep[level] &= keep[up]
+        # What stands inside a line of kept text is part of that line.
+        speaks[up[said[level] & ~blank[level] & keep[level]]] = True
+        follows[level] = inline[level] & keep[up] & (speaks[up] | follows[up])
+        keep[level] |= follows[level]
     keep[blank] = keep[np.maximum(parent[blank], 0)]  # white space goes with its element
     return keep
 
@@ -317,7 +325,7 @@ def assemble(nodes: Nodes, keep: np.ndarray, n_pages: int) -> list[str]:
                 close(where)
             at, where = block_of[i], nodes.page[i]
             open_.append(nodes.text[i] if tag == "#text" else " ")
-        elif tag not in _INLINE and where >= 0:  # a block between two texts of one element parts them
+        elif tag not in _INLINE and tag != "#text" and where >= 0:  # a block between two texts of one element parts them
             close(where)
             at, where = -1, -1
     if where >= 0:

@@ -77,7 +77,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for lang, total in counts.items():
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(used)), pa.array(used.astype(np.int32)), pa.array(total[used])], ["lang", "bucket", "n"]
+            [pa.array([lang] * len(used), pa.string()), pa.array(used.astype(np.int32)), pa.array(total[used])], ["lang", "bucket", "n"]
         )
 
 
