@@ -43,20 +43,20 @@ def mark_late(
 
 
 def mark_duplicates(
-    flagged: DataFrame, heavy: dict[str, list] | None = None, span: int = SPAN
+    flagged: DataFrame, heavy: dict[str, list] | None = None, span: int = SPAN, compare: bool = False
 ) -> DataFrame:
     """Add ``duplicate``: a copy of this event id was accepted earlier.
 
-    A late copy is not remembered, so a later copy in time is still accepted.
+    A late copy is not remembered, so a later copy in time is still accepted. ``compare``
+    adds ``differs``: an earlier copy carries another event time.
     """
-    seen = running(
-        flagged,
-        "seq",
-        [Running("_known", "max", F.when(~F.col("late"), 1), before=True)],
-        ["event_id"],
-        heavy,
-        span,
-    )
+    measures = [Running("_known", "max", F.when(~F.col("late"), 1), before=True)]
+    if compare:
+        measures += [Running(f"_{how}", how, F.col("event_ts"), before=True) for how in ("min", "max")]
+    seen = running(flagged, "seq", measures, ["event_id"], heavy, span)
+    if compare:
+        other = (F.col("_min") != F.col("event_ts")) | (F.col("_max") != F.col("event_ts"))
+        seen = seen.withColumn("differs", F.coalesce(other, F.lit(False))).drop("_min", "_max")
     return seen.withColumn("duplicate", F.col("_known").isNotNull()).drop("_known")
 
 
@@ -99,21 +99,20 @@ def classify(
     minutes: int = WATERMARK_MINUTES,
     heavy: dict[str, list] | None = None,
     span: int = SPAN,
-    conflicting: bool = False,
 ) -> DataFrame:
     """Add ``outcome`` and ``episode`` to every event of one ordered list.
 
-    Copies of an event id are taken to carry the same event time, as a redelivered
-    event does. ``conflicting`` drops that assumption at the price of further passes.
+    A copy of an event id that carries another event time than the first one could raise
+    the high-water mark, so the copies are compared in the window that finds duplicates,
+    and if any differ further passes settle the marks.
     """
     heavy = heavy_keys(events, "event_id", "visit_id") if heavy is None else heavy
-    if conflicting:
+    checked = stage(mark_duplicates(mark_late(events, minutes, span), heavy, span, compare=True), "checked")
+    if not checked.filter("differs").isEmpty():
         checked = _settle(events, minutes, heavy, span)
-    else:
-        checked = mark_duplicates(mark_late(events, minutes, span), heavy, span)
+    checked = checked.drop("differs")
     # Cutting heavy keys reads a step's input twice, so each step is then stored once.
     split = any(heavy.values())
-    checked = stage_if(split and not conflicting, checked, "checked")
     accepted = ~F.col("duplicate") & ~F.col("late")
     traced = trace_visits(checked, accepted, heavy, span)
     classified = traced.withColumn("outcome", outcome()).drop("duplicate", "late", "live")
@@ -180,11 +179,10 @@ def ledger(
     minutes: int = WATERMARK_MINUTES,
     heavy: dict[str, list] | None = None,
     span: int = SPAN,
-    conflicting: bool = False,
 ) -> DataFrame:
     """Outcome of every parsed row, the contract violations included."""
     broken = F.size("errors") > 0
-    valid = classify(parsed.filter(~broken), minutes, heavy, span, conflicting)
+    valid = classify(parsed.filter(~broken), minutes, heavy, span)
     invalid = (
         parsed.filter(broken)
         .withColumn("episode", F.lit(None).cast("long"))

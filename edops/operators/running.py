@@ -20,6 +20,7 @@ SPAN = 1 << 17
 HEAVY_SHARE = 5_000
 HEAVY_ROWS = 4_000_000
 _TRACKED = 50_000
+_GROUPS = 64
 _CHUNK = "_chunk"
 
 _TOTAL = {"sum": F.sum, "max": F.max, "min": F.min}
@@ -38,21 +39,31 @@ class Running:
 def heavy_keys(
     df: DataFrame, *keys: str, heavy_rows: int = HEAVY_ROWS
 ) -> dict[str, list]:
-    """Values of each key column that hold an outsized share of the rows.
+    """Values of each key column (all of one type) that hold an outsized share of the rows.
 
-    One scan with a frequent-items sketch per column: nothing is shuffled by key,
-    and the sketch reports every value above its error, so at most ``HEAVY_SHARE``
-    values per column can come back.
+    One scan with a frequent-items sketch per column: nothing is shuffled by key, and at
+    most about ``HEAVY_SHARE`` values per column can come back. ``_GROUPS`` tasks merge the
+    sketches of the scan; the counts of the values that those report are then summed by
+    value, so no task meets the sketches of all. A value above twice the floor is found
+    however its rows lie.
     """
-    tops = [
-        F.expr(f"approx_top_k(`{key}`, {HEAVY_SHARE}, {_TRACKED})").alias(key) for key in keys
+    if df.isEmpty():
+        return {key: [] for key in keys}
+    part = F.pmod(F.spark_partition_id(), F.lit(_GROUPS)).alias("_part")
+    tops = [F.expr(f"approx_top_k(`{key}`, {HEAVY_SHARE}, {_TRACKED})") for key in keys]
+    listed = [
+        F.transform(top, lambda t, i=i: F.struct(F.lit(i).alias("key"), t["item"].alias("item"), t["count"].alias("n")))
+        for i, top in enumerate(tops)
     ]
-    row = df.agg(F.count(F.lit(1)).alias("_rows"), *tops).first()
-    floor = max(heavy_rows, row["_rows"] / HEAVY_SHARE)
-    return {
-        key: [top["item"] for top in (row[key] or []) if top["item"] is not None and top["count"] > floor]
-        for key in keys
-    }
+    # The number of rows travels as the count of a key of its own.
+    rows = F.array(F.struct(F.lit(-1).alias("key"), F.lit(None).alias("item"), F.count(F.lit(1)).alias("n")))
+    parts = df.groupBy(part).agg(F.concat(rows, *[F.coalesce(x, F.array()) for x in listed]).alias("tops"))
+    counts = parts.select(F.inline("tops")).groupBy("key", "item").agg(F.sum("n").alias("n"))
+    total = F.max(F.when(F.col("key") == -1, F.col("n"))).over(Window.partitionBy())
+    floor = F.greatest(F.lit(heavy_rows), F.col("_rows") / F.lit(HEAVY_SHARE))
+    found = counts.filter((F.col("key") == -1) | (F.col("n") > heavy_rows)).withColumn("_rows", total)
+    found = found.filter((F.col("key") >= 0) & F.col("item").isNotNull() & (F.col("n") > floor)).collect()
+    return {key: sorted(r["item"] for r in found if r["key"] == i) for i, key in enumerate(keys)}
 
 
 def _combine(how: str, local: Column, carried: Column) -> Column:

@@ -215,7 +215,7 @@ def nearest_rank_p90(spark, sf_dir):
 
 def _parsed(spark, sf_dir):
     raw = fx.raw_events(spark, sf_dir)
-    return flatten_events(parse_events(raw), ("seq", "number"))
+    return flatten_events(parse_events(raw), ("seq", "number", "raw_value"))
 
 
 @query("event_parse")
@@ -236,7 +236,10 @@ def _raw_ledger(spark, sf_dir):
 
 @query("quarantine")
 def quarantine(spark, sf_dir):
-    return ev.quarantine(_raw_ledger(spark, sf_dir)).select("seq", "event_id", "errors")
+    rows = ev.quarantine(_raw_ledger(spark, sf_dir))
+    # The rejected text itself: the id inside it, or the whole text if it is no JSON.
+    inside = F.coalesce(F.get_json_object("raw_value", "$.event_id"), F.col("raw_value"))
+    return rows.select("seq", "event_id", "errors", inside.alias("raw_event"))
 
 
 @query("dq_streaming")
@@ -281,7 +284,7 @@ def orphan_events(spark, sf_dir):
 
 
 def _episodes(spark, sf_dir):
-    return vs.fold_visits(_classified(spark, sf_dir), span=fx.ORDER_SPAN)
+    return replay.episodes(_events(spark, sf_dir), MINUTES, span=fx.ORDER_SPAN)
 
 
 @query("episodes")
@@ -537,7 +540,7 @@ def head_of_published(spark, sf_dir):
     target = fresh_path(spark, "published")
     active = bi.bi_active_patients(_enriched(spark, sf_dir))
     sinks.write_table(active, f"{target}/active_patients")
-    return read_head(spark, f"{target}/active_patients", 1000).select(
+    return read_head(spark, f"{target}/active_patients", 1000, ["visit_id"]).select(
         "visit_id", "current_status", "attention_score"
     )
 
@@ -672,9 +675,7 @@ def stream_state(spark, sf_dir):
 
 @query("stream_load_15min")
 def stream_load_15min(spark, sf_dir):
-    stream = _run_state(spark, sf_dir)
-    stream.start_load().awaitTermination()
-    return stream.load_windows()
+    return _run_state(spark, sf_dir).load_windows()
 
 
 @query("state_restore")

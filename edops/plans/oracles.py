@@ -383,8 +383,8 @@ oracle("episodes", ["fold"], f"SELECT {iso_list([*STATE, *CLOCKS, 'episode'], ST
 oracle("completed_visits", ["fold"], f"SELECT {iso_list([*STATE, *CLOCKS, 'episode'], STAMPS)} FROM fold WHERE completed")
 oracle("active_state", ["active"], f"SELECT {iso_list(ACTIVE, STAMPS)} FROM active")
 oracle("quarantine", ["raw_ledger", "checked"], """
-SELECT seq, event_id, errors FROM checked WHERE errors <> ''
-UNION ALL SELECT seq, event_id, outcome FROM raw_ledger WHERE outcome IN ('LATE_EVENT', 'STATE_WITHOUT_ARRIVAL')""")
+SELECT seq, event_id, errors, CASE WHEN bad THEN '{bad' ELSE event_id END AS raw_event FROM checked WHERE errors <> ''
+UNION ALL SELECT seq, event_id, outcome, event_id FROM raw_ledger WHERE outcome IN ('LATE_EVENT', 'STATE_WITHOUT_ARRIVAL')""")
 cte("counters", ["raw_ledger", "checked"], """
 SELECT count(*) FILTER (WHERE outcome IN ('ACCEPTED', 'STATE_WITHOUT_ARRIVAL')) AS records_processed,
        count(*) FILTER (WHERE outcome IN ('LATE_EVENT', 'STATE_WITHOUT_ARRIVAL')) + (SELECT count(*) FROM checked WHERE errors <> '') AS records_rejected,
@@ -484,7 +484,7 @@ FROM enriched""")
 oracle("bi_active_patients", ["queue"], "SELECT * REPLACE (" + ", ".join(f"{iso(c)} AS {c}" for c in ["arrival_time", "last_event_time", "last_update_timestamp"]) + ") FROM queue")
 oracle("active_queue_topk", ["queue"], "SELECT visit_id, attention_score, waiting_minutes, attention_level, attention_reason FROM queue ORDER BY attention_score DESC, waiting_minutes DESC, visit_id LIMIT 10")
 oracle("active_queue_filtered", ["queue"], "SELECT visit_id, triage_level, attention_level, current_status, attention_score FROM queue WHERE triage_level IN (1, 2, 3) AND attention_level IN ('HIGH', 'CRITICAL') AND current_status IN ('IN_TREATMENT', 'TRIAGED')")
-oracle("read_head", ["queue"], "SELECT visit_id, current_status, attention_score FROM queue LIMIT 1000")
+oracle("read_head", ["queue"], "SELECT visit_id, current_status, attention_score FROM queue ORDER BY visit_id LIMIT 1000")
 _DQ_ROWS = " UNION ALL ".join(
     f"SELECT '{check}' AS check_name, '{kind}' AS kind, (SELECT {counter} FROM {'report' if source == 'historical' else 'counters'}) AS record_count, '{text}' AS description"
     for check, source, counter, kind, text in DQ_CHECKS

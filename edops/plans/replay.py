@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from edops.operators.context import enrich
 from edops.operators.events import classify, ledger, stream_counters
 from edops.operators.gold import high_water_mark, kpis, load_15min, row_count
-from edops.operators.running import SPAN
+from edops.operators.running import SPAN, heavy_keys
 from edops.operators.visits import current_rows, fold_visits, open_visits
 from edops.schemas import WATERMARK_MINUTES
 from edops.session import stage
@@ -25,12 +25,19 @@ class Gold:
 
 
 def active_state(
-    events: DataFrame, minutes: int = WATERMARK_MINUTES, span: int = SPAN
+    events: DataFrame, minutes: int = WATERMARK_MINUTES, span: int = SPAN, heavy: dict[str, list] | None = None
 ) -> DataFrame:
     """Open visits after replaying an ordered list of valid events."""
-    classified = classify(events, minutes, span=span)
     # The newest event of all is never late, so the mark needs no classification.
-    return current_rows(open_visits(fold_visits(classified, span=span)), high_water_mark(events))
+    return current_rows(open_visits(episodes(events, minutes, heavy, span)), high_water_mark(events))
+
+
+def episodes(
+    events: DataFrame, minutes: int = WATERMARK_MINUTES, heavy: dict[str, list] | None = None, span: int = SPAN
+) -> DataFrame:
+    """Every stay of a replay, open or closed; hot visits are cut in the outcome and in the fold."""
+    heavy = heavy_keys(events, "event_id", "visit_id") if heavy is None else heavy
+    return fold_visits(classify(events, minutes, heavy, span), heavy, span)
 
 
 def enriched_state(states: DataFrame, events: DataFrame, cohorts: DataFrame) -> DataFrame:
@@ -70,8 +77,9 @@ def evidence(
     parsed: DataFrame, minutes: int = WATERMARK_MINUTES, span: int = SPAN
 ) -> DataFrame:
     """End-to-end counts of a replay: events, open and closed visits, quality counters."""
-    booked = stage(ledger(parsed, minutes, span=span), "ledger")
-    episodes = fold_visits(booked, span=span)
+    heavy = heavy_keys(parsed.filter(F.size("errors") == 0), "event_id", "visit_id")
+    booked = stage(ledger(parsed, minutes, heavy, span), "ledger")
+    episodes = fold_visits(booked, heavy, span)
     shape = episodes.agg(
         F.struct(
             F.count_if(~F.col("completed")).alias("active"), F.count_if("completed").alias("completed")
@@ -95,9 +103,15 @@ def evidence(
     )
 
 
+def first_copies(batch: DataFrame) -> DataFrame:
+    """One row per event id: the copy that sorts first by all its columns."""
+    one = batch.groupBy(F.col("event_id").alias("_id")).agg(F.min(F.struct(*batch.columns)).alias("e"))
+    return one.select("e.*")
+
+
 def append_log(previous: DataFrame, batch: DataFrame) -> DataFrame:
     """Previous log and the batch events whose id it does not know yet."""
-    fresh = batch.dropDuplicates(["event_id"]).join(previous.select("event_id"), "event_id", "left_anti")
+    fresh = first_copies(batch).join(previous.select("event_id"), "event_id", "left_anti")
     return previous.unionByName(fresh.select(*previous.columns))
 
 
@@ -105,7 +119,7 @@ def write_log_batch(
     spark: SparkSession, batch: DataFrame, path: str, batch_id: int, previous: DataFrame | None = None
 ) -> None:
     """Append a batch's new events as its own partition; a retry replaces it."""
-    fresh = batch.dropDuplicates(["event_id"])
+    fresh = first_copies(batch)
     if previous is not None:
         known = previous.filter(F.col("batch_id") != batch_id).select("event_id")
         fresh = fresh.join(known, "event_id", "left_anti")

@@ -30,6 +30,9 @@ def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
-def read_head(spark: SparkSession, path: str, n: int = 1000) -> DataFrame:
-    """First ``n`` rows of a published table."""
-    return spark.read.parquet(path).limit(n)
+def read_head(spark: SparkSession, path: str, n: int = 1000, order: list[str] | None = None) -> DataFrame:
+    """First ``n`` rows of a published table, by ``order`` (by default all its sortable columns)."""
+    rows = spark.read.parquet(path)
+    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
+    order = order or [c for c, kind in kinds.items() if not kind.startswith("map") and kind != "variant"]
+    return rows.orderBy(*order).limit(n)

@@ -4,11 +4,14 @@ Layout below the output folder, one partition per batch:
 
     ledger/batch_id=N     every row of the batch with its outcome and errors
     episodes/batch_id=N   completed=false: open visits; completed=true: closed in the batch
-    marks/batch_id=N      high-water mark and counters, written last
+    load/batch_id=N       what the batch adds to each 15-minute window
+    marks/batch_id=N      high-water mark, counters and run, written last
     parsed                the batch in work, parsed and ordered
 
 Batch N reads partition N-1 and overwrites its own folders, so a repeated batch gives
-the same result, and a batch without its mark has not happened.
+the same result. A batch without its mark has not happened: no reader shows it. Only the
+newest batch can be repeated, and only by the run that wrote it, so a run whose numbering
+starts again cannot replace stored batches.
 """
 
 from __future__ import annotations
@@ -46,9 +49,10 @@ _LEDGER = (
 )
 _MARK = (
     "high_water timestamp, records_processed long, records_rejected long, "
-    "duplicate_event_ids long, malformed_events long, late_events long, missing_fields long"
+    "duplicate_event_ids long, malformed_events long, late_events long, missing_fields long, run string"
 )
-_COUNTERS = [c.split()[0] for c in _MARK.split(", ")][1:]
+_COUNTERS = [c.split()[0] for c in _MARK.split(", ")][1:-1]
+_LOAD = "window_start timestamp, window_end timestamp, new_arrivals long, admissions long, discharges long"
 
 
 @dataclass
@@ -62,7 +66,10 @@ class VisitStream:
     # Copies carry the event time of their original, so a horizon of at least the
     # watermark keeps every acceptance decision; older copies then count as late.
     dedupe_horizon_minutes: int | None = None
+    # Open visits and known event ids that a run starts from, as ``write_snapshot`` leaves
+    # them; without the ids only the state is taken over.
     initial_state: str | None = None
+    initial_ids: str | None = None
     span: int = SPAN
     heavy_rows: int = HEAVY_ROWS
 
@@ -103,10 +110,11 @@ class VisitStream:
         return self.state(-1).agg(F.unix_micros(F.max("last_event_time"))).first()[0]
 
     def log_ids(self, batch_id: int, mark: int | None) -> DataFrame:
-        """Accepted event ids of all batches before ``batch_id``."""
+        """Accepted event ids of all batches before ``batch_id``, those of the snapshot included."""
+        earlier = self._read("event_id string", self.initial_ids)
         if batch_id <= 0:
-            return self.spark.createDataFrame([], "event_id string")
-        log = self.ledger().filter(F.col("batch_id") < batch_id)
+            return earlier
+        log = self._table("ledger", _LEDGER).filter(F.col("batch_id") < batch_id)
         if self.dedupe_horizon_minutes is not None and mark is not None:
             reach = F.expr(f"INTERVAL {int(self.dedupe_horizon_minutes)} MINUTES")
             limit = from_micros(mark) - reach
@@ -114,7 +122,15 @@ class VisitStream:
             recent = self._marks().filter(F.col("high_water") >= limit)
             first = recent.agg(F.min("batch_id")).first()[0]
             log = log.filter((F.col("batch_id") >= first) & (F.col("event_ts") >= limit))
-        return log.filter(F.col("outcome").isin(ACCEPTED, ORPHAN)).select("event_id")
+        return log.filter(F.col("outcome").isin(ACCEPTED, ORPHAN)).select("event_id").union(earlier)
+
+    def write_snapshot(self, path: str) -> None:
+        """Store what another run needs to start from here: ``state`` and ``event_ids``."""
+        last = self.last_batch()
+        if last is None:
+            raise ValueError("No batch is complete")
+        self.state(last).write.mode("errorifexists").parquet(f"{path}/state")
+        self.log_ids(last + 1, None).write.mode("errorifexists").parquet(f"{path}/event_ids")
 
     # --- one batch -----------------------------------------------------------------
 
@@ -123,9 +139,11 @@ class VisitStream:
         before = batch_id - 1
         if before >= 0 and self._mark_row(before) is None:
             raise ValueError(f"Batch {batch_id} needs batch {before}, which is not complete")
+        run = self.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        self._refuse_other_run(batch_id, run)
         parsed = self._parse(batch)
         broken = F.size("errors") > 0
-        valid = parsed.filter(~broken).drop("raw_value")
+        valid = parsed.filter(~broken)
         heavy = heavy_keys(valid, "event_id", "visit_id", heavy_rows=self.heavy_rows)
         mark, state = self.mark(before), self.state(before)
 
@@ -133,9 +151,10 @@ class VisitStream:
         checked = stage_if(any(heavy.values()), checked, "checked")
         traced = trace_batch(state, checked, heavy, self.span)
         invalid = parsed.filter(broken).withColumn("outcome", F.lit(INVALID))
-        ledger = traced.unionByName(invalid, allowMissingColumns=True).select(
-            *names(_LEDGER)
-        )
+        ledger = traced.unionByName(invalid, allowMissingColumns=True)
+        # Rejected rows keep the text they came with.
+        rejected = F.col("outcome").isin(INVALID, LATE, ORPHAN)
+        ledger = ledger.withColumn("raw_value", F.when(rejected, F.col("raw_value"))).select(*names(_LEDGER))
         ledger.write.mode("overwrite").parquet(self._path("ledger", batch_id))
 
         written = self.spark.read.schema(_LEDGER).parquet(self._path("ledger", batch_id))
@@ -147,16 +166,28 @@ class VisitStream:
             .parquet(self._path("episodes", batch_id))
         )
         seen = written.filter(F.col("outcome").isin(ACCEPTED, ORPHAN))
+        window_counts(seen).write.mode("overwrite").parquet(self._path("load", batch_id))
         high_water = F.greatest(seen.agg(F.max("event_ts")).scalar(), from_micros(mark))
         (
             stream_counters(written)
             .withColumn("high_water", high_water)
-            .select("high_water", *_COUNTERS)
+            .withColumn("run", F.lit(run).cast("string"))
+            .select("high_water", *_COUNTERS, "run")
             .coalesce(1)
             .write.mode("overwrite")
             .parquet(self._path("marks", batch_id))
         )
 
+    def _refuse_other_run(self, batch_id: int, run: str | None) -> None:
+        """Stored batches stay as they are, but for a repeat of the newest by its own run."""
+        last = self.last_batch()
+        if last is None or batch_id > last:
+            return
+        if batch_id < last:
+            raise ValueError(f"Batch {batch_id} is older than the stored batch {last}; use another output folder")
+        if self._mark_row(last)["run"] != run:
+            raise ValueError(f"Batch {last} was stored by another run; use another output folder")
+
     def _parse(self, batch: DataFrame) -> DataFrame:
         """Parse once and fix the processing order: event time, then arrival.
 
@@ -198,21 +229,38 @@ class VisitStream:
 
     # --- results -----------------------------------------------------------------
 
+    def _table(self, name: str, schema: str) -> DataFrame:
+        """All batches of a table; none were written yet: empty."""
+        return self._read(f"{schema}, batch_id int", self._path(name))
+
+    def _complete(self, name: str, schema: str) -> DataFrame:
+        """The complete batches of a table; batches follow one another without a gap."""
+        last = self.last_batch()
+        return self._table(name, schema).filter(F.col("batch_id") <= F.lit(-1 if last is None else last))
+
     def _marks(self) -> DataFrame:
-        return self.spark.read.schema(f"{_MARK}, batch_id int").parquet(self._path("marks"))
+        return self._table("marks", _MARK)
 
-    def last_batch(self) -> int:
-        """Newest complete batch."""
+    def last_batch(self) -> int | None:
+        """Newest complete batch; None before the first."""
         return self._marks().agg(F.max("batch_id")).first()[0]
 
     def ledger(self) -> DataFrame:
-        return self.spark.read.schema(f"{_LEDGER}, batch_id int").parquet(self._path("ledger"))
+        return self._complete("ledger", _LEDGER)
 
     def event_log(self, accepted_only: bool = False) -> DataFrame:
-        """One row per valid event id: applied, orphan and late ones unless narrowed."""
+        """One row per valid event id: applied, orphan and late ones unless narrowed.
+
+        Of a late and a later accepted copy the accepted one is shown, else the earliest.
+        """
         kept = [ACCEPTED] if accepted_only else [ACCEPTED, ORPHAN, LATE]
         rows = self.ledger().filter(F.col("outcome").isin(kept))
-        return rows.dropDuplicates(["event_id"]).select(*EVENT_COLUMNS, "event_ts", "outcome", "batch_id")
+        rank = F.array_position(F.array(*[F.lit(k) for k in kept]), F.col("outcome"))
+        columns = [*EVENT_COLUMNS, "event_ts", "outcome", "batch_id"]
+        one = rows.groupBy(F.col("event_id").alias("_id")).agg(
+            F.min_by(F.struct(*columns), F.struct(rank.alias("rank"), "batch_id", "seq")).alias("e")
+        )
+        return one.select("e.*")
 
     def quarantine(self) -> DataFrame:
         rows = self.ledger().filter(~F.col("outcome").isin(ACCEPTED, DUPLICATE))
@@ -225,9 +273,7 @@ class VisitStream:
         return current_rows(self.state(last), from_micros(self.mark(last)))
 
     def completed(self) -> DataFrame:
-        episodes = self.spark.read.schema(
-            f"{STORED_STATE}, episode long, batch_id int, completed boolean"
-        ).parquet(self._path("episodes"))
+        episodes = self._complete("episodes", f"{STORED_STATE}, episode long, completed boolean")
         return episodes.filter("completed").drop("completed")
 
     def counters(self) -> DataFrame:
@@ -244,40 +290,15 @@ class VisitStream:
         )
         return _triggered(writer, available_now, every).start()
 
-    def start_load(self, files_per_trigger: int = 1000) -> StreamingQuery:
-        """Third query: 15-minute load over the ledger as it grows.
+    def load_windows(self) -> DataFrame:
+        """15-minute load of all complete batches, kept up to date by the state query.
 
-        Copies never reach the counts. Each batch stores the windows it changed.
+        Copies never reach the counts. Every batch stores what it adds, so a repeated batch
+        replaces its own part and nothing else.
         """
-        ledger = (
-            self.spark.readStream.schema(f"{_LEDGER}, batch_id int")
-            .option("maxFilesPerTrigger", files_per_trigger)
-            .parquet(self._path("ledger"))
-        )
-        counted = window_counts(
-            ledger.filter(F.col("outcome").isin(ACCEPTED, ORPHAN)), self.watermark_minutes
-        )
-
-        def keep(changed: DataFrame, batch_id: int) -> None:
-            changed.write.mode("overwrite").parquet(self._path("load", batch_id))
-
-        writer = (
-            counted.writeStream.foreachBatch(keep)
-            .outputMode("update")
-            .queryName("load_15min")
-            .option("checkpointLocation", self._path("checkpoints/load"))
-        )
-        return _triggered(writer, True, "").start()
-
-    def load_windows(self) -> DataFrame:
-        """Last stored version of each load window."""
-        flow = ["window_end", "new_arrivals", "admissions", "discharges"]
-        return (
-            self.spark.read.parquet(self._path("load"))
-            .groupBy("window_start")
-            .agg(F.max_by(F.struct(*flow), "batch_id").alias("w"))
-            .select("window_start", "w.*")
-        )
+        flow = ["new_arrivals", "admissions", "discharges"]
+        parts = self._complete("load", _LOAD)
+        return parts.groupBy("window_start", "window_end").agg(*[F.sum(c).alias(c) for c in flow])
 
     def start_malformed(self, raw: DataFrame, available_now: bool = True, every: str = "10 seconds") -> StreamingQuery:
         """Second query: rows that are not JSON objects, appended as JSON files."""
@@ -307,12 +328,11 @@ def run_for(query: StreamingQuery, seconds: float) -> None:
     query.stop()
 
 
-def window_counts(events: DataFrame, watermark_minutes: int = WATERMARK_MINUTES) -> DataFrame:
-    """Streaming arrivals, admissions and discharges per 15-minute window (update mode)."""
+def window_counts(events: DataFrame) -> DataFrame:
+    """Arrivals, admissions and discharges of a batch per 15-minute window."""
     kind = F.col("event_type")
     return (
-        events.withWatermark("event_ts", f"{watermark_minutes} minutes")
-        .groupBy(F.window("event_ts", f"{WINDOW_MINUTES} minutes").alias("w"))
+        events.groupBy(F.window("event_ts", f"{WINDOW_MINUTES} minutes").alias("w"))
         .agg(
             F.count_if(kind == "ARRIVAL").alias("new_arrivals"),
             F.count_if(kind == "ADMISSION").alias("admissions"),

@@ -1,4 +1,4 @@
-"""Event outcomes and visit state against an event-by-event replay."""
+"""Event outcomes and visit state against the SQL replay and hand-made tables."""
 
 from __future__ import annotations
 
@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from edops.operators import events as ev, visits as vs
 from edops.operators.running import Running, heavy_keys, running
+from edops.plans import replay as jobs
 from edops.schemas import PATIENT_EVENTS, STORED_STATE
-from reference_fold import VITALS, Replay
+from sql_fold import replay
 
 T0 = datetime(2026, 1, 1)
+VITALS = ["heart_rate", "respiratory_rate", "systolic_bp", "diastolic_bp", "spo2", "pain_score"]
 FIELDS = (
     "event_id string, event_type string, patient_id string, visit_id string, event_ts timestamp, "
     "triage_level int, age int, sex string, heart_rate double, respiratory_rate double, "
@@ -36,14 +38,12 @@ def frame(spark, rows):
     return spark.createDataFrame([tuple(r[n] for n in NAMES) for r in rows], FIELDS)
 
 
-def random_events(seed, n=300, conflicting=False):
+def random_events(seed, n=300):
     rng = random.Random(seed)
     rows, by_id = [], {}
     for seq in range(n):
         if by_id and rng.random() < 0.15:
             old = dict(rng.choice(list(by_id.values())))
-            if conflicting and rng.random() < 0.5:
-                old["event_ts"] = old["event_ts"] + timedelta(minutes=rng.randint(-90, 90))
             rows.append({**old, "seq": seq})
             continue
         kind = rng.choices(TYPES, weights=[4, 3, 4, 3, 1, 1])[0]
@@ -81,30 +81,47 @@ HEAVY = {"event_id": [f"E{i}" for i in range(0, 300, 3)], "visit_id": ["V0", "V3
 
 @pytest.mark.parametrize("heavy,span", [({}, 1 << 20), (HEAVY, 16)], ids=["plain", "chunked"])
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_replay_equals_event_by_event(spark, seed, heavy, span):
+def test_replay_equals_sql(spark, seed, heavy, span):
     rows = random_events(seed)
-    replay = Replay(30)
-    for row in rows:
-        replay.add(row)
+    outcomes, opened, closed = replay(rows, 30)
     classified = ev.classify(frame(spark, rows), 30, heavy, span)
     got = {r["seq"]: r["outcome"] for r in classified.select("seq", "outcome").collect()}
-    assert got == replay.outcomes
+    assert got == outcomes
     assert len(set(got.values())) == 4
     episodes = vs.fold_visits(classified, heavy, span).cache()
-    assert as_rows(vs.open_visits(episodes)) == expect_rows(replay.open.values())
-    assert as_rows(vs.completed_visits(episodes)) == expect_rows(replay.closed)
+    assert as_rows(vs.open_visits(episodes)) == expect_rows(opened)
+    assert as_rows(vs.completed_visits(episodes)) == expect_rows(closed)
     episodes.unpersist()
 
 
-@pytest.mark.parametrize("seed", [4, 5])
-def test_conflicting_copies_are_exact_on_request(spark, seed):
-    rows = random_events(seed, 200, conflicting=True)
-    replay = Replay(30)
-    for row in rows:
-        replay.add(row)
-    classified = ev.classify(frame(spark, rows), 30, {}, conflicting=True)
-    got = {r["seq"]: r["outcome"] for r in classified.select("seq", "outcome").collect()}
-    assert got == replay.outcomes
+CONFLICTS = [
+    # (event id, minute, expected outcome); every event is an arrival of its own visit
+    [("a", 0, "ACCEPTED"), ("a", 500, "DUPLICATE"), ("b", 10, "ACCEPTED")],
+    [("a", 100, "ACCEPTED"), ("b", 0, "LATE_EVENT"), ("b", 120, "ACCEPTED"), ("b", 900, "DUPLICATE"), ("c", 95, "ACCEPTED")],
+    # Each copy's outcome hangs on the one before.
+    [("a", 0, "ACCEPTED"), ("a", 100, "DUPLICATE"), ("b", 20, "ACCEPTED"), ("b", 200, "DUPLICATE"), ("c", 40, "ACCEPTED"),
+     ("c", 300, "DUPLICATE"), ("d", 69, "ACCEPTED"), ("e", 38, "LATE_EVENT")],
+    [("a", 50, "ACCEPTED"), ("a", 0, "DUPLICATE"), ("a", 50, "DUPLICATE"), ("b", 20, "ACCEPTED"), ("c", 19, "LATE_EVENT")],
+]
+
+
+@pytest.mark.parametrize("heavy,span", [({}, 1 << 20), ({"event_id": ["a", "b"], "visit_id": []}, 2)], ids=["plain", "chunked"])
+@pytest.mark.parametrize("case", range(len(CONFLICTS)))
+def test_conflicting_copies_do_not_raise_the_mark(spark, case, heavy, span):
+    rows = [event(i, name, "ARRIVAL", minute, f"V{i}") for i, (name, minute, _) in enumerate(CONFLICTS[case])]
+    classified = ev.classify(frame(spark, rows), 30, heavy, span)
+    assert [r["outcome"] for r in classified.orderBy("seq").collect()] == [want for _, _, want in CONFLICTS[case]]
+
+
+def test_a_visit_with_a_third_of_all_events_is_cut(spark):
+    """The job finds the hot visit itself, cuts it, and gets the uncut result."""
+    rows = random_events(9, 400)
+    events = frame(spark, rows)
+    heavy = heavy_keys(events, "event_id", "visit_id", heavy_rows=100)
+    assert heavy["visit_id"] == ["V0"]
+    cut = jobs.active_state(events, 30, span=16, heavy=heavy)
+    plain = jobs.active_state(events, 30)
+    assert sorted(map(repr, cut.collect())) == sorted(map(repr, plain.collect()))
 
 
 @pytest.mark.parametrize("heavy,span", [({}, 1 << 20), (HEAVY, 8)], ids=["plain", "chunked"])
@@ -115,9 +132,7 @@ def test_batches_continue_stored_state(spark, heavy, span):
     rows.sort(key=lambda r: (r["event_ts"], r["event_id"]))
     for i, row in enumerate(rows):
         row["seq"] = i
-    replay = Replay(10**6)
-    for row in rows:
-        replay.add(row)
+    _, opened, _ = replay(rows, None)
     state = spark.createDataFrame([], STORED_STATE)
     for low in range(0, 240, 80):
         part = frame(spark, rows[low : low + 80]).withColumn("late", F.lit(False))
@@ -128,7 +143,7 @@ def test_batches_continue_stored_state(spark, heavy, span):
         traced = vs.trace_batch(state, checked, heavy, span)
         merged = vs.merge_state(state, traced, heavy, span)
         state = spark.createDataFrame(vs.open_visits(merged).collect(), STORED_STATE)
-    assert as_rows(state) == expect_rows(replay.open.values())
+    assert as_rows(state) == expect_rows(opened)
 
 
 def outcomes(spark, rows, minutes=30):

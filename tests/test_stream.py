@@ -16,7 +16,7 @@ from edops.schemas import STORED_STATE
 from edops.sources.event_stream import file_events, kafka_events, kafka_records
 from edops.streaming.job import VisitStream, run_for
 from edops.streaming.metrics import BatchMetrics, metrics_table
-from reference_fold import Replay
+from sql_fold import replay
 from test_events import expect_rows, as_rows, random_events
 
 T0 = datetime(2026, 1, 1)
@@ -67,27 +67,27 @@ def test_checks_across_batches(spark, tmp_path):
     }
     shown = stream.open_visits().first()
     assert (shown["visit_id"], shown["triage_level"], shown["waiting_minutes"]) == ("V1", 3, 380.0)
-    assert stream.quarantine().count() == 5
+    kept = stream.quarantine().select("event_id", "raw_value").collect()
+    assert len(kept) == 5 and all(r["raw_value"] and (r["event_id"] or "") in r["raw_value"] for r in kept)
+    assert stream.ledger().filter("outcome = 'ACCEPTED' and raw_value is not null").isEmpty()
     assert {r["event_id"] for r in stream.event_log().collect()} == {"a", "b", "c", "d", "x"}
     assert {r["event_id"] for r in stream.event_log(accepted_only=True).collect()} == {"a", "c"}
 
 
 @pytest.mark.parametrize("seed", [11])
 @pytest.mark.parametrize("size,heavy_rows", [(240, 1_000_000), (80, 10)], ids=["one_batch", "three_batches_hot"])
-def test_batches_equal_event_by_event(spark, tmp_path, seed, size, heavy_rows):
+def test_batches_equal_sql(spark, tmp_path, seed, size, heavy_rows):
     rows = random_events(seed, 240)
     rows.sort(key=lambda r: r["event_ts"])  # events of one time keep their arrival order
     for i, row in enumerate(rows):
         row["seq"] = i
-    replay = Replay(10**6)
-    for row in rows:
-        replay.add(row)
+    _, opened, closed = replay(rows, None)
     for number, low in enumerate(range(0, 240, size)):
         # A new object per batch: nothing but the stored tables carries over.
         stream = VisitStream(spark, str(tmp_path), 10**6, span=32, heavy_rows=heavy_rows)
         stream.process(batch(spark, [as_text(r) for r in rows[low : low + size]]), number)
-    assert as_rows(stream.state(number)) == expect_rows(replay.open.values())
-    assert as_rows(stream.completed()) == expect_rows(replay.closed)
+    assert as_rows(stream.state(number)) == expect_rows(opened)
+    assert as_rows(stream.completed()) == expect_rows(closed)
 
 
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
@@ -116,6 +116,78 @@ def test_start_from_a_saved_snapshot(spark, tmp_path):
     assert outcomes(resumed)[0, "4"] == "LATE_EVENT"
 
 
+def test_a_snapshot_brings_its_event_ids(spark, tmp_path):
+    first = VisitStream(spark, str(tmp_path / "one"))
+    update = text("2", "VITALS_UPDATE", 10, heart_rate=80)
+    first.process(batch(spark, [text("1", "ARRIVAL", 0), update]), 0)
+    saved = str(tmp_path / "snapshot")
+    first.write_snapshot(saved)
+    resumed = VisitStream(spark, str(tmp_path / "two"), initial_state=f"{saved}/state", initial_ids=f"{saved}/event_ids")
+    for number in range(2):
+        resumed.process(batch(spark, [update, text(f"new{number}", "TRIAGE", 12 + number, triage_level=2)]), number)
+    assert [outcomes(resumed)[n, "2"] for n in range(2)] == ["DUPLICATE"] * 2
+    assert resumed.open_visits().first()["event_count"] == 4
+
+
+def windows(stream):
+    return {tuple(r) for r in stream.load_windows().collect()}
+
+
+def test_load_counts_every_event_once(spark, tmp_path):
+    """Many small files per batch, a repeated batch and a batch without its mark."""
+    stream = VisitStream(spark, str(tmp_path))
+    lines = [text(f"e{i}", "ARRIVAL", i, f"V{i}") for i in range(200)]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        stream.process(batch(spark, lines[:150]).repartition(4), 0)
+        stream.process(batch(spark, lines[100:]).repartition(4), 1)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    whole = windows(stream)
+    assert sum(w[2] for w in whole) == 200 and len(whole) == 14
+    stream.process(batch(spark, lines[100:]), 1)
+    assert windows(stream) == whole
+    (tmp_path / "marks" / "batch_id=1").rename(tmp_path / "lost_mark")
+    assert stream.last_batch() == 0
+    assert sum(w[2] for w in windows(stream)) == 150 == stream.event_log().count() == stream.ledger().count()
+
+
+def test_a_batch_without_its_mark_is_not_shown(spark, tmp_path):
+    stream = VisitStream(spark, str(tmp_path))
+    assert stream.last_batch() is None and stream.ledger().count() == stream.completed().count() == 0
+    stream.process(batch(spark, [text("a", "ARRIVAL", 0), "oops"]), 0)
+    stream.process(batch(spark, [text("b", "DISCHARGE", 5), "bad"]), 1)
+    (tmp_path / "marks" / "batch_id=1").rename(tmp_path / "lost_mark")
+    assert (stream.open_visits().count(), stream.completed().count(), stream.quarantine().count()) == (1, 0, 1)
+    assert [r["event_id"] for r in stream.event_log().collect()] == ["a"]
+
+
+def test_stored_batches_are_not_replaced_by_another_run(spark, tmp_path):
+    source, out = tmp_path / "in", str(tmp_path / "out")
+    write_file(source, "1.txt", [text("a", "ARRIVAL", 0)])
+    stream = VisitStream(spark, out)
+    stream.start_state(file_events(spark, str(source))).awaitTermination()
+    before = sorted(map(tuple, stream.ledger().collect()))
+    (tmp_path / "out" / "checkpoints").rename(tmp_path / "lost_checkpoints")
+    with pytest.raises(Exception, match="another run"):
+        VisitStream(spark, out).start_state(file_events(spark, str(source))).awaitTermination()
+    assert sorted(map(tuple, stream.ledger().collect())) == before
+    again = VisitStream(spark, str(tmp_path / "direct"))
+    for number in range(2):
+        again.process(batch(spark, [text(f"x{number}", "ARRIVAL", 0, f"V{number}")]), number)
+    with pytest.raises(ValueError, match="older than the stored batch 1"):
+        again.process(batch(spark, [text("y", "ARRIVAL", 0)]), 0)
+
+
+def test_event_log_prefers_the_accepted_copy(spark, tmp_path):
+    stream = VisitStream(spark, str(tmp_path))
+    stream.process(batch(spark, [text("m", "ARRIVAL", 100, "V0")]), 0)
+    stream.process(batch(spark, [text("k", "ARRIVAL", 10, "V1")]), 1)  # late
+    stream.process(batch(spark, [text("k", "ARRIVAL", 110, "V1")]), 2)  # a copy in time
+    log = {r["event_id"]: (r["outcome"], r["batch_id"]) for r in stream.event_log().collect()}
+    assert log == {"m": ("ACCEPTED", 0), "k": ("ACCEPTED", 2)}
+
+
 def test_horizon_keeps_the_decision_on_copies(spark, tmp_path):
     stream = VisitStream(spark, str(tmp_path), dedupe_horizon_minutes=30)
     stream.process(batch(spark, [text("old", "ARRIVAL", 0), text("new", "ARRIVAL", 100, "V2")]), 0)
@@ -149,7 +221,6 @@ def test_file_stream_with_restart_and_one_more_arrival(spark, tmp_path):
     again.start_state(file_events(spark, str(source))).awaitTermination()
     assert again.last_batch() == 2
     assert again.open_visits().count() == before + 1
-    again.start_load().awaitTermination()
     got = {r["window_start"].hour * 60 + r["window_start"].minute: tuple(r)[2:] for r in again.load_windows().collect()}
     assert got == {0: (2, 0, 0), 15: (1, 0, 1)}
 
