@@ -26,7 +26,6 @@ from edops.sources.fixed_width import read_bronze
 from edops.streaming.job import VisitStream
 
 MINUTES = 180  # watermark of the replay queries
-SMALLEST_COHORT = 50
 HALF_TIME = "2024-01-16 00:00:00"  # cuts the events into an earlier and a later batch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -346,21 +345,27 @@ def _states(spark, sf_dir):
 
 @query("cohort_fallback")
 def cohort_fallback(spark, sf_dir):
-    """Every visit finds its cohort again; small cohorts of the finest level are left out."""
+    """Orders look up cohorts of visits that lack ages at level 5 and hours at level 4.
+
+    Triage level 6 has no visits at all, so every level of the fallback is met.
+    """
     visits = fx.visits(spark, sf_dir)
-    known = _cohorts(spark, sf_dir).filter(
-        (F.col("match_level") != "TRIAGE_AGE_HOUR") | (F.col("patient_count") >= SMALLEST_COHORT)
+    level = F.coalesce("triage_level", F.lit(0))
+    sparse = visits.withColumns(
+        {"age": F.when(level != 5, F.col("age")), "arrival_hour": F.when(level != 4, F.col("arrival_hour"))}
+    )
+    order, customer = F.col("o_orderkey"), F.col("o_custkey")
+    probes = fx.table(spark, sf_dir, "orders").select(
+        order.alias("order_key"),
+        (order % 7).cast("int").alias("triage_level"),
+        F.when(customer % 10 != 0, (customer % 100).cast("int")).alias("age"),
+        F.when(order % 5 != 0, (order % 24).cast("int")).alias("arrival_hour"),
     )
     rows = co.match_cohorts(
-        visits.select("visit_id", "record_order", "triage_level", "age", "arrival_hour"),
-        known,
-        F.col("triage_level"),
-        F.col("age"),
-        F.col("arrival_hour"),
+        probes, co.build_cohorts(sparse), F.col("triage_level"), F.col("age"), F.col("arrival_hour")
     )
     return rows.select(
-        "visit_id",
-        "record_order",
+        "order_key",
         F.col("cohort.cohort_key").alias("cohort_key"),
         F.col("cohort.match_level").alias("match_level"),
     )

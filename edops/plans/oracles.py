@@ -260,9 +260,19 @@ def matched(source: str, cohorts: str, columns: str) -> str:
     return f"SELECT {columns}, {found}, {values} FROM {source} k {joins}"
 
 
-cte("known", ["cohorts"], "SELECT * FROM cohorts WHERE match_level <> 'TRIAGE_AGE_HOUR' OR patient_count >= 50")
-cte("fallback", ["keyed", "known"], matched("keyed", "known", "k.visit_id, k.record_order"))
-oracle("cohort_fallback", ["fallback"], "SELECT visit_id, record_order, cohort_key, match_level FROM fallback")
+
+def keyed_sql(source: str) -> str:
+    return f"SELECT *, coalesce(nullif(triage_level, 0)::VARCHAR, 'ALL') AS t, {BAND.format('age')} AS a, coalesce(arrival_hour::VARCHAR, 'ALL') AS h FROM {source}"
+
+
+cte("sparse", ["visits"], "SELECT * REPLACE (CASE WHEN triage_level <> 5 OR triage_level IS NULL THEN age END AS age, CASE WHEN triage_level <> 4 OR triage_level IS NULL THEN arrival_hour END AS arrival_hour) FROM visits")
+cte("sparse_keyed", ["sparse"], keyed_sql("sparse"))
+cte("sparse_cohorts", ["sparse_keyed"], "SELECT *, NULL::DOUBLE AS median_wait_minutes, NULL::DOUBLE AS avg_wait_minutes, NULL::DOUBLE AS p90_wait_minutes, NULL::DOUBLE AS admission_rate FROM (" + " UNION ".join(
+    f"SELECT {key} AS cohort_key, '{level}' AS match_level FROM sparse_keyed" for key, level in zip(_KEYS, ["TRIAGE_AGE_HOUR", "TRIAGE_AGE", "TRIAGE", "OVERALL"])) + ")")
+cte("probes", [], "SELECT o_orderkey AS order_key, (o_orderkey % 7)::INT AS triage_level, CASE WHEN o_custkey % 10 <> 0 THEN (o_custkey % 100)::INT END AS age, CASE WHEN o_orderkey % 5 <> 0 THEN (o_orderkey % 24)::INT END AS arrival_hour FROM orders")
+cte("probe_keys", ["probes"], keyed_sql("probes"))
+cte("fallback", ["probe_keys", "sparse_cohorts"], matched("probe_keys", "sparse_cohorts", "k.order_key"))
+oracle("cohort_fallback", ["fallback"], "SELECT order_key, cohort_key, match_level FROM fallback")
 EXPECTED = "coalesce(nullif(m_median_wait_minutes, 0), nullif(m_avg_wait_minutes, 0), 0)::DOUBLE"
 cte("compared", ["keyed", "cohorts"], f"""
 SELECT visit_id, record_order, e AS expected_wait_minutes, {rnd('coalesce(waiting_time_minutes, 0) - e', 2)} AS wait_vs_expected_minutes,

@@ -30,3 +30,8 @@ def test_entry_runs(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
     assert compare(entry.queries()[name](spark, DATA), con, entry.oracle_sql()[name]) is None
+
+
+def test_fallback_meets_every_level(spark):
+    rows = QUERIES["cohort_fallback"](spark, DATA).groupBy("match_level").count().collect()
+    assert {r["match_level"] for r in rows} == {"TRIAGE_AGE_HOUR", "TRIAGE_AGE", "TRIAGE", "OVERALL"}
