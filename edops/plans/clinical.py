@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from edops.schemas import CLINICAL_COLUMNS
+from edops.session import stage
 from edops.sources.clinical import SUFFIX, clinical_schema, read_extract, validate_source
 from edops.sources.sinks import load_plan, reconcile, require_reconciled, write_table
 
@@ -28,17 +29,33 @@ def ingest(
     apply: bool = False,
     replace: bool = False,
 ) -> DataFrame:
-    """Validate all extracts; then return the plan, or load and reconcile each table."""
+    """Validate all extracts; then return the plan, or load and reconcile each table.
+
+    An extract is read for its report (rows, header, hash) and once more to be stored; plan,
+    reconciliation and manifest take its counts from the stored report.
+    """
     tables = list(CLINICAL_COLUMNS)
     reports = [validate_source(spark, source_path(source_dir, t), t) for t in tables]
     schemas = schemas or {t: clinical_schema(t) for t in tables}
     sources = {t: read_extract(spark, source_path(source_dir, t), schemas[t]) for t in tables}
+    counted = reduce(
+        DataFrame.unionByName,
+        [
+            report.agg(F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count")).select(
+                F.lit(i).alias("position"),
+                F.lit(t).alias("table_name"),
+                F.lit(",".join(sources[t].columns)).alias("columns"),
+                "row_count",
+            )
+            for i, (t, report) in enumerate(zip(tables, reports))
+        ],
+    )
     if not apply:
-        return load_plan(sources, target, replace)
+        return load_plan(sources, target, replace, counted)
     for name, df in sources.items():
         # One compressed file is one task; its rows are spread before they are stored.
         write_table(df.hint("rebalance"), f"{target}/{name}", replace)
-    checked = reconcile(spark, sources, target)
+    checked = stage(reconcile(spark, sources, target, counted=counted), "reconciled")
     require_reconciled(checked)
     run_manifest(reports, target, apply).write.mode("overwrite").json(f"{target}/manifest")
     return checked

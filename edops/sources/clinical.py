@@ -7,6 +7,7 @@ import json
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from edops.schemas import CLINICAL_COLUMNS, DOCUMENT_TYPES, names, struct
+from edops.session import stage
 from edops.sources.files import fingerprints
 
 SUFFIX = ".csv.gz"
@@ -73,10 +74,10 @@ def _plain(column: str):
 
 
 def validate_source(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """The source report, after checking that the extract can be loaded."""
+    """The stored source report, after checking that the extract can be loaded."""
     if not (path.endswith(SUFFIX) or _has_extract(spark, path)):
         raise ValueError(f"Expected {SUFFIX} files: {path}")
-    report = source_report(spark, path, table)
+    report = stage(source_report(spark, path, table), "source-report")
     wrong = F.when(~F.col("header_ok"), F.struct("path", "header"))
     found = report.agg(
         F.count(F.lit(1)).alias("files"),

@@ -5,14 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def fingerprints(spark: SparkSession, path: str, suffix: str = "") -> DataFrame:
-    """Size and SHA-256 of each file (files up to 2 GB, the limit of a binary value)."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.filter(F.col("path").endswith(suffix)).select(
-        "path",
-        F.col("length").alias("size_bytes"),
-        F.sha2("content", 256).alias("sha256"),
+WHOLE_FILE = 1 << 30  # files up to this size are hashed as one value
+
+
+def fingerprints(spark: SparkSession, path: str, suffix: str = "", whole: int = WHOLE_FILE) -> DataFrame:
+    """Size and SHA-256 of each file.
+
+    Files up to ``whole`` bytes are hashed by tasks, each as one binary value; a larger file
+    cannot be one value and is streamed through a digest.
+    """
+    files = spark.read.format("binaryFile").load(path).filter(F.col("path").endswith(suffix))
+    small = files.filter(F.col("length") <= whole).select(
+        "path", F.col("length").alias("size_bytes"), F.sha2("content", 256).alias("sha256")
     )
+    large = files.filter(F.col("length") > whole).select("path", "length").collect()
+    if not large:
+        return small
+    rows = [(r["path"], r["length"], _streamed_sha256(spark, r["path"])) for r in large]
+    return small.union(spark.createDataFrame(rows, "path string, size_bytes long, sha256 string"))
+
+
+def _streamed_sha256(spark: SparkSession, path: str) -> str:
+    """Digest of one file of any length; the JVM reads it in small blocks."""
+    jvm = spark._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    try:
+        return jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+    finally:
+        stream.close()
 
 
 def verify_checksum(spark: SparkSession, path: str, expected_sha256: str) -> DataFrame:

@@ -54,9 +54,11 @@ def write_csv(df: DataFrame, path: str, order: list | None = None) -> int:
     return seen.get["rows"]
 
 
-def load_plan(tables: dict[str, DataFrame], target: str, replace: bool) -> DataFrame:
-    """What a load would do; nothing is written."""
-    return manifest(tables).select(
+def load_plan(
+    tables: dict[str, DataFrame], target: str, replace: bool, counted: DataFrame | None = None
+) -> DataFrame:
+    """What a load would do; nothing is written. ``counted`` is the manifest, if it is known."""
+    return (manifest(tables) if counted is None else counted).select(
         "position",
         "table_name",
         "row_count",
@@ -95,14 +97,14 @@ def publish(
 
 
 def reconcile(
-    spark: SparkSession, sources: dict[str, DataFrame], target: str, catalog: bool = False
+    spark: SparkSession, sources: dict[str, DataFrame], target: str, catalog: bool = False, counted: DataFrame | None = None
 ) -> DataFrame:
-    """Stored columns and row counts next to the source's."""
+    """Stored columns and row counts next to the source's (``counted``, if they are known)."""
     stored = {
         name: spark.table(f"{target}.{name}") if catalog else spark.read.parquet(f"{target}/{name}")
         for name in sources
     }
-    left = manifest(sources)
+    left = manifest(sources) if counted is None else counted
     right = manifest(stored).select(
         "table_name", F.col("columns").alias("stored_columns"), F.col("row_count").alias("stored_rows")
     )

@@ -15,7 +15,7 @@ from edops.plans.export import export
 from edops.schemas import BI_TABLES, CLINICAL_COLUMNS, names
 from edops.sources import sinks
 from edops.sources.clinical import clinical_schema, read_extract, source_report, table_schema, validate_source
-from edops.sources.files import read_head, read_json_lines, verify_checksum
+from edops.sources.files import fingerprints, read_head, read_json_lines, verify_checksum
 
 NOW = datetime(2026, 8, 24, 21, 7)
 _GIVEN = {
@@ -203,6 +203,11 @@ def test_files(spark, tmp_path):
     assert sorted(r["a"] for r in read_json_lines(spark, str(tmp_path / "rows.jsonl"), "a int").collect()) == [1, 2]
     digest = hashlib.sha256((tmp_path / "rows.jsonl").read_bytes()).hexdigest()
     assert verify_checksum(spark, str(tmp_path / "rows.jsonl"), digest.upper()).first()["sha256"] == digest
+    (tmp_path / "two").mkdir()
+    (tmp_path / "two" / "small.bin").write_bytes(b"ab")
+    (tmp_path / "two" / "large.bin").write_bytes(b"x" * 50_000)
+    found = {r["size_bytes"]: r["sha256"] for r in fingerprints(spark, str(tmp_path / "two"), whole=10).collect()}
+    assert found == {n: hashlib.sha256(c * (n // len(c))).hexdigest() for n, c in ((2, b"ab"), (50_000, b"x"))}
     with pytest.raises(Exception, match="Checksum mismatch"):
         verify_checksum(spark, str(tmp_path / "rows.jsonl"), "0" * 64).collect()
     assert sinks.write_counted(spark.range(7), str(tmp_path / "n")) == 7
