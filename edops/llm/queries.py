@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from edops.llm import bloom_lm, html_extract, langid, minhash, mixing, nn_descent, packing, quality, sharding, substrings
 from edops.llm.common import TEXTS, arrow_rows, read
+from edops.llm.oracles import ORACLES as ORACLES
 from edops.session import stage
 
 SHARDS = 8
@@ -100,5 +101,3 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_mixing": op1_mixing, "op2_kd_shards": op2_kd_shards, "op3_dom_trees": op3_dom_trees, "op4_linear_grouping": op4_linear_grouping, "op5_repetition": op5_repetition, "op6_min_max_hash": op6_min_max_hash, "op7_nn_descent": op7_nn_descent, "op8_bloom_lm": op8_bloom_lm, "op9_language_mixture": op9_language_mixture, "op10_repeats": op10_repeats}
-
-ORACLES: dict[str, str] = {}

@@ -63,3 +63,15 @@ def test_queries_return_one_row_per_input_row(spark, name):
         got = got.filter("piece = 0")
     table = {"op3": "pages", "op7": "embeddings"}.get(name.split("_")[0], "documents")
     assert got.count() == spark.read.parquet(f"{entry.SMOKE_DIR}/{table}.parquet").count()
+
+
+@pytest.mark.parametrize("name", sorted(llm.ORACLES))
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+
+    from compare import compare
+
+    con = duckdb.connect()
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{entry.SMOKE_DIR}/{table}.parquet'")
+    assert compare(llm.QUERIES[name](spark, entry.SMOKE_DIR), con, llm.ORACLES[name]) is None
