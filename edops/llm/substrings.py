@@ -77,8 +77,7 @@ def _scan(length: int, seed: int):
             for part in slices(batch, "text"):
                 words = split_words(part["text"])
                 starts, place, hashes = _seeds(words, length, seed)
-                picked = np.unique(place)
-                owner = words.text[picked]
+                value, owner = _distinct(hashes[np.unique(place)], words.text[np.unique(place)])
                 windows = rolling(words.hash, length)[starts] if len(starts) else np.zeros(0, np.uint64)
                 again = _again(windows, words.text[starts])
                 sha = [hashlib.sha256(b" ".join(raw.split())).hexdigest() for raw in _plain(words)]
@@ -89,7 +88,7 @@ def _scan(length: int, seed: int):
                         part["body2"],
                         pa.array(words.counts.astype(np.int64)),
                         pa.array(sha, pa.string()),
-                        _lists(hashes[picked].view(np.int64), owner, len(part), pa.int64()),
+                        _lists(value.view(np.int64), owner, len(part), pa.int64()),
                         _lists(starts[again] - words.firsts[words.text[starts[again]]], words.text[starts[again]], len(part), pa.int32()),
                     ],
                     ["key", "body", "body2", "n_words", "sha", "seeds", "own"],
@@ -98,6 +97,15 @@ def _scan(length: int, seed: int):
     return run
 
 
+def _distinct(value: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (value, text) pairs in order of text."""
+    order = np.lexsort((value, text))
+    value, text = value[order], text[order]
+    new = np.ones(len(value), bool)
+    new[1:] = (value[1:] != value[:-1]) | (text[1:] != text[:-1])
+    return value[new], text[new]
+
+
 def _again(windows: np.ndarray, text: np.ndarray) -> np.ndarray:
     """Which windows repeat an earlier one of the same text."""
     if not len(windows):
