@@ -51,10 +51,7 @@ def heavy_keys(
         return {key: [] for key in keys}
     part = F.pmod(F.spark_partition_id(), F.lit(_GROUPS)).alias("_part")
     tops = [F.expr(f"approx_top_k(`{key}`, {HEAVY_SHARE}, {_TRACKED})") for key in keys]
-    listed = [
-        F.transform(top, lambda t, i=i: F.struct(F.lit(i).alias("key"), t["item"].alias("item"), t["count"].alias("n")))
-        for i, top in enumerate(tops)
-    ]
+    listed = [_labelled(top, i) for i, top in enumerate(tops)]
     # The number of rows travels as the count of a key of its own.
     rows = F.array(F.struct(F.lit(-1).alias("key"), F.lit(None).alias("item"), F.count(F.lit(1)).alias("n")))
     parts = df.groupBy(part).agg(F.concat(rows, *[F.coalesce(x, F.array()) for x in listed]).alias("tops"))
@@ -66,6 +63,13 @@ def heavy_keys(
     return {key: sorted(r["item"] for r in found if r["key"] == i) for i, key in enumerate(keys)}
 
 
+def _labelled(top: Column, number: int) -> Column:
+    """The items of a sketch with the number of their key column."""
+    return F.transform(
+        top, lambda t: F.struct(F.lit(number).alias("key"), t["item"].alias("item"), t["count"].alias("n"))
+    )
+
+
 def _combine(how: str, local: Column, carried: Column) -> Column:
     if how == "sum":
         return F.coalesce(local, F.lit(0)) + F.coalesce(carried, F.lit(0))
