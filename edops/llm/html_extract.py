@@ -6,8 +6,8 @@ decoding then picks the set of nodes with the largest summed log odds among all
 hold the parent of each of their nodes, so nothing is kept below something dropped. Kept
 texts are joined by block elements.
 
-The trees are fitted on a bounded sample: the ``TRAIN_PAGES`` pages with the smallest hash of
-their address among those that mark their article up by element (``article``, ``main``). The
+The trees are fitted on a bounded sample: about ``TRAIN_PAGES`` pages, chosen by a hash of the
+page among those that mark their article up by element (``article``, ``main``). The
 sample teaches by its own markup and by copies in which the telling elements are replaced by
 ``div`` with usual class names and usual furniture (notices, comments, forms, side bars,
 made of the page's own texts) is added, so the scores do not depend on the element names.
@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from edops.llm.common import arrow_rows
+from edops.llm.common import arrow_rows, unit_draw
 from edops.llm.words import slices
 from edops.session import stage
 
@@ -415,8 +415,10 @@ def _dress(source: str, draw: random.Random, lines: list[str]) -> str:
 def train(pages: DataFrame, address: str = "url", page: str = "html", sample: int = TRAIN_PAGES) -> dict | None:
     """Trees from a bounded sample of pages that mark their article up; None without any."""
     marked = pages.filter(F.col(page).rlike(r"(?i)<(article|main)\b"))
-    order = F.xxhash64(F.col(address), F.col(page))
-    rows = marked.select(F.col(page).alias("html"), order.alias("order")).orderBy("order").limit(sample).collect()
+    share = sample / max(marked.count(), sample)
+    chosen = marked.filter(unit_draw(F.col(address), F.col(page)) < share)
+    rows = chosen.select(F.col(page).alias("html")).limit(2 * sample).collect()
+    rows.sort(key=lambda r: r["html"])
     nodes, labels = sample_nodes([r["html"] for r in rows])
     if not labels.any():
         return None
