@@ -335,10 +335,12 @@ def score(
     for block in _blocks(model, bits, model_bytes):
         total = block["total"]
         sent = spark.sparkContext.broadcast(block)
+        block.clear()  # one block at a time on the driver
         with arrow_rows(spark, TEXTS):
             rows = texts.select("key", "body", "text").mapInArrow(_score(sent), schema)
             passes.append(stage(rows, "lm-scores"))
-        sent.unpersist()
+        sent.destroy()
+        del sent, rows
     out = passes[0]
     if len(passes) > 1:  # equal rows have equal sums, so their number divides out
         for more in passes[1:]:
