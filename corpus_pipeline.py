@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from edops.llm import minhash, mixing, packing, quality, substrings
-from edops.llm.common import TEXTS, arrow_rows, read
+from edops.llm.common import ARROW_ROWS, TEXTS, read
 from edops.llm.queries import tokenizer_path
 from edops.session import stage
 
@@ -29,9 +29,9 @@ def _with_unit(docs: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that the base rule or the repetition limits reject."""
-    judged = quality.repetition(docs, keep=tuple(docs.columns))
-    with arrow_rows(spark, TEXTS):
-        return stage(judged.filter("kept").select("row.*"), "pipeline-kept")
+    # The result is not stored here, as its caller stores it, so the setting has to stay.
+    spark.conf.set(ARROW_ROWS, str(TEXTS))
+    return quality.repetition(docs, keep=tuple(docs.columns)).filter("kept").select("row.*")
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

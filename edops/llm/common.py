@@ -11,6 +11,7 @@ from edops.session import stage
 
 WORD = r"[^\x20\x09-\x0D]+"
 ROWS_PER_RUN = 4_096
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 TEXTS = 512  # texts per Arrow batch
 
 
@@ -103,10 +104,9 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
 
     Only what runs inside the block is affected, so results are stored there.
     """
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+    before = spark.conf.get(ARROW_ROWS)
+    spark.conf.set(ARROW_ROWS, str(rows))
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        spark.conf.set(ARROW_ROWS, before)
