@@ -6,10 +6,14 @@ backward, with each other: a neighbour of a neighbour is likely a neighbour. Lis
 hold nothing but links are saturated and double. Rounds go on until few entries change and
 an audit (``AUDIT`` vectors against all rows, exactly) finds its links in the lists.
 
-Links of the graph at or above the threshold give components. Inside each component all
-vectors are then compared in double precision in blocks of ``BLOCK``, so the number of links
-is exact however dense a group is, and lists stop growing at ``LONGEST``. Large buckets,
-neighbourhoods and components are dealt into several blocks; no task holds one whole.
+Links of the graph at or above the threshold give components. Lists stop growing at
+``LONGEST``, so two nodes whose lists are full of links may be linked without a list that
+says so. Such nodes are gathered in balls around one of their neighbours. Balls of different
+components whose centres and radii leave room for a link are compared member by member, and
+components that touch there are joined. Inside each component all vectors are then compared
+in double precision in blocks of ``BLOCK``, so the number of links is exact however dense a
+group is. Large buckets, neighbourhoods, balls and components are dealt into several blocks;
+no task holds one whole.
 
 Defined cases: vectors that are null or empty, hold a null or a non-finite component or are
 all zero link with nothing and stay; equal vectors are one node and count one another;
@@ -33,6 +37,7 @@ LIST, LONGEST = 8, 64
 TABLES, BUCKET = 6, 64
 HOOD = 96
 BLOCK = 512
+SLACK = 1e-6  # radians by which rounding may move an angle
 AUDIT, RECALL, ROUNDS, STILL = 256, 0.995, 8, 0.01
 _EDGE = "id long, nbr long, sim double"
 
@@ -118,8 +123,8 @@ def _floors(graph: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     return joined.select("id", "dim", "vec", wider.cast("int").alias("k"), floor.alias("floor"))
 
 
-def neighbour_graph(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The stored lists (id, nbr, sim) of nodes (id, dim, vec)."""
+def neighbour_graph(nodes: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """The stored lists (id, nbr, sim) of nodes (id, dim, vec), and the nodes with the length ``k`` of their list."""
     spark = nodes.sparkSession
     n = nodes.count()
     bits = max(0, (max(1, n // BUCKET)).bit_length())
@@ -146,7 +151,110 @@ def neighbour_graph(nodes: DataFrame, threshold: float = THRESHOLD) -> DataFrame
         graph = better
         if changed <= STILL * max(links, 1) and _audit(graph, plain, threshold) >= RECALL:
             break
-    return graph
+    return graph, plain
+
+
+def _near_balls(threshold: float):
+    """Pairs of balls of different components, inside each row's pair of blocks, that may hold a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list[np.ndarray]] = [[], []]
+            for i in range(len(batch)):
+                row = batch["members"].slice(i, 1).flatten()
+                ball, area, mine, radius = (
+                    row.field(c).to_numpy(zero_copy_only=False) for c in ("ball", "component", "mine", "radius")
+                )
+                unit = _unit(row.field("vec"))
+                angle = np.arccos(np.clip(unit @ unit.T, -1, 1))
+                near = angle <= np.arccos(threshold) + radius[:, None] + radius[None, :] + SLACK
+                near &= area[:, None] != area[None, :]
+                near = near & (mine[:, None] < mine[None, :]) if mine.min() < mine.max() else np.triu(near, 1)
+                a, b = np.nonzero(near)
+                out[0].append(ball[a])
+                out[1].append(ball[b])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["a", "b"])
+
+    return run
+
+
+def _best_link(threshold: float):
+    """The closest two members across each row's two balls, if they are linked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = []
+            for i in range(len(batch)):
+                row = batch["members"].slice(i, 1).flatten()
+                area = row.field("component").to_numpy(zero_copy_only=False)
+                left = row.field("left").to_numpy(zero_copy_only=False)
+                unit = _unit(row.field("vec"))
+                sims = unit[left] @ unit[~left].T
+                if sims.max() >= threshold:
+                    pairs.append((area[left][0], area[~left][0]))
+            found = np.array(pairs, np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
+
+    return run
+
+
+def _touching(links: DataFrame, nodes: DataFrame, placed: DataFrame, threshold: float) -> DataFrame | None:
+    """Pairs (a, b) of components that a link between two full lists' nodes joins; None if there can be none.
+
+    A node whose list has room holds all its links, so only links between two full lists
+    can be missing. A full node goes to the ball of the neighbour that a hash puts first;
+    the list says how far it is from that centre. ``nodes`` has the list length ``k``.
+    """
+    spark = links.sparkSession
+    held = links.groupBy(F.col("id").alias("_id")).agg(F.count(F.lit(1)).alias("_n"))
+    full = nodes.join(held, F.col("id") == F.col("_id")).filter("_n >= k").select("id")
+    full = stage(full, "nn-full")
+    inner = links.join(full.select(F.col("id").alias("_a")), F.col("id") == F.col("_a"))
+    inner = inner.join(full.select(F.col("id").alias("_b")), F.col("nbr") == F.col("_b")).select("id", "nbr", "sim")
+    inner = inner.union(full.select("id", "id", F.lit(1.0)))
+    first = F.min(F.struct(F.xxhash64(F.lit(7), "nbr").alias("draw"), "nbr", "sim")).alias("first")
+    led = inner.groupBy("id").agg(first).select("id", F.col("first.nbr").alias("centre"), "first.sim")
+    led = stage(led, "nn-led")
+    parts = led.groupBy(F.col("centre").alias("_c")).agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("_parts"))
+    ball = F.xxhash64("centre", F.pmod(F.xxhash64("id"), F.col("_parts"))).alias("ball")
+    members = stage(led.join(parts, F.col("centre") == F.col("_c")).select("id", "centre", "sim", ball), "nn-balls")
+    balls = members.groupBy("ball").agg(
+        F.first("centre").alias("centre"), F.acos(F.least(F.min("sim"), F.lit(1.0))).alias("radius")
+    )
+    areas = placed.select(F.col("id").alias("_id"), "component")
+    balls = balls.join(areas, F.col("centre") == F.col("_id")).drop("_id")
+    balls = balls.join(nodes.select("id", "dim", "vec"), F.col("centre") == F.col("id"))
+    balls = stage(balls.select("ball", "radius", "component", "dim", "vec"), "nn-centres")
+    if balls.select("component").distinct().limit(2).count() < 2:
+        return None
+    sizes = balls.groupBy(F.col("dim").alias("_dim")).agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks"))
+    dealt = balls.join(sizes, F.col("dim") == F.col("_dim")).withColumn("mine", F.pmod(F.xxhash64("ball"), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    meeting = dealt.withColumn("other", other).groupBy(
+        "dim", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j")
+    )
+    lists = meeting.agg(F.collect_list(F.struct("ball", "component", "mine", "radius", "vec")).alias("members"))
+    # A meeting of two blocks with one of them empty has nothing across.
+    lists = lists.filter((F.col("i") == F.col("j")) | (F.array_min("members.mine") < F.array_max("members.mine")))
+    with arrow_rows(spark, 16):
+        pairs = stage(lists.select("members").mapInArrow(_near_balls(threshold), "a long, b long"), "nn-pairs")
+    vectors = nodes.select(F.col("id").alias("_v"), "vec")
+    full_rows = members.join(vectors, F.col("id") == F.col("_v")).join(areas, F.col("centre") == F.col("_id"))
+    full_rows = stage(full_rows.select("ball", "component", "vec"), "nn-members")
+    sides = [
+        pairs.join(full_rows, F.col(c) == F.col("ball")).select("a", "b", F.struct("component", F.lit(c == "a").alias("left"), "vec").alias("m"))
+        for c in ("a", "b")
+    ]
+    meeting = sides[0].union(sides[1]).groupBy("a", "b").agg(F.collect_list("m").alias("members")).select("members")
+    with arrow_rows(spark, 16):
+        return stage(meeting.mapInArrow(_best_link(threshold), "a long, b long"), "nn-touching")
+
+
+def _joined(placed: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Nodes (id, component) after the pairs (a, b) of components are joined."""
+    merged = components(pairs, "a", "b").select(F.col("id").alias("_from"), F.col("component").alias("_to"))
+    moved = placed.join(merged, F.col("component") == F.col("_from"), "left")
+    return stage(moved.select("id", F.coalesce("_to", "component").alias("component")), "nn-components")
 
 
 def _audit(graph: DataFrame, nodes: DataFrame, threshold: float, queries: int = AUDIT) -> float:
@@ -225,8 +333,12 @@ def near_duplicates(
         F.first("vec").alias("vec"), F.count(F.lit(1)).alias("copies"), F.min("key").alias("least")
     )
     nodes = stage(nodes.withColumn("dim", F.size("vec")), "nn-classes")
-    graph = neighbour_graph(nodes.select("id", "dim", "vec"), threshold)
-    found = stage(components(graph.filter(F.col("sim") >= threshold), "id", "nbr"), "nn-components")
+    graph, listed = neighbour_graph(nodes.select("id", "dim", "vec"), threshold)
+    links = graph.filter(F.col("sim") >= threshold)
+    found = stage(components(links, "id", "nbr"), "nn-components")
+    touching = _touching(links, listed, found, threshold)
+    if touching is not None and not touching.isEmpty():
+        found = _joined(found, touching)
     # Count the links of each component in blocks.
     areas = found.groupBy(F.col("component").alias("_area")).agg(
         F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks")

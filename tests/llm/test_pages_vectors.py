@@ -116,6 +116,22 @@ def test_links_of_groups_pairs_and_odd_vectors(spark):
     assert near(spark, rows) == brute_links(rows)
 
 
+def crowd(draw, centre, n, spread):
+    """Distinct near copies of a unit vector."""
+    return [[float(x) for x in centre + spread * draw.normal(size=len(centre))] for _ in range(n)]
+
+
+def test_groups_that_fill_their_lists_and_touch(spark):
+    """Groups of over 100 whose lists hold nothing of each other: two linked, one too far from both."""
+    draw, axes = np.random.default_rng(3), np.eye(24)
+    at = lambda cosine, axis: cosine * axes[0] + np.sqrt(1 - cosine**2) * axes[axis]
+    vectors = crowd(draw, axes[0], 110, 0.003) + crowd(draw, at(0.96, 1), 110, 0.003) + crowd(draw, at(0.90, 2), 110, 0.003)
+    rows = list(enumerate(vectors))
+    want = brute_links(rows)
+    assert {c for _, _, c in want} == {0, 220} and {n for _, n, _ in want} == {219, 109}
+    assert near(spark, rows) == want
+
+
 def test_no_vectors(spark):
     assert near(spark, []) == []
     assert near(spark, [(1, None)]) == [(1, 0, 1)]
