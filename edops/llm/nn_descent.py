@@ -3,8 +3,10 @@
 A graph holds for every vector a list of its nearest ones so far. It starts from random
 hyperplane buckets, and each round joins the neighbours of every vector, forward and
 backward, with each other: a neighbour of a neighbour is likely a neighbour. Lists that
-hold nothing but links are saturated and double. Rounds go on until few entries change and
-an audit (``AUDIT`` vectors against all rows, exactly) finds its links in the lists.
+hold nothing but links are saturated and double. Rounds go on until few entries change, at
+most ``ROUNDS``. Then tables drawn anew, more of them the more rows there are, look for links
+between components; what they find is added, and while it stands for more than one link in
+200, further tables follow.
 
 Links of the graph at or above the threshold give components. Lists stop growing at
 ``LONGEST``, so two nodes whose lists are full of links may be linked without a list that
@@ -23,7 +25,8 @@ any other id has none; an empty table gives an empty result; extra columns are i
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +38,13 @@ from edops.session import stage
 THRESHOLD = 0.95
 LIST, LONGEST = 8, 64
 TABLES, BUCKET = 6, 64
+MEETING = 0.9  # least chance of a pair at the threshold to share a bucket of some table
 HOOD = 96
 BLOCK = 512
 SLACK = 1e-6  # radians by which rounding may move an angle
-AUDIT, RECALL, ROUNDS, STILL = 256, 0.995, 8, 0.01
+RECALL, ROUNDS, STILL = 0.995, 8, 0.01
 _EDGE = "id long, nbr long, sim double"
+_MEMBER = ("id", "vec", "floor", "k")
 
 
 def _unit(lists: pa.Array) -> np.ndarray:
@@ -50,7 +55,14 @@ def _unit(lists: pa.Array) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
-def _codes(tables: int, bits: int):
+def _tables(n: int, threshold: float) -> tuple[int, int]:
+    """Number of tables and of planes in each: more planes for more rows, and as many more tables."""
+    bits = max(0, (max(1, n // BUCKET)).bit_length())
+    chance = (1 - math.acos(threshold) / math.pi) ** bits
+    return max(TABLES, math.ceil(math.log(1 - MEETING) / math.log1p(-chance))), bits
+
+
+def _codes(tables: int, bits: int, salt: int):
     """One bucket per table: the signs of ``bits`` random projections."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -59,7 +71,7 @@ def _codes(tables: int, bits: int):
             codes = np.zeros((len(batch), tables), np.int64)
             for dim in np.unique(sizes):
                 rows = np.flatnonzero(sizes == dim)
-                planes = np.random.default_rng(int(dim)).standard_normal((int(dim), tables * max(bits, 1)))
+                planes = np.random.default_rng([int(dim), salt]).standard_normal((int(dim), tables * max(bits, 1)))
                 side = (_unit(batch["vec"].take(pa.array(rows))) @ planes > 0).reshape(len(rows), tables, -1)
                 codes[rows] = (side * (1 << np.arange(side.shape[2]))).sum(axis=2) if bits else 0
             bounds = np.arange(len(batch) + 1, dtype=np.int32) * tables
@@ -93,14 +105,21 @@ def _nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["id", "nbr", "sim"])
 
 
-def _blocks(members: DataFrame, keys: list[str], size: int) -> DataFrame:
-    """Rows (id, vec, ...) of each key gathered in blocks of about ``size`` by a hash of the id."""
+def _bucketed(nodes: DataFrame, tables: int, bits: int, salt: int) -> DataFrame:
+    """Nodes with (tab, code) of each of their buckets."""
+    codes = nodes.select("id", "vec").mapInArrow(_codes(tables, bits, salt), "id long, codes array<long>")
+    buckets = codes.select(F.col("id").alias("_i"), F.posexplode("codes").alias("tab", "code"))
+    return nodes.join(buckets, F.col("id") == F.col("_i"))
+
+
+def _blocks(members: DataFrame, keys: list[str], size: int, columns: Sequence[str] = _MEMBER, salt: int = 0) -> DataFrame:
+    """Rows (id, vec, ...) of each key gathered in blocks of about ``size`` by a salted hash of the id."""
     sizes = members.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
         F.ceil(F.count(F.lit(1)) / F.lit(size)).alias("_blocks")
     )
     same = [F.col(k) == F.col(f"_{k}") for k in keys]
-    dealt = members.join(sizes, same).withColumn("_block", F.pmod(F.xxhash64("id", *keys), F.col("_blocks")))
-    lists = dealt.groupBy(*keys, "_block").agg(F.collect_list(F.struct("id", "vec", "floor", "k")).alias("members"))
+    dealt = members.join(sizes, same).withColumn("_block", F.pmod(F.xxhash64(F.lit(salt), "id", *keys), F.col("_blocks")))
+    lists = dealt.groupBy(*keys, "_block").agg(F.collect_list(F.struct(*columns)).alias("members"))
     return lists.filter(F.size("members") > 1).select("members")
 
 
@@ -126,30 +145,27 @@ def _floors(graph: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
 def neighbour_graph(nodes: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """The stored lists (id, nbr, sim) of nodes (id, dim, vec), and the nodes with the length ``k`` of their list."""
     spark = nodes.sparkSession
-    n = nodes.count()
-    bits = max(0, (max(1, n // BUCKET)).bit_length())
+    tables, bits = _tables(nodes.count(), threshold)
     plain = nodes.withColumns({"k": F.lit(LIST), "floor": F.lit(-1.5)})
-    codes = nodes.select("id", "vec").mapInArrow(_codes(TABLES, bits), "id long, codes array<long>")
-    buckets = codes.select(F.col("id").alias("_i"), F.posexplode("codes").alias("tab", "code"))
-    members = plain.join(buckets, F.col("id") == F.col("_i"))
+    members = _bucketed(plain, tables, bits, 0)
     with arrow_rows(spark, 64):
         near = _blocks(members, ["dim", "tab", "code"], 2 * BUCKET).mapInArrow(_nearest, _EDGE)
         graph = stage(_keep_best(near, plain), "nn-graph")
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
         plain = stage(_floors(graph, plain, threshold), "nn-nodes")
         both = graph.select(F.col("id").alias("hub"), F.col("nbr").alias("_m")).union(graph.select("nbr", "id"))
         # The hub itself belongs to its neighbourhood.
         both = both.union(plain.select(F.col("id").alias("hub"), F.col("id").alias("_m"))).distinct()
         members = plain.join(both, F.col("id") == F.col("_m"))
         with arrow_rows(spark, 64):
-            found = stage(_blocks(members, ["hub"], HOOD).mapInArrow(_nearest, _EDGE), "nn-found")
+            found = stage(_blocks(members, ["hub"], HOOD, salt=turn).mapInArrow(_nearest, _EDGE), "nn-found")
             better = stage(_keep_best(graph.union(found), plain), "nn-graph")
         old = graph.select(F.col("id").alias("_a"), F.col("nbr").alias("_b"))
         fresh = better.join(old, (F.col("id") == F.col("_a")) & (F.col("nbr") == F.col("_b")), "left_anti")
         changed = fresh.filter(F.col("sim") >= threshold).count()
         links = better.filter(F.col("sim") >= threshold).count()
         graph = better
-        if changed <= STILL * max(links, 1) and _audit(graph, plain, threshold) >= RECALL:
+        if changed <= STILL * max(links, 1):
             break
     return graph, plain
 
@@ -250,49 +266,80 @@ def _touching(links: DataFrame, nodes: DataFrame, placed: DataFrame, threshold:
         return stage(meeting.mapInArrow(_best_link(threshold), "a long, b long"), "nn-touching")
 
 
-def _joined(placed: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Nodes (id, component) after the pairs (a, b) of components are joined."""
-    merged = components(pairs, "a", "b").select(F.col("id").alias("_from"), F.col("component").alias("_to"))
+def _joined(placed: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(id, component) after the pairs (a, b) of components are joined.
+
+    A node without a component is one by itself and has its id for a name.
+    """
+    merged = stage(components(pairs, "a", "b"), "nn-merged")
+    alone = merged.select("id").join(placed.select(F.col("id").alias("_id")), F.col("id") == F.col("_id"), "left_anti")
+    alone = alone.join(nodes.select(F.col("id").alias("_id")), F.col("id") == F.col("_id"), "left_semi")
+    placed = placed.union(alone.select("id", F.col("id").alias("component")))
+    merged = merged.select(F.col("id").alias("_from"), F.col("component").alias("_to"))
     moved = placed.join(merged, F.col("component") == F.col("_from"), "left")
     return stage(moved.select("id", F.coalesce("_to", "component").alias("component")), "nn-components")
 
 
-def _audit(graph: DataFrame, nodes: DataFrame, threshold: float, queries: int = AUDIT) -> float:
-    """Share of the links of a fixed sample of nodes that the lists hold.
+def _across(threshold: float, tables: int, bits: int):
+    """Links between different components inside each row's block, with the links each stands for.
 
-    The sample meets every row in one scan. Nodes with a saturated list are left out: their
-    links are counted inside their component.
+    A pair shares a bucket of one table with the chance that no plane of it separates the
+    two, and its block of a bucket with one in ``blocks``. One over its expected number of
+    meetings makes the sum over all meetings an unbiased count of the missing links.
     """
-    spark = nodes.sparkSession
-    sample = nodes.select("id", "dim", "vec").orderBy(F.xxhash64("id")).limit(queries).collect()
-    if not sample:
-        return 1.0
-    asked = {}
-    for dim in {r["dim"] for r in sample}:
-        own = [r for r in sample if r["dim"] == dim]
-        asked[dim] = np.array([r["id"] for r in own]), _unit(pa.array([r["vec"] for r in own], pa.list_(pa.float64())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for dim, (ids, unit) in asked.items():
-                rows = np.flatnonzero(batch["dim"].to_numpy(zero_copy_only=False) == dim)
-                if not len(rows):
-                    continue
-                part = batch.take(pa.array(rows))
-                sims = unit @ _unit(part["vec"]).T
-                q, v = np.nonzero(sims >= threshold)
-                other = part["id"].to_numpy(zero_copy_only=False)[v]
-                real = ids[q] != other
-                yield pa.RecordBatch.from_arrays([pa.array(ids[q][real]), pa.array(other[real])], ["q", "v"])
-
-    true = stage(nodes.select("id", "dim", "vec").mapInArrow(run, "q long, v long"), "nn-audit")
-    links = graph.filter(F.col("sim") >= threshold)
-    full = links.groupBy(F.col("id").alias("_f")).count().filter(F.col("count") >= LONGEST)
-    asked_links = true.join(full, F.col("q") == F.col("_f"), "left_anti")
-    held = links.select("id", "nbr").union(links.select("nbr", "id")).distinct()
-    same = (F.col("q") == F.col("id")) & (F.col("v") == F.col("nbr"))
-    row = asked_links.join(held, same, "left").agg(F.count(F.lit(1)).alias("n"), F.count("id").alias("held")).first()
-    return row["held"] / row["n"] if row["n"] else 1.0
+            out: list[list[np.ndarray]] = [[], [], []]
+            for i in range(len(batch)):
+                row = batch["members"].slice(i, 1).flatten()
+                area = row.field("component").to_numpy(zero_copy_only=False)
+                unit = _unit(row.field("vec"))
+                sims = unit @ unit.T
+                a, b = np.nonzero(np.triu((sims >= threshold) & (area[:, None] != area[None, :]), 1))
+                chance = (1 - np.arccos(np.clip(sims[a, b], -1, 1)) / np.pi) ** bits
+                blocks = row.field("_blocks").to_numpy(zero_copy_only=False)[a]
+                out[0].append(area[a])
+                out[1].append(area[b])
+                out[2].append(blocks / (tables * chance))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["a", "b", "weight"])
+
+    return run
+
+
+def _missed(nodes: DataFrame, placed: DataFrame, n: int, threshold: float, salt: int) -> DataFrame:
+    """Links (a, b, weight) between different components that fresh tables find."""
+    tables, bits = _tables(n, threshold)
+    areas = placed.select(F.col("id").alias("_p"), "component")
+    whole = nodes.select("id", "dim", "vec").join(areas, F.col("id") == F.col("_p"), "left")
+    whole = whole.withColumn("component", F.coalesce("component", "id"))
+    lists = _blocks(_bucketed(whole, tables, bits, salt), ["dim", "tab", "code"], 2 * BUCKET, ["component", "vec", "_blocks"], salt)
+    lists = lists.filter(F.array_min("members.component") < F.array_max("members.component"))
+    with arrow_rows(nodes.sparkSession, 64):
+        return stage(lists.mapInArrow(_across(threshold, tables, bits), "a long, b long, weight double"), "nn-missed")
+
+
+def _settled(nodes: DataFrame, links: DataFrame, found: DataFrame, threshold: float) -> tuple[DataFrame, list[float]]:
+    """Components after fresh tables find too few missing links, and the recall each time.
+
+    Links inside a component are counted exactly, so only links between components can be
+    missing. Tables drawn independently of the graph estimate their number; the links they
+    find join components, and below ``RECALL`` further tables follow. Every repetition joins
+    at least two components, so this ends. The held links are those of the lists alone, so
+    the recall is rather too low than too high.
+    """
+    n = nodes.count()
+    held = links.select(F.least("id", "nbr").alias("a"), F.greatest("id", "nbr").alias("b")).distinct().count()
+    recalls: list[float] = []
+    while True:
+        missed = _missed(nodes, found, n, threshold, len(recalls) + 1)
+        seen, weight = missed.agg(F.count(F.lit(1)), F.coalesce(F.sum("weight"), F.lit(0.0))).first()
+        recalls.append(held / (held + weight) if held + weight else 1.0)
+        if seen:
+            found = _joined(found, missed.select("a", "b"), nodes)
+            held += seen
+        if recalls[-1] >= RECALL:
+            return found, recalls
 
 
 def _count_links(threshold: float):
@@ -338,7 +385,8 @@ def near_duplicates(
     found = stage(components(links, "id", "nbr"), "nn-components")
     touching = _touching(links, listed, found, threshold)
     if touching is not None and not touching.isEmpty():
-        found = _joined(found, touching)
+        found = _joined(found, touching, nodes)
+    found, _ = _settled(nodes, links, found, threshold)
     # Count the links of each component in blocks.
     areas = found.groupBy(F.col("component").alias("_area")).agg(
         F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).alias("blocks")

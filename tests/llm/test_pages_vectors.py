@@ -132,6 +132,27 @@ def test_groups_that_fill_their_lists_and_touch(spark):
     assert near(spark, rows) == want
 
 
+def test_links_that_the_rounds_miss_are_found(spark, monkeypatch):
+    """Without any round and with a single start table, fresh tables still bring the recall."""
+    draw, rows = np.random.default_rng(4), []
+    for pair in range(500):
+        centre = draw.normal(size=24)
+        rows += [(2 * pair + i, [float(x) for x in centre + 0.12 * draw.normal(size=24)]) for i in range(2)]
+    want = brute_links(rows)
+    monkeypatch.setattr(nn_descent, "ROUNDS", 0)
+    monkeypatch.setattr(nn_descent, "TABLES", 1)
+    monkeypatch.setattr(nn_descent, "MEETING", 0.3, raising=False)
+    got = near(spark, rows)
+    linked = sum(n for _, n, _ in want)
+    assert linked > 900 and sum(n for _, n, _ in got) >= 0.99 * linked
+
+
+def test_more_tables_for_more_rows():
+    for n in (0, 10**3, 10**6, 10**7, 10**9):
+        tables, bits = nn_descent._tables(n, 0.95)
+        assert 1 - (1 - (1 - np.arccos(0.95) / np.pi) ** bits) ** tables >= 0.9
+
+
 def test_no_vectors(spark):
     assert near(spark, []) == []
     assert near(spark, [(1, None)]) == [(1, 0, 1)]
