@@ -37,11 +37,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates: the one with the smallest key.
 
-    Rows that agree in key and text are one document. Texts without a word stay.
+    Rows that agree in key and text are one document. Texts without a word stay. Any key is
+    smaller than a null one; of equal keys in a group the smaller hash of the text stays.
     """
     near = minhash.near_duplicates(docs)
-    heads = near.filter(F.col("key").eqNullSafe(F.col("component")) & (F.col("n_shingles") > 0))
-    heads = heads.groupBy("key").agg(F.min("body").alias("body"))
+    order = F.struct(F.col("key").isNull(), "key", "body")
+    heads = near.filter("n_shingles > 0").groupBy("root").agg(F.min(order).alias("head")).select("head.key", "head.body")
     empty = near.filter("n_shingles = 0").select("key", "body")
     chosen = stage(heads.union(empty).select(_unit("key", F.col("body"))).distinct(), "pipeline-heads")
     # Both the join and the removal of repeated rows use the exchange by ``_unit``.

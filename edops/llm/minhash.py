@@ -200,10 +200,11 @@ def near_duplicates(
     rows: int = ROWS,
     block: int = BLOCK,
 ) -> DataFrame:
-    """(key, body, n_shingles, component): one row per input row; ``body`` is a hash of the text.
+    """(key, body, n_shingles, component, root): one row per input row; ``body`` is a hash of the text.
 
     Two documents are linked when their shingle sets have ``similarity`` (numerator and
-    denominator) or more; ``component`` is the smallest key that links reach.
+    denominator) or more; ``component`` is the smallest key that links reach. ``root`` tells
+    components apart whose documents have no key or share one; it is null without shingles.
     """
     spark = docs.sparkSession
     text_ = F.coalesce(F.col(text), F.lit(""))
@@ -243,10 +244,10 @@ def near_duplicates(
     )
     roots = stage(roots, "minhash-roots")
     smallest = roots.groupBy(F.col("root").alias("_root")).agg(F.min("least").alias("component"))
-    named = roots.join(smallest, F.col("root") == F.col("_root")).select(F.col("id").alias("_id"), "component")
+    named = roots.join(smallest, F.col("root") == F.col("_root")).select(F.col("id").alias("_id"), "component", "root")
     out = signed.join(named, F.col("id") == F.col("_id"), "left")
     component = F.when(F.col("id").isNull(), F.col("key")).otherwise(F.col("component"))
-    return out.select("key", "body", F.col("n").alias("n_shingles"), component.alias("component"))
+    return out.select("key", "body", F.col("n").alias("n_shingles"), component.alias("component"), "root")
 
 
 def _links(sets: DataFrame, similarity: tuple[int, int], block: int) -> DataFrame:

@@ -29,6 +29,22 @@ def test_stages_on_odd_rows(spark, odd_docs, odd_rows):
     assert counts["quality"] == sum(len(words_of(r[1])) >= 50 and not r[1].startswith("a a") and r[0] != 14 for r in odd_rows)
 
 
+def test_documents_with_no_id_or_one_id_stay_unless_linked(spark):
+    """Different texts stay whatever their ids; a passage that they share stays once."""
+    shared = prose(70, 30)
+    texts = [f"{prose(700 + i, 200)} {shared} {prose(800 + i, 200)}" for i in range(8)]
+    ids = [None, None, None, None, 5, 5, 5, 6]
+    rows = [(i, t, "en", "a") for i, t in zip(ids, texts)]
+    copies = [(None, texts[0] + " more", "en", "a"), (None, texts[7] + " more", "en", "a"), (5, texts[4] + " more", "en", "a")]
+    kept = stage(corpus_pipeline.near_dedup(spark, make(spark, rows + copies), "unused"), "near")
+    got = kept.collect()
+    assert len(got) == 8 and sorted(r["text"].removesuffix(" more") for r in got) == sorted(texts)
+    assert (6, texts[7]) in {(r["doc_id"], r["text"]) for r in got}  # a key goes before none
+    cut = corpus_pipeline.substring_dedup(spark, kept, "unused").collect()
+    assert len(cut) == 8 and sum(shared in r["text"] for r in cut) == 1
+    assert [r["doc_id"] for r in cut if shared in r["text"]] == [None]
+
+
 def test_stages_on_an_empty_table(spark, no_docs):
     docs = no_docs
     for name, function in corpus_pipeline.STAGES:
