@@ -13,8 +13,9 @@ undecided ones of all runs form the next level. A source that holds most rows is
 more runs. Everything is DataFrame expressions.
 
 Defined cases: a null source is a source of its own, ordered last; a null or empty text
-has size 0, adds nothing to any target and rounds by its own draw; rows that agree in
-key and source and size share one decision; an empty table gives an empty result; extra
+has size 0, adds nothing to any target and rounds by its own draw; of ``n`` rows that
+agree in every column ``n`` times the share are taken once more, rounded as one document
+is; rows that differ in any column round apart; an empty table gives an empty result; extra
 columns are kept inside ``row``, whatever their names.
 """
 
@@ -24,7 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from edops.llm.common import WORD, unit_draw
+from edops.llm.common import WORD, number_rows, unit_draw
 from edops.session import stage
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -145,14 +146,20 @@ def mix(
     """``row`` (a struct of all columns of ``docs``), size, source_size, target and copies.
 
     ``copies`` (0 to ``most``) says how often the mix takes a document; equal input gives
-    equal output. The texts are read once for the sizes; everything after works on a small
-    stored table of (key, source, size).
+    equal output. The texts are read once for the sizes and hashes; everything after works on
+    a small stored table. Rows of a repeated row that are not all taken equally often are
+    numbered in runs, however many they are.
     """
+    others = [F.col(c) for c in docs.columns if c not in (key, text, source)]
+    rest = F.to_json(F.struct(*others), {"ignoreNullFields": "false"}) if others else F.lit("")
+    body = F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.col(text).isNull(), rest)
     sized = docs.select(
-        F.struct(*docs.columns).alias("row"), F.col(key).alias("_key"), F.col(source).alias("_from"), word_count(text).alias("_size")
+        F.struct(*docs.columns).alias("row"), F.col(key).alias("_key"), F.col(source).alias("_from"), word_count(text).alias("_size"), body.alias("_body")
     )
-    small = sized.select(F.col("_key").alias("key"), F.col("_from").alias("source"), F.col("_size").alias("size"))
-    small = small.groupBy("key", "source", "size").agg(F.count(F.lit(1)).alias("rows"))
+    name = F.coalesce(F.col("_key").cast("string"), F.lit("null"))
+    sized = sized.withColumn("_unit", F.xxhash64(name, F.col("_from"), F.col("_size"), F.col("_body")))
+    small = sized.select(F.col("_unit").alias("id"), F.col("_body").alias("body"), F.col("_from").alias("source"), F.col("_size").alias("size"))
+    small = small.groupBy("id", "body", "source", "size").agg(F.count(F.lit(1)).alias("rows"))
     small = stage(small, "mix-sizes")
     targets = stage(
         source_targets(small.select("source", (F.col("size") * F.col("rows")).alias("size")), weights, most),
@@ -160,33 +167,32 @@ def mix(
     ).withColumnRenamed("source", "_source")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     small = small.join(targets, F.col("source").eqNullSafe(F.col("_source"))).withColumn("ratio", ratio)
-    whole = F.floor("ratio").cast("long")
-    unit = F.xxhash64(F.coalesce(F.col("key").cast("string"), F.lit("null")), F.col("source"), F.col("size"))
-    small = small.withColumn("whole", whole).withColumn("id", unit)
-    small = small.withColumn("share", F.col("ratio") - F.col("whole"))
-    open_units = small.filter("size > 0 and share > 0").select(
-        "source", "id", (F.col("size") * F.col("rows")).alias("size"), "share"
-    )
+    small = small.withColumn("whole", F.floor("ratio").cast("long"))
+    # Of the extra copies of a unit's rows the whole ones are sure; the rest of one row is rounded.
+    extra = (F.col("ratio") - F.col("whole")) * F.col("rows")
+    small = small.withColumn("sure", F.floor(extra).cast("long")).withColumn("share", extra - F.floor(extra))
+    open_units = small.filter("size > 0 and share > 0").select("source", "id", "size", "share")
     rounded = round_shares(open_units, "source", seed).select(
         F.col("source").alias("_from"), F.col("id").alias("_id"), F.col("size").alias("_mass"), F.col("share").alias("_up")
     )
     alone = (unit_draw(F.lit(seed), F.col("id"), 2) < F.col("share")).cast("double")
-    extra = F.coalesce(F.col("_up"), F.when(F.col("size") == 0, alone), F.lit(0.0))
-    same = (
-        (F.col("id") == F.col("_id"))
-        & (F.col("size") * F.col("rows") == F.col("_mass"))
-        & F.col("source").eqNullSafe(F.col("_from"))
-    )
+    up = F.coalesce(F.col("_up"), F.when(F.col("size") == 0, alone), F.lit(0.0)).cast("long")
+    same = (F.col("id") == F.col("_id")) & (F.col("size") == F.col("_mass")) & F.col("source").eqNullSafe(F.col("_from"))
     plan = small.join(rounded, same, "left").select(
-        F.col("key").alias("_k"),
-        F.col("source").alias("_s"),
-        F.col("size").alias("_z"),
-        "source_size",
-        "target",
-        (F.col("whole") + extra).cast("long").alias("copies"),
+        F.col("id").alias("_k"), F.col("body").alias("_b"), "source_size", "target", "whole", "rows", (F.col("sure") + up).alias("more")
     )
-    same = F.col("_key").eqNullSafe(F.col("_k")) & F.col("_from").eqNullSafe(F.col("_s")) & (F.col("_size") == F.col("_z"))
-    return sized.join(plan, same).select("row", F.col("_size").alias("size"), "source_size", "target", "copies")
+    plan = stage(plan, "mix-plan")
+    planned = sized.join(plan, (F.col("_unit") == F.col("_k")) & (F.col("_body") == F.col("_b")))
+    planned = planned.select("row", F.col("_size").alias("size"), "source_size", "target", "whole", "rows", "more", "_k", "_b")
+    out = ["row", "size", "source_size", "target"]
+    alike = planned.select(*out, (F.col("whole") + (F.col("more") > 0).cast("long")).alias("copies"), "rows", "more")
+    if plan.filter("0 < more and more < rows").isEmpty():
+        return alike.select(*out, "copies")
+    # Equal rows are interchangeable, so any stored number deals them.
+    mixed = stage(planned.filter("0 < more and more < rows").withColumn("_nth", F.monotonically_increasing_id()), "mix-repeats")
+    mixed = number_rows(mixed, ["_k", "_b"], ["_nth"], "_at")
+    mixed = mixed.select(*out, (F.col("whole") + (F.col("_at") < F.col("more")).cast("long")).alias("copies"))
+    return alike.filter("more = 0 or more = rows").select(*out, "copies").union(mixed)
 
 
 def take(mixed: DataFrame) -> DataFrame:

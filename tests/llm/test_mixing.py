@@ -80,5 +80,19 @@ def test_take_repeats_rows(spark, odd_docs):
     assert taken.count() == mixed.agg(F.sum("copies")).first()[0]
 
 
+def test_rows_without_a_key_round_apart(spark):
+    """One key, source and size for nearly all rows: different texts, and one row many times."""
+    rows = [(None, prose(i, 20), "en", "a") for i in range(300)] + [(None, prose(999, 20), "en", "a")] * 301
+    rows += [(i, prose(2000 + i, 20), "en", "b") for i in range(500)]
+    want = water_fill({"a": 601 * 20, "b": 500 * 20})
+    got = mixing.mix(make(spark, rows)).select("row.source", "row.text", "size", "copies").collect()
+    assert len(got) == len(rows)
+    for source in "ab":
+        assert abs(sum(r["size"] * r["copies"] for r in got if r.source == source) - want[source]) <= 10  # half a document
+    share = want["a"] / (601 * 20) % 1
+    repeated = [r["copies"] for r in got if r.text == prose(999, 20)]
+    assert 0.05 < share < 0.95 and abs(sum(c - min(repeated) for c in repeated) - share * 301) <= 1
+
+
 def test_empty_table(no_docs):
     assert mixing.mix(no_docs).count() == 0 and mixing.take(mixing.mix(no_docs)).columns == no_docs.columns
