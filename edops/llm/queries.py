@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from edops.llm import bloom_lm, html_extract, langid, minhash, mixing, nn_descent, packing, quality, sharding, substrings
+from edops.llm import ann_tree, bloom_lm, hard_negatives, html_extract, langid, minhash, mixing, nn_descent, packing
+from edops.llm import quality, sharding, substrings, variants
 from edops.llm.common import TEXTS, arrow_rows, read
 from edops.llm.oracles import ORACLES as ORACLES
 from edops.session import stage
@@ -100,4 +101,33 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.select(F.col("key").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
-QUERIES = {"op1_mixing": op1_mixing, "op2_kd_shards": op2_kd_shards, "op3_dom_trees": op3_dom_trees, "op4_linear_grouping": op4_linear_grouping, "op5_repetition": op5_repetition, "op6_min_max_hash": op6_min_max_hash, "op7_nn_descent": op7_nn_descent, "op8_bloom_lm": op8_bloom_lm, "op9_language_mixture": op9_language_mixture, "op10_repeats": op10_repeats}
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors, key = read(spark, sf_dir, "embeddings"), F.col("vec_id")
+    label = F.when(key % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors, key % 100 == 0, label=label)
+
+
+def op12_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = ann_tree.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+    return found.withColumnRenamed("id", "vec_id")
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(read(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    "op1_mixing": op1_mixing,
+    "op2_kd_shards": op2_kd_shards,
+    "op3_dom_trees": op3_dom_trees,
+    "op4_linear_grouping": op4_linear_grouping,
+    "op5_repetition": op5_repetition,
+    "op6_min_max_hash": op6_min_max_hash,
+    "op7_nn_descent": op7_nn_descent,
+    "op8_bloom_lm": op8_bloom_lm,
+    "op9_language_mixture": op9_language_mixture,
+    "op10_repeats": op10_repeats,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_kmeans_tree": op12_kmeans_tree,
+    "op13_variants": op13_variants,
+}
