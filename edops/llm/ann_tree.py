@@ -10,7 +10,8 @@ A query walks the tree with a priority queue: the nearest open node is taken nex
 come out in the order of promise. How many of them a query visits is calibrated: exact
 neighbours of at most about ``AUDITED`` queries are found against all rows, and visits are
 widened until the leaves hold the share ``RECALL`` of these neighbours. Visited leaves are
-compared in double precision. Equal vectors are one entry that keeps its smallest ids, as
+compared in double precision, a few first; the later ones only return what reaches the best
+of the earlier ones. Equal vectors are one entry that keeps its smallest ids, as
 many as an answer can use, so copies cost nothing; large leaves, and the queries of much
 visited ones, are cut into blocks. The tree and the audited queries are all that is broadcast.
 
@@ -43,6 +44,7 @@ BRANCHES, LEAF_ROWS, LEAF_SAMPLE, PASSES = 16, 512, 8, 8
 RECALL, AUDITED = 0.95, 512
 WIDER = 1.25  # factor by which visits widen
 BLOCK_ROWS, BLOCK_QUERIES = 4096, 1024
+FIRST_VISITS = 4  # then four times as many in all, and so on; each step has a higher floor
 SEED = 12
 SLACK = 1e-9  # of the product of both lengths: rounding of a matrix product
 _FOUND = "query long, query_id long, leaf int, score double, id long"
@@ -167,50 +169,89 @@ def _visits(tree: Broadcast, most: int):
     return run
 
 
-def _compare(queries: np.ndarray, query: np.ndarray, query_id: list, x: np.ndarray, ids: list, leaf: np.ndarray, k: int):
-    """The ``k`` nearest rows of the block for each query, as columns of ``_FOUND``."""
-    out: list[list] = [[], [], [], [], []]
-    reach = SLACK * np.sqrt((queries**2).sum(axis=1)) * np.sqrt((x * x).sum(axis=1).max())
-    for at in range(0, len(queries), 128):
-        products = queries[at : at + 128] @ x.T
-        for i, row in enumerate(products, at):
-            # One more than asked for, as the query's own row falls out.
-            cut = np.partition(row, len(row) - k - 1)[len(row) - k - 1] if len(row) > k else -np.inf
-            near = np.flatnonzero(row >= cut - 2 * reach[i])
-            score = np.zeros(len(near))
-            for j in range(x.shape[1]):
-                score += queries[i, j] * x[near, j]
-            found = []
-            for r, s in zip(near, score):
-                held = ids[r]
-                if query_id[i] in held and (x[r] == queries[i]).all():
-                    held = list(held)
-                    held.remove(query_id[i])
-                found += [(-s, h is None, h or 0, leaf[r]) for h in held]
-            for minus, none, h, place in sorted(found)[:k]:
-                for column, v in zip(out, (query[i], query_id[i], int(place), -minus, None if none else h)):
-                    column.append(v)
-    return out
-
-
-def _as_found(columns: list[list]) -> list[pa.Array]:
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.int64())
-    return [pa.array(c, t) for c, t in zip(columns, kinds)]
+class Entries:
+    """A block of distinct vectors with the ids that share each."""
+
+    def __init__(self, table: pa.Table | pa.RecordBatch):
+        self.x = _matrix(table["vec"])
+        self.leaf = table["leaf"].to_numpy()
+        lists = table["ids"].combine_chunks() if isinstance(table["ids"], pa.ChunkedArray) else table["ids"]
+        self.count = lists.value_lengths().to_numpy()
+        self.first = np.cumsum(self.count) - self.count
+        ids = lists.flatten()
+        self.no_id = ids.is_null().to_numpy(zero_copy_only=False)
+        self.id = ids.fill_null(0).to_numpy()
+        self.longest = float(np.sqrt((self.x**2).sum(axis=1).max(initial=0)))
+
+    def nearest(self, queries: np.ndarray, query_id: np.ndarray, floor: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+        """The ``k`` nearest of each query that reach its floor: query's place, leaf, score, id, whether it is null."""
+        parts = [self._nearest(queries[at : at + 128], query_id[at : at + 128], floor[at : at + 128], k, at) for at in range(0, len(queries), 128)]
+        return tuple(np.concatenate(c) for c in zip(*parts))
+
+    def _nearest(self, queries: np.ndarray, query_id: np.ndarray, floor: np.ndarray, k: int, offset: int) -> tuple[np.ndarray, ...]:
+        square, n = (queries**2).sum(axis=1), len(self.x)
+        reach = 2 * SLACK * np.sqrt(square) * self.longest
+        products = queries @ self.x.T
+        # One more than asked for, as the query's own row falls out.
+        least = np.partition(products, n - k - 1, axis=1)[:, n - k - 1] if n > k else np.full(len(queries), -np.inf)
+        query, row = np.nonzero(products >= (np.maximum(least, floor) - reach)[:, None])
+        score = np.zeros(len(row))
+        for q, x in zip(queries.T, self.x.T):
+            score += q[query] * x[row]
+        pair = np.repeat(np.arange(len(row)), self.count[row])
+        at = np.arange(len(pair)) - np.repeat(np.cumsum(self.count[row]) - self.count[row], self.count[row]) + self.first[row[pair]]
+        own = np.flatnonzero(np.abs(score - square[query]) <= reach[query])
+        own = own[(queries[query[own]] == self.x[row[own]]).all(axis=1)]
+        self_ = np.isin(pair, own) & ~self.no_id[at] & (self.id[at] == query_id[query[pair]])
+        first = np.zeros(len(pair), bool)  # of the rows of the query's id and vector one falls out
+        first[np.flatnonzero(self_)[np.unique(pair[self_], return_index=True)[1]]] = True
+        pair, at = pair[~first], at[~first]
+        order = np.lexsort((self.id[at], self.no_id[at], -score[pair], query[pair]))
+        asked = query[pair[order]]
+        order = order[np.arange(len(order)) - np.searchsorted(asked, asked, "left") < k]
+        pair, at = pair[order], at[order]
+        return query[pair] + offset, self.leaf[row[pair]], score[pair], self.id[at], self.no_id[at]
 
 
 _NAMES = ["query", "query_id", "leaf", "score", "id"]
 
 
+def _as_found(query: np.ndarray, query_id: np.ndarray, found: tuple[np.ndarray, ...]) -> list[pa.Array]:
+    """Columns of ``_FOUND``."""
+    asked, leaf, score, id_, no_id = found
+    return [
+        pa.array(query[asked]),
+        pa.array(query_id[asked]),
+        pa.array(leaf, pa.int32()),
+        pa.array(score),
+        pa.array(id_, mask=no_id),
+    ]
+
+
+def _kth(asked: np.ndarray, score: np.ndarray, queries: int, k: int) -> np.ndarray:
+    """The k-th largest score of each query, minus infinity where there are fewer."""
+    order = np.lexsort((-score, asked))
+    first, last = np.searchsorted(asked[order], np.arange(queries)), np.searchsorted(asked[order], np.arange(queries), "right")
+    kth = np.full(queries, -np.inf)
+    full = last - first >= k
+    kth[full] = score[order][first[full] + k - 1]
+    return kth
+
+
 def _audit(queries: Broadcast, k: int):
-    """All rows against the audited queries."""
+    """All rows against the audited queries; a task returns its best few for each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, query, query_id = queries.value
+        best, floor = None, np.full(len(query), -np.inf)
         for batch in batches:
-            if len(batch) and len(query):
-                leaf = batch.column("leaf").to_numpy()
-                found = _compare(vectors, query, query_id, _matrix(batch.column("vec")), batch.column("ids").to_pylist(), leaf, k)
-                yield pa.RecordBatch.from_arrays(_as_found(found), _NAMES)
+            if len(batch):
+                found = Entries(batch).nearest(vectors, query_id, floor, k)
+                best = found if best is None else tuple(np.concatenate(c) for c in zip(best, found))
+                floor = _kth(best[0], best[2], len(query), k)
+                best = tuple(c[best[2] >= floor[best[0]]] for c in best)
+        if best is not None:
+            yield pa.RecordBatch.from_arrays(_as_found(query, query_id, best), _NAMES)
 
     return run
 
@@ -219,12 +260,12 @@ def _search(k: int):
     """The queries of a block against the rows of a block, all of one leaf."""
 
     def run(queries: pa.Table, rows: pa.Table) -> pa.Table:
-        found: list[list] = [[], [], [], [], []]
-        if len(queries) and len(rows):
-            asked, leaf = _matrix(queries["vec"]), rows["leaf"].to_numpy()
-            named = queries["query"].to_pylist(), queries["query_id"].to_pylist()
-            found = _compare(asked, *named, _matrix(rows["vec"]), rows["ids"].to_pylist(), leaf, k)
-        return pa.Table.from_arrays(_as_found(found), _NAMES)
+        if not len(queries) or not len(rows):
+            return pa.Table.from_arrays([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.int64())], _NAMES)
+        query, query_id = queries["query"].to_numpy(), queries["query_id"].to_numpy()
+        floor = queries["floor"].fill_null(-np.inf).to_numpy()
+        found = Entries(rows).nearest(_matrix(queries["vec"]), query_id, floor, k)
+        return pa.Table.from_arrays(_as_found(query, query_id, found), _NAMES)
 
     return run
 
@@ -259,10 +300,10 @@ def _calibrated(tree: Tree, index: DataFrame, queries: DataFrame, k: int, recall
     asked = queries.filter(unit_draw(SEED, F.col("query")) < share).toArrow()
     if not len(asked):
         return tree.leaves, 1.0
-    vectors, names = _matrix(asked["vec"]), asked["query"].to_pylist()
-    sent = spark.sparkContext.broadcast((vectors, names, asked["query_id"].to_pylist()))
+    vectors, query = _matrix(asked["vec"]), asked["query"].to_numpy()
+    sent = spark.sparkContext.broadcast((vectors, query, asked["query_id"].to_numpy()))
     true = _first(index.mapInArrow(_audit(sent, k), _FOUND), k).select("query", "leaf").toArrow()
-    turn = {q: {leaf: i for i, leaf in enumerate(order)} for q, order in zip(names, tree.order(vectors, tree.leaves))}
+    turn = {q: {leaf: i for i, leaf in enumerate(order)} for q, order in zip(query.tolist(), tree.order(vectors, tree.leaves))}
     needed = np.array([turn[q][leaf] + 1 for q, leaf in zip(true["query"].to_pylist(), true["leaf"].to_pylist())])
     visits = 1
     while visits < tree.leaves and (needed <= visits).mean() < recall:
@@ -286,20 +327,39 @@ def _of_one_length(rows: DataFrame, k: int, recall: float) -> tuple[DataFrame, f
     queries = rows.filter("asks").select(F.col("row").alias("query"), F.col("id").alias("query_id"), "vec")
     visits, reached = _calibrated(tree, index, queries, k, recall)
     walks = queries.mapInArrow(_visits(sent, visits), "visits array<int>, query long, query_id long, vec array<double>")
-    walks = walks.select(F.explode("visits").alias("leaf"), "query", "query_id", "vec")
-    walks = stage(walks, "walks")
-
+    walks = stage(walks.select(F.posexplode("visits").alias("turn", "leaf"), "query", "query_id", "vec"), "walks")
+    found, at, to = None, 0, FIRST_VISITS
+    while at < visits:
+        # The k-th best so far is the floor of the next visits, which only return what reaches it.
+        part = walks.filter(F.col("turn").between(at, to - 1))
+        if found is None:
+            part = part.withColumn("floor", F.lit(None).cast("double"))
+        else:
+            floors = found.groupBy("query").agg(F.min("score").alias("floor"), F.count(F.lit(1)).alias("_n"))
+            part = part.join(floors.filter(F.col("_n") == k).select("query", "floor"), "query", "left")
+        more = _meet(part, index, k)
+        more = more if found is None else found.drop("rank").unionByName(more)
+        found = stage(_first(more, k), "found")
+        at, to = to, to * 4
+    return found, reached
+
+
+def _meet(walks: DataFrame, index: DataFrame, k: int) -> DataFrame:
+    """Every visiting query against the rows of its leaf, both sides cut into blocks."""
     # One row per leaf, so at most as many as the tree has: how often rows and queries are cut.
     sizes = index.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("_rows"))
     asked = walks.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / BLOCK_QUERIES).cast("int").alias("_queries"))
     cuts = F.broadcast(stage(sizes.join(asked, "leaf"), "cuts"))
     place = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = walks.join(cuts, "leaf").select(*walks.columns, place("query", "_queries").alias("_q"), every("_rows").alias("_r"))
-    right = index.join(cuts, "leaf").select(*index.columns, place("entry", "_rows").alias("_r"), every("_queries").alias("_q"))
+    left = walks.join(cuts, "leaf").select(
+        "leaf", "query", "query_id", "vec", "floor", place("query", "_queries").alias("_q"), every("_rows").alias("_r")
+    )
+    right = index.join(cuts, "leaf").select(
+        "leaf", "vec", "ids", place("entry", "_rows").alias("_r"), every("_queries").alias("_q")
+    )
     keys = ["leaf", "_q", "_r"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_search(k), _FOUND)
-    return _first(found, k), reached
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_search(k), _FOUND)
 
 
 def nearest(
