@@ -14,7 +14,8 @@ texts scores the tokens that fall into it. More training text means more blocks
 never a larger broadcast, a lower precision or a dropped n-gram.
 
 Defined cases: a null text is empty and holds the end token alone; rows that agree in key and
-text get equal scores; a null key counts as training data; without training texts all
+text get equal scores, whatever the key; a row without a verdict of ``learn`` teaches nothing;
+without training texts all
 counts are 0; an empty table gives an empty result; extra columns are ignored.
 """
 

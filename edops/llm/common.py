@@ -19,6 +19,16 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def named(column: str) -> Column:
+    """The column of exactly that name, which may hold dots and back-ticks."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def whole_row(columns: Sequence[str]) -> Column:
+    """All columns as one struct, so that no name can clash."""
+    return F.struct(*[named(c) for c in columns])
+
+
 def unit_draw(*parts: Column | int) -> Column:
     """A uniform draw in [0, 1) that depends on the given values only."""
     columns = [F.lit(p) if isinstance(p, int) else p for p in parts]

@@ -15,7 +15,9 @@ Everything else runs over whole pages in one pass without a shuffle.
 
 Defined cases: null, empty and text-only pages work like any page (no text gives an empty
 string); markup that is cut off, unclosed or misnested is closed as browsers do it for
-paragraphs, list items and table cells; equal pages get equal texts; an empty table gives
+paragraphs, list items and table cells; of the elements that are dropped whole (drawings,
+frames, objects, templates and the like) one that is never closed, or closed in its own tag,
+holds nothing, so no text after it is lost; very long pages are read whole; equal pages get equal texts; an empty table gives
 an empty result; without any page to learn from, a fixed rule on links and element names
 takes the place of the trees; extra columns are ignored.
 """
@@ -41,7 +43,8 @@ TREES, DEPTH, RATE, BINS = 40, 4, 0.3, 32
 
 # Names of the HTML standard.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style template noscript iframe svg textarea select object canvas title head".split())
+_RAW = frozenset("script style".split())  # text up to the close tag, or to the end of the page
+_DROPPED = frozenset("template noscript iframe svg textarea select object canvas title head".split())
 _INLINE = frozenset(
     "a abbr b bdi bdo big cite code del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var br wbr img".split()
 )
@@ -66,6 +69,32 @@ _ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']
 _WORD = re.compile(r"[a-z]+")
 
 
+_DROPPED_TAG = re.compile(
+    rf"""<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1[^>]*>|\Z)|<(/?)({"|".join(sorted(_DROPPED))})\b((?:[^>"']++|"[^"]*"|'[^']*'|["'])*+)>""",
+    re.S | re.I,
+)
+
+
+def dropped_ranges(source: str) -> dict[int, int]:
+    """End of each dropped element that is closed, by the end of its open tag.
+
+    A close tag belongs to the last open one of its name; an element without one, or closed
+    in its own tag, holds nothing.
+    """
+    opened: dict[str, list[int]] = {}
+    ranges = {}
+    for found in _DROPPED_TAG.finditer(source):
+        if not found[3]:
+            continue
+        waiting = opened.setdefault(found[3].lower(), [])
+        if not found[2]:
+            if not found[4].endswith("/"):
+                waiting.append(found.end())
+        elif waiting:
+            ranges[waiting.pop()] = found.end()
+    return ranges
+
+
 @dataclass
 class Nodes:
     """Nodes of one or more pages in document order; a parent stands before its children."""
@@ -93,14 +122,18 @@ class Nodes:
         return len(self.tag) - 1
 
 
+_CLOSE = {tag: re.compile(f"</{tag}[^>]*>", re.I) for tag in _RAW}
+_HEAD_END = re.compile(r"</head\b|<body\b", re.I)
+
+
 def parse(source: str, nodes: Nodes, page: int) -> None:
     """Append the tree of one page."""
     root = nodes.add("html", -1, page)
-    stack, at, end = [root], 0, len(source)
+    stack, at, end, ranges = [root], 0, len(source), None
     while at < end:
         found = _TOKEN.search(source, at)
         start = found.start() if found else end
-        if start > at:
+        if start > at and nodes.tag[stack[-1]] != "option":  # what a form offers is no text
             nodes.add("#text", stack[-1], page, text=html.unescape(source[at:start]))
         if not found:
             break
@@ -115,11 +148,16 @@ def parse(source: str, nodes: Nodes, page: int) -> None:
                     del stack[i:]
                     break
         elif tag in _RAW:
-            close = re.compile(f"</{tag}[^>]*>", re.I).search(source, at)
-            # A head that is never closed ends where the body starts.
-            if close is None and tag == "head":
-                close = re.compile(r"(?=<body\b)", re.I).search(source, at)
+            close = _CLOSE[tag].search(source, at)
             at = close.end() if close else end
+        elif tag in _DROPPED:
+            ranges = dropped_ranges(source) if ranges is None else ranges
+            if at in ranges:
+                at = ranges[at]
+            elif tag in ("head", "title") and not found[3].endswith("/"):
+                # Never closed: it ends with the head, or where the body starts.
+                close = _HEAD_END.search(source, at)
+                at = close.start() if close else at
         elif tag in ("html", "body") and len(stack) == 1:
             if tag == "body":
                 stack.append(nodes.add(tag, stack[-1], page, found[3]))

@@ -4,14 +4,15 @@ A model holds, for every learned language, the smoothed probabilities of letter
 Each word of a document is taken to come from one language; expectation-maximisation
 estimates the shares of the languages from the trigram likelihoods of all its words. The
 language set is chosen by penalised likelihood: sets of one, two, ... languages (the
-largest shares first) are fitted and the one with the best Bayesian information criterion
-wins. The prediction is the language with the largest share, and the score is that share.
+largest shares first) are fitted, at least three and on as long as the Bayesian information
+criterion improves, and the best set wins. The prediction is the language with the largest share, and the score is that share.
 
 Everything runs over whole texts, batch by batch in numpy; the model is one row of counts
 per language, counted over all training texts, and nothing else leaves the tasks.
 
 Defined cases: null texts and texts without a letter are ``und`` with score 0; so is every
-text if nothing was learned; rows without a language or text teach nothing; ties go to the
+text if nothing was learned; letters are A to Z and every code point from U+0080 on, so signs
+beyond ASCII count as letters of a word; very long texts are taken whole; rows without a language or text teach nothing; ties go to the
 language that sorts first; equal texts get equal results; an empty table gives an empty
 result; extra columns are ignored.
 """
@@ -32,7 +33,7 @@ from edops.session import stage
 BUCKET_BITS = 15
 SMOOTHING = 0.2
 STEPS = 12  # rounds of expectation-maximisation
-MOST_LANGUAGES = 3  # largest language set that is fitted
+TRIED = 3  # language sets of so many are always fitted; larger ones while they are better
 UNKNOWN = "und"
 _LETTER = np.zeros(256, bool)
 _LETTER[ord("a") : ord("z") + 1] = True
@@ -131,12 +132,20 @@ def detect(column: pa.Array, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     rank = np.argsort(np.argsort(-shares, axis=1, kind="stable"), axis=1, kind="stable")
     best = np.full(n_texts, -np.inf)
     chosen = np.zeros((n_texts, n_langs))
-    for k in range(1, min(MOST_LANGUAGES, n_langs) + 1):
-        fitted, mass = mixture(likelihood, text, n_texts, (rank < k).astype(float), STEPS if k > 1 else 1)
+    open_ = np.arange(n_texts)
+    for k in range(1, n_langs + 1):
+        inside = np.isin(text, open_)
+        own = np.searchsorted(open_, text[inside])
+        allowed = (rank[open_] < k).astype(float)
+        fitted, mass = mixture(likelihood[inside], own, len(open_), allowed, STEPS if k > 1 else 1)
         # Each language beyond the first adds one free share.
-        value = mass - 0.5 * (k - 1) * np.log(np.maximum(words, 2))
-        better = value > best + 1e-9
-        best[better], chosen[better] = value[better], fitted[better]
+        value = mass - 0.5 * (k - 1) * np.log(np.maximum(words[open_], 2))
+        better = value > best[open_] + 1e-9
+        best[open_[better]], chosen[open_[better]] = value[better], fitted[better]
+        if k >= TRIED:
+            open_ = open_[better]
+        if not len(open_):
+            break
     lang = np.where(words > 0, chosen.argmax(axis=1), -1)
     return lang, np.where(words > 0, chosen.max(axis=1), 0.0)
 

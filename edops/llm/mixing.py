@@ -25,7 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from edops.llm.common import WORD, number_rows, unit_draw
+from edops.llm.common import WORD, named, number_rows, unit_draw, whole_row
 from edops.session import stage
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -150,11 +150,11 @@ def mix(
     a small stored table. Rows of a repeated row that are not all taken equally often are
     numbered in runs, however many they are.
     """
-    others = [F.col(c) for c in docs.columns if c not in (key, text, source)]
+    others = [named(c) for c in docs.columns if c not in (key, text, source)]
     rest = F.to_json(F.struct(*others), {"ignoreNullFields": "false"}) if others else F.lit("")
     body = F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.col(text).isNull(), rest)
     sized = docs.select(
-        F.struct(*docs.columns).alias("row"), F.col(key).alias("_key"), F.col(source).alias("_from"), word_count(text).alias("_size"), body.alias("_body")
+        whole_row(docs.columns).alias("row"), F.col(key).alias("_key"), F.col(source).alias("_from"), word_count(text).alias("_size"), body.alias("_body")
     )
     name = F.coalesce(F.col("_key").cast("string"), F.lit("null"))
     sized = sized.withColumn("_unit", F.xxhash64(name, F.col("_from"), F.col("_size"), F.col("_body")))

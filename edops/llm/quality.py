@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from edops.llm.common import whole_row
 from edops.llm.words import STEP, Words, hash_ranges, mix, slices, split_words
 
 # Published limits on the share of characters.
@@ -152,7 +153,7 @@ def repetition(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("do
     """Measures and verdict of every row: ``row`` (a struct of the ``keep`` columns), all
     measures, base_failed and kept. One pass over the texts without a shuffle.
     """
-    rows = docs.select(F.struct(*keep).alias("row"), F.col(text).alias("text"))
+    rows = docs.select(whole_row(keep).alias("row"), F.col(text).alias("text"))
     fields = [T.StructField("row", rows.schema["row"].dataType)]
     fields += [T.StructField(c, T.LongType()) for c in ("n_words", *_LONG)]
     fields += [T.StructField(c, T.DoubleType()) for c in _SHARES]

@@ -22,8 +22,8 @@ def op2_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     dimensions = {
         "size": F.log2(F.octet_length("text") + 1),
-        "lang": sharding.text_prefix("lang"),
-        "source": sharding.text_prefix("source"),
+        "lang": F.col("lang"),
+        "source": F.col("source"),
         "doc_id": F.col("doc_id"),
     }
     placed = sharding.kd_shards(docs, dimensions, shards=SHARDS)

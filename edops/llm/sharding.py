@@ -12,7 +12,10 @@ that ties fall apart evenly and equal texts stay next to each other). Bytes are
 it carries less than ``TOLERANCE`` of the node. All nodes of a depth are split together,
 and no row, node list or histogram goes to the driver.
 
-Defined cases: null text has 0 bytes; a null in a dimension sorts below every value; a
+A string dimension counts by the rank of its value among the distinct values.
+
+Defined cases: null text has 0 bytes; a null in a dimension sorts below every value; very
+long texts only count by their bytes, and one above a shard's share fills a shard; a
 dimension without spread is never chosen unless all have none, and then the hash alone
 splits; equal rows are interchangeable; an empty table gives an empty result; extra columns
 are kept.
@@ -22,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from edops.llm.common import number_rows
 from edops.session import stage
@@ -30,12 +33,27 @@ from edops.session import stage
 VALUE_BITS, TIE_BITS, BIN_BITS = 20, 40, 12
 KEY_BITS = VALUE_BITS + TIE_BITS
 TOLERANCE = 1e-3
+BROADCAST_VALUES = 50_000
+
 
+def _ranked(rows: DataFrame, name: str) -> DataFrame:
+    """Replace a string dimension by the rank of its value among the distinct ones; null stays.
 
-def text_prefix(column: str) -> Column:
-    """An order-preserving number of the first six bytes of a string."""
-    head = F.substring(F.rpad(F.hex(F.encode(F.col(column), "utf-8")), 12, "0"), 1, 12)
-    return F.conv(head, 16, 10).cast("double")
+    The distinct values are dealt by range and numbered in place, with the numbers before
+    each range added; only as many numbers as there are ranges meet on the driver.
+    """
+    values = rows.filter(F.col(name).isNotNull()).select(F.col(name).alias("_value")).distinct()
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    values = stage(values.repartitionByRange(parts, "_value").withColumn("_part", F.spark_partition_id()), "shard-values")
+    held = {r["_part"]: r["count"] for r in values.groupBy("_part").count().collect()}
+    before, total = [0] * (max(held, default=0) + 1), 0
+    for part in sorted(held):
+        before[part], total = total, total + held[part]
+    place = F.row_number().over(Window.partitionBy("_part").orderBy("_value")) + F.array(*map(F.lit, before))[F.col("_part")]
+    ranks = values.select("_value", place.cast("double").alias("_rank"))
+    ranks = F.broadcast(ranks) if total <= BROADCAST_VALUES else ranks
+    joined = rows.join(ranks, F.col(name) == F.col("_value"), "left").drop("_value")
+    return joined.withColumn(name, F.col("_rank")).drop("_rank")
 
 
 def _scaled(df: DataFrame, names: list[str]) -> DataFrame:
@@ -77,9 +95,13 @@ def kd_shards(
             F.lpad(F.hex(F.pmod(F.xxhash64(body), F.lit(1 << 24))), 6, "0"),
             F.lpad(F.hex(F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 16))), 4, "0"),
         ).alias("tie"),
-        *[c.cast("double").alias(n) for n, c in zip(names, dimensions.values())],
+        *[c.alias(n) for n, c in zip(names, dimensions.values())],
     ).withColumn("tie", F.conv("tie", 16, 10).cast("long"))
-    rows = stage(rows, "shard-rows")
+    texts = [n for n in names if isinstance(rows.schema[n].dataType, T.StringType)]
+    rows = stage(rows.withColumns({n: F.col(n).cast("double") for n in names if n not in texts}), "shard-rows")
+    for n in texts:
+        rows = _ranked(rows, n)
+    rows = stage(rows, "shard-ranks") if texts else rows
     total = rows.agg(F.sum("size")).first()[0] or 0
     if shards is None:
         shards = max(1, -(-total // target_bytes))

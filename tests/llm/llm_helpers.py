@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
 DOCS = T.StructType(
     [
@@ -14,7 +14,7 @@ DOCS = T.StructType(
     ]
 )
 #: Names that the operators use inside.
-CLASHING = ["key", "body", "row", "id", "size", "kept", "_unit", "_size", "_k", "unit", "n", "n_words", "_cut", "copies"]
+CLASHING = ["key", "body", "row", "id", "size", "kept", "_unit", "_size", "_k", "unit", "n", "n_words", "_cut", "copies", "a.b", "row.x", "q`r"]
 
 
 def words_of(text: str | None) -> list[str]:
@@ -26,7 +26,7 @@ def make(spark, rows, clashing: bool = False):
     full = [(*r, *[None] * (4 - len(r)), len(r[1] or "")) for r in rows]
     df = spark.createDataFrame(full, DOCS)
     if clashing:
-        df = df.selectExpr("*", *[f"'x{i}' as `{c}`" for i, c in enumerate(CLASHING)])
+        df = df.select("*", *[F.lit(f"x{i}").alias(c) for i, c in enumerate(CLASHING)])
     return df
 
 

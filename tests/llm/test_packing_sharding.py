@@ -84,7 +84,7 @@ def test_nothing_to_pack_or_shard(no_docs):
 
 
 def shard(df, **how):
-    axes = {"size": F.octet_length("text"), "source": sharding.text_prefix("source"), "doc_id": F.col("doc_id")}
+    axes = {"size": F.octet_length("text"), "source": F.col("source"), "doc_id": F.col("doc_id")}
     return sharding.kd_shards(df, axes, **how).collect()
 
 
@@ -121,3 +121,21 @@ def test_shards_are_near_equal(spark, shards):
 def test_target_bytes_set_the_number_of_shards(spark):
     got = shard(make(spark, [(i, "x" * 99) for i in range(500)]), target_bytes=10_000)
     assert set(group(got)) == set(range(5))
+
+
+def test_sources_that_begin_alike_are_split(spark):
+    """Two sources of equal size, source as the only dimension: each fills a shard of its own."""
+    rows = [(i, prose(i, 40), "en", f"common_crawl_{i % 2}") for i in range(40)] + [(99, None, "en", None)]
+    got = sharding.kd_shards(make(spark, rows), {"source": F.col("source")}, shards=2).collect()
+    side = {r["key"]: r["_shard"] for r in got}
+    even = collections.Counter(side[i] for i in range(0, 40, 2))
+    odd = collections.Counter(side[i] for i in range(1, 40, 2))
+    assert side[99] == 0 and even[0] >= 19 and odd[1] >= 19
+
+
+def test_ranks_of_many_values_in_many_ranges(spark):
+    values = [None, "", *(f"https://x.org/{i:05d}" for i in range(500)), "é", "z"]
+    df = spark.createDataFrame([(v,) for v in values * 3], "name string")
+    ranks = {r["name"]: r["rank"] for r in sharding._ranked(df.withColumn("rank", F.col("name")), "rank").collect()}
+    named = sorted(v for v in values if v is not None)
+    assert ranks == {None: None} | {v: float(i) for i, v in enumerate(named, 1)}

@@ -61,6 +61,62 @@ def test_no_pages_and_no_article_to_learn_from(spark):
     assert got[0]["text"] == "one\ntwo l words"
 
 
+DROPPED_CASES = {
+    "svg closed in its tag": '<svg class="i"/>',
+    "svg": "<svg><title>logo</title><path d='M0>1'/><text>no</text></svg>",
+    "unclosed svg": "<svg class=i><path/>",
+    "unclosed iframe": "<iframe src='x'>",
+    "unclosed object": "<object data='x'><param name=a>",
+    "unclosed canvas": "<canvas id=c>",
+    "unclosed title": "<title>",
+    "unclosed template": "<template>",
+    "unclosed, then a closed one": "<iframe src=x><iframe src=y>no</iframe>",
+    "nested objects": "<object><object>no</object>no</object>",
+    "nested select": "<select><option>no<select><option>no</select></select>",
+    "select without end": "<select><option>no<option>no",
+    "close tag in a comment": "<iframe src=x><!-- </iframe> -->",
+    "close tag in a script": "<canvas><script>var a = '</canvas>';</script>",
+}
+
+
+@pytest.fixture(scope="module")
+def fitted():
+    """Pages, trees fitted on them, and what the trees take."""
+    rows = [page(i)[0] for i in range(60)]
+    nodes, labels = H.sample_nodes(rows)
+    x = H.features(nodes)
+    model = H.fit_trees(x, labels.astype(float), x[:, len(H._GROUPS) + 1] + 0.1)
+    plain = H.extract_batch(rows, model)
+    assert sum(text == page(i)[1] for i, text in enumerate(plain)) >= 57
+    return rows, model, plain
+
+
+@pytest.mark.parametrize("case", DROPPED_CASES)
+def test_no_text_is_lost_after_a_dropped_element(fitted, case):
+    """The same article with the element at its start, and both sides of it inside a line."""
+    rows, model, plain = fitted
+    odd = H.extract_batch([r.replace("<article>", "<article>" + DROPPED_CASES[case]) for r in rows], model)
+    assert sum(a == b for a, b in zip(odd, plain)) >= 57
+    inside = H.extract_batch([r.replace("</h1>", f"</h1><p>before {DROPPED_CASES[case]} <b>after</b></p>") for r in rows], model)
+    assert sum({"before", "after"} <= set(t.split()) and "no" not in t.split() for t in inside) >= 57
+
+
+def test_a_head_that_never_ends_keeps_the_page():
+    for source in ("<head><title>t</title><p>one two</p>", "<head><title>t<body><p>one two</p>", "<title>t</head><p>one two</p>"):
+        nodes = H.Nodes()
+        H.parse(source, nodes, 0)
+        assert [t for t in nodes.text if t] == ["one two"]
+
+
+def test_a_page_above_the_slice_size(spark):
+    """The longest page is read whole: its article comes out to the last word."""
+    blocks = [prose(i, 200) for i in range(1200)]
+    long = "<html><body><article>" + "".join(f"<p>{b}</p>" for b in blocks) + "</article></body></html>"
+    assert len(long) > 1 << 20
+    got = {r["key"]: r["text"] for r in run(spark, [(i, f"u{i}", page(i)[0]) for i in range(80)] + [(999, "u", long)])}
+    assert got[999] == "\n".join(blocks)
+
+
 def test_decoding_never_keeps_below_a_dropped_node():
     nodes = H.Nodes()
     H.parse(page(3)[0], nodes, 0)

@@ -170,3 +170,38 @@ def test_model_without_documents(no_docs, odd_docs, odd_rows):
     assert bloom_lm.score(no_docs, F.lit(True)).count() == 0
     found = bloom_lm.score(odd_docs, F.lit(False)).collect()
     assert len(found) == len(odd_rows) and {(r["n_known"], r["train_tokens"]) for r in found} == {(0, 0)}
+
+
+def tongue(seed, n, stems):
+    draw = random.Random(seed)
+    return " ".join("".join(draw.choice(stems) for _ in range(draw.randint(2, 4))) for _ in range(n))
+
+
+STEMS = [["ba", "do", "gu"], ["wix", "zek", "quy"], ["shr", "thl", "mpf"], ["éla", "ùne", "çoi"], ["jju", "kko", "vva"], ["ñan", "rri", "lle"]]
+
+
+@pytest.mark.parametrize("languages", [1, 2, 4, 6])
+def test_shares_of_as_many_languages_as_a_text_has(languages):
+    """All six are learned; a text in several equal parts gets its share, in whole languages."""
+    counts = np.zeros((6, 1 << langid.BUCKET_BITS))
+    for i, stems in enumerate(STEMS):
+        bucket, _, _ = langid.trigrams(pa.array([tongue(i, 5000, stems)]))
+        counts[i] += np.bincount(bucket, minlength=counts.shape[1])
+    logs = np.log((counts + langid.SMOOTHING) / (counts.sum(axis=1, keepdims=True) + langid.SMOOTHING * counts.shape[1]))
+    mixed = " ".join(tongue(50 + i, 300, STEMS[i]) for i in range(languages))
+    lang, share = langid.detect(pa.array([mixed, tongue(99, 300, STEMS[5]), ""]), logs)
+    assert lang[0] < languages and abs(share[0] - 1 / languages) < 0.03
+    assert lang[1] == 5 and share[1] > 0.99 and lang[2] == -1
+
+
+def test_a_text_above_the_slice_size(spark):
+    from edops.llm.words import SLICE_BYTES
+
+    long = " ".join(tongue(7, 200_000, STEMS[0]).split())
+    assert len(long) > SLICE_BYTES
+    rows = [(1, long, "x"), (2, tongue(8, 500, STEMS[1]), "y"), (3, tongue(9, 500, STEMS[0]), "x"), (4, long, None)]
+    found = langid.identify(make(spark, rows), F.col("doc_id") < 4).collect()
+    assert {r["key"]: r["lang_pred"] for r in found} == {1: "x", 2: "y", 3: "x", 4: "x"}
+    judged = quality.repetition(make(spark, [(1, long)])).first()
+    want = brute_quality(long)
+    assert {k: judged[k] for k in want} == pytest.approx(want)
