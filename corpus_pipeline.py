@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from edops.llm import minhash, mixing, packing, quality, substrings
-from edops.llm.common import ARROW_ROWS, TEXTS, read
+from edops.llm.common import ARROW_ROWS, TEXTS, arrow_rows, read, whole_row
 from edops.llm.queries import tokenizer_path
 from edops.session import stage
 
@@ -24,11 +24,15 @@ def _unit(key: str | Column, body: str | Column) -> Column:
 def _with_unit(docs: DataFrame) -> DataFrame:
     """(row, _unit): the row as a struct, so that no column name can clash."""
     body = F.xxhash64(F.coalesce("text", F.lit("")))
-    return docs.select(F.struct(*docs.columns).alias("row"), _unit("doc_id", body))
+    return docs.select(whole_row(docs.columns).alias("row"), _unit("doc_id", body))
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that the base rule or the repetition limits reject."""
+    """Drop documents that the base rule or the repetition limits reject.
+
+    Null and empty texts are rejected as too short; equal rows share a verdict and all stay
+    or go; there are no ties.
+    """
     # The result is not stored here, as its caller stores it, so the setting has to stay.
     spark.conf.set(ARROW_ROWS, str(TEXTS))
     return quality.repetition(docs, keep=tuple(docs.columns)).filter("kept").select("row.*")
@@ -63,12 +67,20 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Take documents so that the sources meet their target weights; some are repeated."""
+    """Take documents so that the sources meet their target weights; some are repeated.
+
+    A null source is a source of its own, the last one; null and empty texts weigh nothing;
+    equal rows are interchangeable, and no tie is left as the draws depend on the row alone.
+    """
     return mixing.take(mixing.mix(docs))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack the documents into sequences: one row per piece, with its sequence and place."""
+    """Pack the documents into sequences: one row per piece, with its sequence and place.
+
+    Null and empty texts are the end token alone; equal rows are packed as often as they
+    occur; ties in length go by key and text.
+    """
     return packing.pack(docs, tokenizer_path()).drop("body").withColumnRenamed("key", "doc_id")
 
 
@@ -87,6 +99,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each is written as Parquet and read again."""
     docs = read(spark, sf_dir, "documents")
-    for name, function in STAGES:
-        docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
+    with arrow_rows(spark, TEXTS):  # puts back what the quality stage sets
+        for name, function in STAGES:
+            docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
     return docs
