@@ -683,6 +683,14 @@ def stream_load_15min(spark, sf_dir):
     return _run_state(spark, sf_dir).load_windows()
 
 
+@query("stream_load_table")
+def stream_load_table(spark, sf_dir):
+    """The load query: a streaming aggregate whose changed windows replace stored ones."""
+    stream = _run_state(spark, sf_dir)
+    stream.start_load(files=1).awaitTermination()
+    return stream.stored_load()
+
+
 @query("state_restore")
 def state_restore(spark, sf_dir):
     """Two batches; a new job object takes over between them and repeats nothing."""

@@ -478,11 +478,13 @@ oracle("bi_load_15min", ["load"], _LOAD_ISO)
 oracle("load_rollup", ["load"], """
 SELECT strftime(window_start, '%Y-%m-%d') AS day, max(active_patients) AS active_patients, sum(new_arrivals)::BIGINT AS new_arrivals, sum(admissions)::BIGINT AS admissions,
        sum(discharges)::BIGINT AS discharges, max(avg_wait_minutes) AS avg_wait_minutes, max(high_attention_count) AS high_attention_count FROM load GROUP BY 1""")
-oracle("stream_load_15min", ["stream_ledger"], f"""
+_STREAM_LOAD = f"""
 SELECT {iso('w')} AS window_start, {iso("w + INTERVAL 15 MINUTES")} AS window_end, new_arrivals, admissions, discharges
 FROM (SELECT time_bucket(INTERVAL 15 MINUTES, event_ts) AS w, count(*) FILTER (WHERE event_type = 'ARRIVAL') AS new_arrivals,
         count(*) FILTER (WHERE event_type = 'ADMISSION') AS admissions, count(*) FILTER (WHERE event_type = 'DISCHARGE') AS discharges
-      FROM stream_ledger WHERE outcome <> 'DUPLICATE' GROUP BY 1)""")
+      FROM stream_ledger WHERE outcome <> 'DUPLICATE' GROUP BY 1)"""
+for _name in ("stream_load_15min", "stream_load_table"):
+    oracle(_name, ["stream_ledger"], _STREAM_LOAD)
 
 # --- BI tables and exports -----------------------------------------------------------------------
 

@@ -3,15 +3,21 @@
 Layout below the output folder, one partition per batch:
 
     ledger/batch_id=N     every row of the batch with its outcome and errors
-    episodes/batch_id=N   completed=false: open visits; completed=true: closed in the batch
-    load/batch_id=N       what the batch adds to each 15-minute window
-    marks/batch_id=N      high-water mark, counters and run, written last
+    episodes/batch_id=N   completed=false: open visits of the buckets that the batch touches;
+                          completed=true: visits closed in the batch
+    open_parts            for each batch a document: which batch holds the visits of each bucket
+    known/                index of accepted event ids, see ``ids``
+    marks/batch_id=N      high-water mark, counters, segments of the index and run
+    load/batch_id=N       what the batch adds to each 15-minute window, written last
     parsed                the batch in work, parsed and ordered
 
-Batch N reads partition N-1 and overwrites its own folders, so a repeated batch gives
-the same result. A batch without its mark has not happened: no reader shows it. Only the
-newest batch can be repeated, and only by the run that wrote it, so a run whose numbering
-starts again cannot replace stored batches.
+What a batch reads and writes follows its own size, not the history: of the open visits only
+the buckets that its events touch, of the known ids only the parts whose filters may hold
+one of its own. Batch N reads what N-1 left and overwrites its own folders, so a repeated
+batch gives the same result. A batch without its mark has not happened: no reader shows it.
+Only the newest batch can be repeated, and only by the run that wrote it, so a run whose
+numbering starts again cannot replace stored batches; a batch that has its mark is not
+computed again.
 """
 
 from __future__ import annotations
@@ -19,8 +25,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from edops.functions.times import from_micros
@@ -40,8 +45,12 @@ from edops.operators.running import HEAVY_ROWS, SPAN, heavy_keys
 from edops.operators.visits import STATE_COLUMNS, current_rows, merge_state, trace_batch
 from edops.schemas import PATIENT_EVENTS, STORED_STATE, WATERMARK_MINUTES, names
 from edops.session import stage_if
+from edops.sources import folders
+from edops.streaming.ids import SEGMENTS, IdIndex, Segment
+from edops.streaming.parts import PartTable, read_or_empty, spread
 
 BROADCAST_ROWS = 500_000
+BUCKETS = 64
 
 _LEDGER = (
     f"{PATIENT_EVENTS}, event_ts timestamp, errors array<string>, raw_value string, "
@@ -52,6 +61,7 @@ _MARK = (
     "duplicate_event_ids long, malformed_events long, late_events long, missing_fields long, run string"
 )
 _COUNTERS = [c.split()[0] for c in _MARK.split(", ")][1:-1]
+_MARK += f", segments {SEGMENTS}"
 _LOAD = "window_start timestamp, window_end timestamp, new_arrivals long, admissions long, discharges long"
 
 
@@ -72,6 +82,8 @@ class VisitStream:
     initial_ids: str | None = None
     span: int = SPAN
     heavy_rows: int = HEAVY_ROWS
+    # Open visits are dealt into so many buckets; a run keeps the number it began with.
+    buckets: int = BUCKETS
 
     # --- folders ---------------------------------------------------------------
 
@@ -79,14 +91,20 @@ class VisitStream:
         return f"{self.output}/{table}" + ("" if batch_id is None else f"/batch_id={batch_id}")
 
     def _read(self, schema: str, path: str | None) -> DataFrame:
-        """The table at ``path``; a folder that was never written is an empty table."""
-        if path is not None:
-            try:
-                return self.spark.read.schema(schema).parquet(path)
-            except AnalysisException as missing:
-                if missing.getCondition() != "PATH_NOT_FOUND":
-                    raise
-        return self.spark.createDataFrame([], schema)
+        return read_or_empty(self.spark, schema, path)
+
+    @property
+    def _open(self) -> PartTable:
+        """Open visits by bucket."""
+        place = lambda batch_id: self._path("episodes", batch_id) + "/completed=false"
+        return PartTable(self.spark, self._path("open_parts"), STORED_STATE, "bucket", place)
+
+    @property
+    def _known(self) -> IdIndex:
+        return IdIndex(self.spark, self._path("known"))
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64("visit_id"), F.lit(self.buckets)).cast("int")
 
     def _mark_row(self, batch_id: int):
         """High-water mark and counters of a batch; None while it is not complete."""
@@ -95,13 +113,11 @@ class VisitStream:
 
     # --- previous batch ----------------------------------------------------------
 
-    def state(self, batch_id: int) -> DataFrame:
-        """Open visits after a batch; batch -1 is the start of the run."""
+    def state(self, batch_id: int, buckets: list[int] | None = None) -> DataFrame:
+        """Open visits after a batch, of all buckets or of some; batch -1 is the start of the run."""
         if batch_id >= 0:
-            path = self._path("episodes", batch_id) + "/completed=false"
-        else:
-            path = self.initial_state
-        return self._read(STORED_STATE, path)
+            return self._open.read(batch_id, buckets)
+        return self._read(STORED_STATE, self.initial_state).select(*STATE_COLUMNS)
 
     def mark(self, batch_id: int) -> int | None:
         """High-water mark after a batch, in microseconds (one value)."""
@@ -109,20 +125,38 @@ class VisitStream:
             return self._mark_row(batch_id)["mark"]
         return self.state(-1).agg(F.unix_micros(F.max("last_event_time"))).first()[0]
 
-    def log_ids(self, batch_id: int, mark: int | None) -> DataFrame:
+    def segments(self, batch_id: int) -> list[Segment]:
+        """Segments of the id index after a batch."""
+        if batch_id < 0:
+            return []
+        return _segments(self._mark_row(batch_id))
+
+    def _first_segments(self) -> list[Segment]:
+        """The index that a run starts with: the ids of its snapshot."""
+        if self.initial_ids is None:
+            return []
+        ids = self._read("event_id string", self.initial_ids).withColumn("event_ts", F.lit(None).cast("timestamp"))
+        return [self._known.write(ids, -1, 0, ids.count())]
+
+    def log_ids(self, batch_id: int) -> DataFrame:
         """Accepted event ids of all batches before ``batch_id``, those of the snapshot included."""
-        earlier = self._read("event_id string", self.initial_ids)
         if batch_id <= 0:
-            return earlier
-        log = self._table("ledger", _LEDGER).filter(F.col("batch_id") < batch_id)
+            return self._read("event_id string", self.initial_ids)
+        return self._known.all(self.segments(batch_id - 1)).select("event_id")
+
+    def _possible_copies(self, ids: DataFrame, segments: list[Segment], mark: int | None) -> DataFrame:
+        """Known ids that may be among these; all that are, within the horizon, are there."""
+        limit = None
         if self.dedupe_horizon_minutes is not None and mark is not None:
-            reach = F.expr(f"INTERVAL {int(self.dedupe_horizon_minutes)} MINUTES")
-            limit = from_micros(mark) - reach
-            # No event is newer than its batch's mark, so older batches are not opened.
+            limit = from_micros(mark) - F.expr(f"INTERVAL {int(self.dedupe_horizon_minutes)} MINUTES")
+            # No event is newer than its batch's mark, so older segments are not opened.
             recent = self._marks().filter(F.col("high_water") >= limit)
             first = recent.agg(F.min("batch_id")).first()[0]
-            log = log.filter((F.col("batch_id") >= first) & (F.col("event_ts") >= limit))
-        return log.filter(F.col("outcome").isin(ACCEPTED, ORPHAN)).select("event_id").union(earlier)
+            segments = [s for s in segments if s.first < 0 or s.first + s.batches > first]
+        known = self._known.known(ids, segments)
+        if limit is not None:
+            known = known.filter(F.col("event_ts").isNull() | (F.col("event_ts") >= limit))
+        return known.select("event_id")
 
     def write_snapshot(self, path: str) -> None:
         """Store what another run needs to start from here: ``state`` and ``event_ids``."""
@@ -130,24 +164,37 @@ class VisitStream:
         if last is None:
             raise ValueError("No batch is complete")
         self.state(last).write.mode("errorifexists").parquet(f"{path}/state")
-        self.log_ids(last + 1, None).write.mode("errorifexists").parquet(f"{path}/event_ids")
+        self.log_ids(last + 1).write.mode("errorifexists").parquet(f"{path}/event_ids")
 
     # --- one batch -----------------------------------------------------------------
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """Classify a batch and continue the stored state. Safe to repeat."""
+        last, run = self.last_batch(), self.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if last is not None and batch_id <= last:
+            self._refuse_other_run(batch_id, last, run)
+        elif batch_id > (-1 if last is None else last) + 1:
+            raise ValueError(f"Batch {batch_id} needs batch {batch_id - 1}, which is not complete")
+        else:
+            self._compute(batch, batch_id, run)
+        self._publish_load(batch_id)
+
+    def _compute(self, batch: DataFrame, batch_id: int, run: str | None) -> None:
+        """Everything of a batch up to its mark."""
         before = batch_id - 1
-        if before >= 0 and self._mark_row(before) is None:
-            raise ValueError(f"Batch {batch_id} needs batch {before}, which is not complete")
-        run = self.spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        self._refuse_other_run(batch_id, run)
         parsed = self._parse(batch)
         broken = F.size("errors") > 0
         valid = parsed.filter(~broken)
         heavy = heavy_keys(valid, "event_id", "visit_id", heavy_rows=self.heavy_rows)
-        mark, state = self.mark(before), self.state(before)
-
-        checked = self._check(valid, self.log_ids(batch_id, mark), mark, heavy)
+        size, touched = valid.agg(F.count(F.lit(1)), F.collect_set(self._bucket())).first()
+        if before >= 0:
+            previous = self._mark_row(before)
+            mark, segments = previous["mark"], _segments(previous)
+        else:  # before the first batch nothing is in buckets yet
+            mark, segments, touched = self.mark(before), self._first_segments(), None
+        state = self.state(before, touched)
+        ids = valid.select("event_id").distinct()
+        checked = self._check(valid, self._possible_copies(ids, segments, mark), size, mark, heavy)
         checked = stage_if(any(heavy.values()), checked, "checked")
         traced = trace_batch(state, checked, heavy, self.span)
         invalid = parsed.filter(broken).withColumn("outcome", F.lit(INVALID))
@@ -157,32 +204,42 @@ class VisitStream:
         ledger = ledger.withColumn("raw_value", F.when(rejected, F.col("raw_value"))).select(*names(_LEDGER))
         ledger.write.mode("overwrite").parquet(self._path("ledger", batch_id))
 
-        written = self.spark.read.schema(_LEDGER).parquet(self._path("ledger", batch_id))
+        written = self._written(batch_id)
         episodes = merge_state(state, written, heavy, self.span)
+        bucket = F.when(~F.col("completed"), self._bucket()).alias("bucket")
         (
-            episodes.select(*STATE_COLUMNS, "episode", "completed")
+            spread(episodes.select(*STATE_COLUMNS, "episode", "completed", bucket), "bucket", self.buckets)
             .write.mode("overwrite")
-            .partitionBy("completed")
+            .partitionBy("completed", "bucket")
             .parquet(self._path("episodes", batch_id))
         )
+        self._open.commit(batch_id, touched or [], before)
         seen = written.filter(F.col("outcome").isin(ACCEPTED, ORPHAN))
-        window_counts(seen).write.mode("overwrite").parquet(self._path("load", batch_id))
-        high_water = F.greatest(seen.agg(F.max("event_ts")).scalar(), from_micros(mark))
-        (
-            stream_counters(written)
-            .withColumn("high_water", high_water)
-            .withColumn("run", F.lit(run).cast("string"))
-            .select("high_water", *_COUNTERS, "run")
-            .coalesce(1)
-            .write.mode("overwrite")
-            .parquet(self._path("marks", batch_id))
-        )
+        facts = stream_counters(written).withColumn("high_water", seen.agg(F.unix_micros(F.max("event_ts"))).scalar()).first()
+        segments = self._known.add(seen.select("event_id", "event_ts"), batch_id, segments, facts["records_processed"])
+        high_water = max((m for m in (facts["high_water"], mark) if m is not None), default=None)
+        listed = [tuple(vars(s).values()) for s in segments]
+        row = (high_water, *[facts[c] for c in _COUNTERS], run, listed)
+        marks = self.spark.createDataFrame([row], _MARK.replace("high_water timestamp", "high_water long"))
+        marks = marks.withColumn("high_water", F.timestamp_micros("high_water"))
+        marks.coalesce(1).write.mode("overwrite").parquet(self._path("marks", batch_id))
+
+    def _written(self, batch_id: int) -> DataFrame:
+        """The stored ledger of one batch."""
+        return self.spark.read.schema(_LEDGER).parquet(self._path("ledger", batch_id))
+
+    def _publish_load(self, batch_id: int) -> None:
+        """Store what a complete batch adds to the windows, in one file and only once.
+
+        The load stream reads these files as they appear; a file that is there is final.
+        """
+        path = self._path("load", batch_id)
+        if not folders.exists(self.spark, path):
+            seen = self._written(batch_id).filter(F.col("outcome").isin(ACCEPTED, ORPHAN))
+            folders.write_whole(window_counts(seen).coalesce(1), path)
 
-    def _refuse_other_run(self, batch_id: int, run: str | None) -> None:
-        """Stored batches stay as they are, but for a repeat of the newest by its own run."""
-        last = self.last_batch()
-        if last is None or batch_id > last:
-            return
+    def _refuse_other_run(self, batch_id: int, last: int, run: str | None) -> None:
+        """Stored batches stay as they are; only the newest may come again, from its own run."""
         if batch_id < last:
             raise ValueError(f"Batch {batch_id} is older than the stored batch {last}; use another output folder")
         if self._mark_row(last)["run"] != run:
@@ -210,7 +267,7 @@ class VisitStream:
         schema = f"raw_value string, ingest_ts timestamp, {PATIENT_EVENTS}, event_ts timestamp, errors array<string>, seq long"
         return self.spark.read.schema(schema).parquet(path)
 
-    def _check(self, valid: DataFrame, log: DataFrame, mark: int | None, heavy: dict[str, list]) -> DataFrame:
+    def _check(self, valid: DataFrame, known: DataFrame, size: int, mark: int | None, heavy: dict[str, list]) -> DataFrame:
         """Add ``late`` (against the mark of earlier batches) and ``duplicate``.
 
         A batch is processed in event-time order, so nothing in it is late against its
@@ -219,9 +276,9 @@ class VisitStream:
         late = before_watermark(F.col("event_ts"), from_micros(mark), self.watermark_minutes)
         flagged = valid.withColumn("late", late)
         ids = valid.select("event_id").distinct()
-        if valid.count() <= BROADCAST_ROWS:
-            ids = F.broadcast(ids)  # the log is then read in place, not exchanged
-        known = log.join(ids, "event_id", "left_semi").select(
+        if size <= BROADCAST_ROWS:
+            ids = F.broadcast(ids)  # the parts are then read in place, not exchanged
+        known = known.join(ids, "event_id", "left_semi").select(
             "event_id", F.lit(-1).cast("long").alias("seq"), F.lit(False).alias("late")
         )
         both = known.unionByName(flagged, allowMissingColumns=True)
@@ -273,8 +330,8 @@ class VisitStream:
         return current_rows(self.state(last), from_micros(self.mark(last)))
 
     def completed(self) -> DataFrame:
-        episodes = self._complete("episodes", f"{STORED_STATE}, episode long, completed boolean")
-        return episodes.filter("completed").drop("completed")
+        episodes = self._complete("episodes", f"{STORED_STATE}, episode long, completed boolean, bucket int")
+        return episodes.filter("completed").drop("completed", "bucket")
 
     def counters(self) -> DataFrame:
         return self._marks().agg(*[F.sum(c).alias(c) for c in _COUNTERS])
@@ -291,15 +348,61 @@ class VisitStream:
         return _triggered(writer, available_now, every).start()
 
     def load_windows(self) -> DataFrame:
-        """15-minute load of all complete batches, kept up to date by the state query.
-
-        Copies never reach the counts. Every batch stores what it adds, so a repeated batch
-        replaces its own part and nothing else.
-        """
+        """15-minute load of all complete batches, added up from what each batch stored."""
         flow = ["new_arrivals", "admissions", "discharges"]
         parts = self._complete("load", _LOAD)
         return parts.groupBy("window_start", "window_end").agg(*[F.sum(c).alias(c) for c in flow])
 
+    def start_load(self, available_now: bool = True, every: str = "10 seconds", files: int | None = None) -> StreamingQuery:
+        """Start the load query: windows as a streaming aggregate, changed ones kept in a table.
+
+        It follows the state query's batches, whose copies and late events are decided; no
+        event that such a batch accepts is older than the watermark allows, so Spark drops
+        none and forgets windows that cannot change any more. ``files`` limits the batches
+        taken at once.
+        """
+        folders.create(self.spark, self._path("load"))
+        reader = self.spark.readStream.schema(f"{_LOAD}, batch_id int")
+        reader = reader.option("maxFilesPerTrigger", files) if files else reader
+        flow = ["new_arrivals", "admissions", "discharges"]
+        windows = (
+            reader.parquet(self._path("load"))
+            .withWatermark("window_start", f"{self.watermark_minutes} minutes")
+            .groupBy(F.window("window_start", f"{WINDOW_MINUTES} minutes").alias("w"))
+            .agg(*[F.sum(c).alias(c) for c in flow])
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *flow)
+        )
+        writer = (
+            windows.writeStream.outputMode("update")
+            .foreachBatch(self.upsert_load)
+            .queryName("load_windows")
+            .option("checkpointLocation", self._path("checkpoints/load"))
+        )
+        return _triggered(writer, available_now, every).start()
+
+    @property
+    def _load_table(self) -> PartTable:
+        """Windows by day."""
+        place = lambda version: self._path("load_table") + f"/version={version}"
+        return PartTable(self.spark, self._path("load_parts"), _LOAD, "day", place)
+
+    def upsert_load(self, changed: DataFrame, batch_id: int) -> None:
+        """Put the changed windows in place of the stored ones; rewrites only their days. Safe to repeat."""
+        table = self._load_table
+        newest = table.newest()
+        before = newest if newest is None or newest < batch_id else batch_id - 1
+        changed = changed.withColumn("day", F.date_format("window_start", "yyyy-MM-dd"))
+        changed = changed.persist(StorageLevel.MEMORY_AND_DISK)
+        days = [r[0] for r in changed.select("day").distinct().collect()]
+        kept = table.read(before, days).join(changed.select("window_start"), "window_start", "left_anti")
+        kept = kept.withColumn("day", F.date_format("window_start", "yyyy-MM-dd"))
+        table.write(kept.unionByName(changed), batch_id, days, before)
+        changed.unpersist()
+
+    def stored_load(self) -> DataFrame:
+        """The table that the load query keeps."""
+        return self._load_table.read(self._load_table.newest())
+
     def start_malformed(self, raw: DataFrame, available_now: bool = True, every: str = "10 seconds") -> StreamingQuery:
         """Second query: rows that are not JSON objects, appended as JSON files."""
         writer = (
@@ -313,6 +416,10 @@ class VisitStream:
         return _triggered(writer, available_now, every).start()
 
 
+def _segments(mark) -> list[Segment]:
+    return [Segment(**r.asDict()) for r in mark["segments"]]
+
+
 def _triggered(writer, available_now: bool, every: str):
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=every)
 
