@@ -29,7 +29,7 @@ def median_wait(states: DataFrame, wait: str = "waiting_minutes") -> DataFrame:
     """
     cents = F.rint(F.col(wait) * 100).cast("long")
     histogram = states.groupBy(cents.alias("cents")).agg(F.count(F.lit(1)).alias("n"))
-    ranked = running(histogram, "cents", [Running("reached", "sum", F.col("n"))], span=_CENTS_SPAN)
+    ranked = running(histogram, "cents", [Running("reached", "sum", F.col("n"))], span=_CENTS_SPAN, orders=1 << 40)
     last = (row_count(states) - 1).cast("double")
 
     def at(index: Column) -> Column:
@@ -111,6 +111,7 @@ def load_windows(events: DataFrame, minutes: int = WINDOW_MINUTES) -> DataFrame:
         "_slot",
         [Running("_open", "sum", F.col("new_arrivals") - F.col("ended"))],
         span=24 * 60 // minutes,
+        orders=1 << 33,
     )
     return total.select(
         "window_start",

@@ -2,7 +2,9 @@
 
 A plain window puts all rows of a key into one task. Here the rows of a *heavy*
 key are cut into chunks of consecutive order values. Each chunk is its own window
-partition; one small row per chunk carries the totals of the chunks before it.
+partition; one small row per chunk carries the totals of the chunks before it. Those rows
+are added up in levels, ``FAN`` chunks to a block, ``FAN`` blocks to the next level, so the
+totals of a sequence never meet in one task either.
 ``order`` must be a unique whole number (a line number, a log offset), so a chunk
 never holds more than ``span`` rows, however the data is distributed.
 """
@@ -16,6 +18,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SPAN = 1 << 17
+FAN = 1 << 16
+ORDERS = 1 << 63  # order values lie below this
 # A key is heavy when it holds over 1/HEAVY_SHARE of the rows and over HEAVY_ROWS rows.
 HEAVY_SHARE = 5_000
 HEAVY_ROWS = 4_000_000
@@ -83,11 +87,13 @@ def running(
     keys: Sequence[str] = (),
     heavy: dict[str, list] | None = None,
     span: int = SPAN,
+    orders: int = ORDERS,
 ) -> DataFrame:
     """Add running aggregates over ``order`` within ``keys``.
 
     Without ``keys`` the whole table is one sequence and is always cut into chunks.
-    With ``keys`` only the rows of ``heavy`` values are cut.
+    With ``keys`` only the rows of ``heavy`` values are cut. ``orders`` bounds the order
+    values and with them the number of chunks.
     """
     keys = list(keys)
     heavy = {key: values for key, values in (heavy or {}).items() if values and key in keys}
@@ -114,10 +120,8 @@ def running(
     # One row per chunk, then the totals of all chunks before it.
     cut = df.filter(_is_heavy(heavy)) if keys else df
     totals = cut.groupBy(*parts).agg(*[_TOTAL[m.how](m.value).alias(m.name) for m in measures])
-    earlier = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(start, -1)
-    carried = totals.select(
-        *[F.col(p).alias(f"_c{p}") for p in parts],
-        *[_TOTAL[m.how](m.name).over(earlier).alias(f"_c{m.name}") for m in measures],
+    carried = _before(totals, keys, measures, -(-orders // span)).select(
+        *[F.col(p).alias(f"_c{p}") for p in parts], *[F.col(m.name).alias(f"_c{m.name}") for m in measures]
     )
     same = reduce(lambda a, b: a & b, [F.col(p) == F.col(f"_c{p}") for p in parts])
     joined = out.join(carried, same, "left")
@@ -127,6 +131,24 @@ def running(
     )
 
 
+def _before(totals: DataFrame, keys: list[str], measures: Sequence[Running], chunks: int) -> DataFrame:
+    """Totals of all chunks before each chunk of its sequence; no window holds over ``FAN`` rows."""
+    start = Window.unboundedPreceding
+    if chunks <= FAN:
+        earlier = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(start, -1)
+        return totals.select(*keys, _CHUNK, *[_TOTAL[m.how](m.name).over(earlier).alias(m.name) for m in measures])
+    blocked = totals.withColumn("_block", F.floor(F.col(_CHUNK) / F.lit(FAN)).cast("long"))
+    blocks = blocked.groupBy(*keys, F.col("_block").alias(_CHUNK)).agg(*[_TOTAL[m.how](m.name).alias(m.name) for m in measures])
+    above = _before(blocks, keys, measures, -(-chunks // FAN)).select(
+        *[F.col(k).alias(f"_a{k}") for k in keys], F.col(_CHUNK).alias("_ablock"), *[F.col(m.name).alias(f"_a{m.name}") for m in measures]
+    )
+    earlier = Window.partitionBy(*keys, "_block").orderBy(_CHUNK).rowsBetween(start, -1)
+    inside = blocked.select(*keys, _CHUNK, "_block", *[_TOTAL[m.how](m.name).over(earlier).alias(m.name) for m in measures])
+    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_a{k}") for k in keys], F.col("_block") == F.col("_ablock"))
+    joined = inside.join(above, same, "left")
+    return joined.select(*keys, _CHUNK, *[_combine(m.how, F.col(m.name), F.col(f"_a{m.name}")).alias(m.name) for m in measures])
+
+
 def _is_heavy(heavy: dict[str, list]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(key).isin(values) for key, values in heavy.items()])
 

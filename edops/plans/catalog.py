@@ -12,13 +12,14 @@ from edops.functions.times import iso_utc
 from edops.operators import bi, cohorts as co, context as cx, events as ev, quality as dq
 from edops.operators import survey as sv, visits as vs
 from edops.operators.contract import EVENT_COLUMNS, flatten_events, parse_events
+from edops.operators.order_stats import LOWER_MIDDLE, UPPER_MIDDLE, nearest_rank, order_statistics
 from edops.operators.running import heavy_keys
 from edops.plans import clinical as cl, export as ex, fixtures as fx, historical, replay
 from edops.schemas import (
     CLINICAL_COLUMNS, SEX_CODES, STORED_STATE, SURVEY_LAYOUT, WEEKDAY_CODES,
 )
 from edops.session import configure, fresh_path, stage
-from edops.sources import sinks
+from edops.sources import releases, sinks
 from edops.sources.clinical import clinical_schema, read_extract, source_report, validate_source
 from edops.sources.event_stream import file_events
 from edops.sources.files import read_head
@@ -209,6 +210,14 @@ def nearest_rank_p90(spark, sf_dir):
     return _cohorts(spark, sf_dir).select("cohort_key", "p90_wait_minutes", "p90_los_minutes")
 
 
+@query("order_statistics")
+def price_statistics(spark, sf_dir):
+    """Exact median ends and nearest-rank p90 of a real-valued measure."""
+    rows = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    ranks = {"lower_median": LOWER_MIDDLE, "upper_median": UPPER_MIDDLE, "p90": nearest_rank(0.9)}
+    return order_statistics(rows, ["l_returnflag", "l_linestatus"], "l_extendedprice", ranks)
+
+
 # --- Event contract ---------------------------------------------------------------------
 
 
@@ -540,6 +549,17 @@ def publish_tables(spark, sf_dir):
     return done.select("table_name", "row_count", "stored_rows", F.col("matches").cast("int").alias("matches"))
 
 
+@query("publish_release")
+def publish_release(spark, sf_dir):
+    """The five tables as one release, which readers see whole."""
+    target = fresh_path(spark, "released")
+    done = releases.publish_release(_tables(spark, sf_dir), target)
+    shown = bi.manifest(releases.read_release(spark, target)).select("table_name", F.col("row_count").alias("shown_rows"))
+    return done.join(shown, "table_name").select(
+        "table_name", "row_count", "stored_rows", "shown_rows", F.col("matches").cast("int").alias("matches")
+    )
+
+
 @query("read_head")
 def head_of_published(spark, sf_dir):
     target = fresh_path(spark, "published")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from edops.schemas import CLINICAL_COLUMNS
 from edops.session import stage
 from edops.sources.clinical import SUFFIX, clinical_schema, read_extract, validate_source
-from edops.sources.sinks import load_plan, reconcile, require_reconciled, write_table
+from edops.sources.sinks import load_plan, reconcile, require_reconciled, write_digested, write_rows
 
 
 def source_path(source_dir: str, table: str) -> str:
@@ -52,12 +52,13 @@ def ingest(
     )
     if not apply:
         return load_plan(sources, target, replace, counted)
+    written = {}
     for name, df in sources.items():
         # One compressed file is one task; its rows are spread before they are stored.
-        write_table(df.hint("rebalance"), f"{target}/{name}", replace)
-    checked = stage(reconcile(spark, sources, target, counted=counted), "reconciled")
+        written[name] = write_digested(df.hint("rebalance"), f"{target}/{name}", replace)
+    checked = stage(reconcile(spark, sources, target, counted=counted, written=written), "reconciled")
     require_reconciled(checked)
-    run_manifest(reports, target, apply).write.mode("overwrite").json(f"{target}/manifest")
+    write_rows(run_manifest(reports, target, apply), f"{target}/manifest")
     return checked
 
 

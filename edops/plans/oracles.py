@@ -511,6 +511,7 @@ cte("counts", list(_TABLES.values()), " UNION ALL ".join(
     for i, (t, source) in enumerate(_TABLES.items())))
 oracle("export_manifest", ["counts"], "SELECT * FROM counts")
 oracle("export_validation", ["counts"], "SELECT table_name, row_count, 0 AS repeated_headers, 0 AS secret_rows, 1 AS counts_match, 'PASS' AS status FROM counts")
+oracle("publish_release", ["counts"], "SELECT table_name, row_count, row_count AS stored_rows, row_count AS shown_rows, 1 AS matches FROM counts")
 oracle("publish_tables", ["counts"], "SELECT table_name, row_count, row_count AS stored_rows, 1 AS matches FROM counts")
 
 # --- Clinical extracts ------------------------------------------------------------------------------
@@ -541,3 +542,9 @@ for _name in ("source_validation", "source_manifest"):
 oracle("load_plan", ["extracts"], "SELECT position, table_name, row_count, 'bronze/' || table_name AS target, 'create only' AS mode FROM extracts")
 oracle("load_reconciliation", ["extracts"], "SELECT table_name, columns, row_count, row_count AS stored_rows, 1 AS matches FROM extracts")
 oracle("run_metrics", [], "SELECT 'historical' AS component, 'completed' AS event, count(*) AS records_processed, 0 AS records_rejected FROM lineitem")
+
+oracle("order_statistics", [], """
+SELECT l_returnflag, l_linestatus, n, max(v) FILTER (WHERE k = floor((n - 1) / 2)) AS lower_median, max(v) FILTER (WHERE k = ceil((n - 1) / 2)) AS upper_median,
+       max(v) FILTER (WHERE k = round_even((n - 1) * 0.9::DOUBLE, 0)) AS p90
+FROM (SELECT l_returnflag, l_linestatus, l_extendedprice::DOUBLE AS v, row_number() OVER (PARTITION BY l_returnflag, l_linestatus ORDER BY l_extendedprice) - 1 AS k, count(*) OVER (PARTITION BY l_returnflag, l_linestatus) AS n
+      FROM lineitem) GROUP BY l_returnflag, l_linestatus, n""")

@@ -71,7 +71,36 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
 
 def write_whole(df: DataFrame, path: str) -> None:
     """Write Parquet aside and rename the folder, so that readers see all of it or nothing."""
-    parent, name = path.rstrip("/").rsplit("/", 1)
-    aside = f"{parent}/_aside-{name}-{uuid.uuid4().hex}"
+    aside = aside_of(path)
     df.write.mode("errorifexists").parquet(aside)
     rename(df.sparkSession, aside, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    system, at = _place(spark, path)
+    system.delete(at, True)
+
+
+def replace_whole(spark: SparkSession, aside: str, path: str) -> None:
+    """Put a folder that is written whole in the place of another one.
+
+    The old folder is moved away first and comes back if the new one cannot be moved in.
+    """
+    if not exists(spark, path):
+        rename(spark, aside, path)
+        return
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    old = f"{parent}/_old-{name}-{uuid.uuid4().hex}"
+    rename(spark, path, old)
+    try:
+        rename(spark, aside, path)
+    except Exception:
+        rename(spark, old, path)
+        raise
+    delete(spark, old)
+
+
+def aside_of(path: str) -> str:
+    """A hidden folder next to ``path``, for what is to replace it."""
+    parent, name = path.rstrip("/").rsplit("/", 1)
+    return f"{parent}/_aside-{name}-{uuid.uuid4().hex}"

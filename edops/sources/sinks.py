@@ -1,16 +1,65 @@
-"""Writers: tables, CSV exports, JSON documents, and the checks after a write."""
+"""Writers: tables, CSV exports, JSON documents, and the checks after a write.
+
+What replaces a folder is written aside and moved into its place, so a write that fails
+leaves the old folder as it was.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from collections.abc import Callable
+from dataclasses import dataclass
+from decimal import Decimal
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession, functions as F
 
 from edops.operators.bi import assert_contract, manifest, secret_rows
 from edops.schemas import ONE_DAY_PER_RUN, TABLE_LAYOUT
+from edops.sources import folders
+
+
+def _save(writer: DataFrameWriter, spark: SparkSession, path: str, save: Callable[[DataFrameWriter, str], None]) -> None:
+    """Write aside, then take the place of what is there."""
+    aside = folders.aside_of(path)
+    try:
+        save(writer.mode("errorifexists"), aside)
+        folders.replace_whole(spark, aside, path)
+    finally:
+        folders.delete(spark, aside)
 
 
 def write_table(df: DataFrame, path: str, replace: bool = False) -> None:
     """Parquet table; without ``replace`` an existing table is protected."""
-    df.write.mode("overwrite" if replace else "errorifexists").parquet(path)
+    if replace:
+        _save(df.write, df.sparkSession, path, DataFrameWriter.parquet)
+    else:
+        df.write.mode("errorifexists").parquet(path)
+
+
+@dataclass(frozen=True)
+class Written:
+    """Rows of a written table and a digest of their content that no order changes."""
+
+    rows: int
+    digest: tuple[Decimal, Decimal]
+
+
+def content_digest(df: DataFrame) -> list[Column]:
+    """Two sums of row hashes: equal for equal multisets of rows, in any order and partitioning.
+
+    Nulls are hashed by their place, so a value that moves to another column counts as changed.
+    """
+    cells = [F.struct(F.col(f"`{c.replace('`', '``')}`").isNull(), F.col(f"`{c.replace('`', '``')}`")) for c in df.columns]
+    hashes = [F.xxhash64(F.lit(seed), *cells).cast("decimal(38,0)") for seed in (1, 2)]
+    return [F.coalesce(F.sum(h), F.lit(0).cast("decimal(38,0)")).alias(f"digest_{i}") for i, h in enumerate(hashes)]
+
+
+def write_digested(df: DataFrame, path: str, replace: bool = False) -> Written:
+    """Write a Parquet table and take its rows and digest on the way, without a second pass."""
+    seen = Observation()
+    write_table(df.observe(seen, F.count(F.lit(1)).alias("rows"), *content_digest(df)), path, replace)
+    got = seen.get
+    return Written(got["rows"], (Decimal(got["digest_0"]), Decimal(got["digest_1"])))
 
 
 def write_laid_out(df: DataFrame, path: str, table: str, replace: bool = False) -> None:
@@ -37,7 +86,12 @@ def write_counted(df: DataFrame, path: str, fmt: str = "parquet", replace: bool
 
 def write_document(df: DataFrame, path: str) -> None:
     """One-row table as a JSON document."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    _save(df.coalesce(1).write, df.sparkSession, path, DataFrameWriter.json)
+
+
+def write_rows(df: DataFrame, path: str) -> None:
+    """JSON lines in place of those before."""
+    _save(df.write, df.sparkSession, path, DataFrameWriter.json)
 
 
 def write_csv(df: DataFrame, path: str, order: list | None = None) -> int:
@@ -48,9 +102,13 @@ def write_csv(df: DataFrame, path: str, order: list | None = None) -> int:
     seen = Observation()
     out = df.orderBy(*order) if order else df
     observed = out.observe(seen, F.count(F.lit(1)).alias("rows"))
-    observed.write.mode("overwrite").option("header", True).csv(path)
-    if seen.get["rows"] == 0:
-        raise ValueError(f"Export has no rows: {path}")
+
+    def save(writer: DataFrameWriter, aside: str) -> None:
+        writer.option("header", True).csv(aside)
+        if seen.get["rows"] == 0:
+            raise ValueError(f"Export has no rows: {path}")
+
+    _save(observed.write, df.sparkSession, path, save)
     return seen.get["rows"]
 
 
@@ -87,31 +145,71 @@ def publish(
         assert_contract(df, name)
     if not apply:
         return load_plan(tables, target, replace)
+    written = {}
     for name, df in tables.items():
         if catalog:
             save_table(df, f"{target}.{name}", replace)
         else:
-            write_table(df, f"{target}/{name}", replace)
+            written[name] = write_digested(df, f"{target}/{name}", replace)
     spark = next(iter(tables.values())).sparkSession
-    return reconcile(spark, tables, target, catalog)
+    return reconcile(spark, tables, target, catalog, written=written)
 
 
 def reconcile(
-    spark: SparkSession, sources: dict[str, DataFrame], target: str, catalog: bool = False, counted: DataFrame | None = None
+    spark: SparkSession,
+    sources: dict[str, DataFrame],
+    target: str,
+    catalog: bool = False,
+    counted: DataFrame | None = None,
+    written: dict[str, Written] | None = None,
 ) -> DataFrame:
-    """Stored columns and row counts next to the source's (``counted``, if they are known)."""
+    """Stored columns, row counts and content next to the source's.
+
+    ``counted`` and ``written`` are the source's manifest and what the write saw, if they are
+    known; what is not known is computed from the source once more.
+    """
     stored = {
         name: spark.table(f"{target}.{name}") if catalog else spark.read.parquet(f"{target}/{name}")
         for name in sources
     }
-    left = manifest(sources) if counted is None else counted
-    right = manifest(stored).select(
-        "table_name", F.col("columns").alias("stored_columns"), F.col("row_count").alias("stored_rows")
-    )
-    return left.join(right, "table_name").withColumn(
-        "matches",
-        (F.col("columns") == F.col("stored_columns")) & (F.col("row_count") == F.col("stored_rows")),
+    written = written or {}
+    if counted is None:
+        counted = manifest(sources) if set(sources) - set(written) else _listed(spark, sources, written)
+    right = _digested(stored).select(
+        "table_name",
+        F.col("columns").alias("stored_columns"),
+        F.col("row_count").alias("stored_rows"),
+        F.array("digest_0", "digest_1").alias("_stored"),
     )
+    known = [(name, list(w.digest)) for name, w in written.items()]
+    digests = spark.createDataFrame(known, "table_name string, _digest array<decimal(38,0)>")
+    unknown = {name: df for name, df in sources.items() if name not in written}
+    if unknown:
+        digests = digests.union(_digested(unknown).select("table_name", F.array("digest_0", "digest_1")))
+    same = F.col("columns") == F.col("stored_columns")
+    same &= (F.col("row_count") == F.col("stored_rows")) & (F.col("_digest") == F.col("_stored"))
+    joined = counted.join(right, "table_name").join(digests, "table_name")
+    return joined.withColumn("matches", same).drop("_digest", "_stored")
+
+
+def _listed(spark: SparkSession, sources: dict[str, DataFrame], written: dict[str, Written]) -> DataFrame:
+    """The manifest of tables whose rows the write has counted."""
+    rows = [(i, name, ",".join(df.columns), written[name].rows) for i, (name, df) in enumerate(sources.items())]
+    return spark.createDataFrame(rows, "position int, table_name string, columns string, row_count long")
+
+
+def _digested(tables: dict[str, DataFrame]) -> DataFrame:
+    """Name, columns, rows and digest of each table."""
+    parts = [
+        df.agg(
+            F.lit(name).alias("table_name"),
+            F.lit(",".join(df.columns)).alias("columns"),
+            F.count(F.lit(1)).alias("row_count"),
+            *content_digest(df),
+        )
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def require_reconciled(checked: DataFrame) -> None:

@@ -209,6 +209,25 @@ def test_heavy_keys_finds_the_hot_visit(spark):
     assert heavy_keys(df.filter("false"), "visit_id") == {"visit_id": []}
 
 
+@pytest.mark.parametrize("fan,span,levels", [(1 << 16, 64, 1), (4, 8, 5), (2, 16, 8)])
+def test_totals_in_levels_equal_the_plain_ones(spark, monkeypatch, fan, span, levels):
+    """Chunk totals as a tree: no window without a bounded partition, equal results."""
+    from edops.operators import running as module
+
+    monkeypatch.setattr(module, "FAN", fan)
+    df = spark.range(900).select(
+        (F.col("id") * 3).alias("seq"), (F.col("id") % 5).alias("k"), ((F.col("id") * 37) % 101 - 50).alias("x"), (F.col("id") % 2 == 0).alias("hot")
+    )
+    df = df.withColumn("k", F.when(F.col("hot"), F.lit(9)).otherwise(F.col("k")))
+    measures = [Running("s", "sum", F.col("x")), Running("m", "max", F.col("x"), before=True), Running("low", "min", F.when(F.col("x") > 0, F.col("x")))]
+    for keys, heavy in (((), None), (("k",), {"k": [9]})):
+        plain = running(df.withColumn("k", F.lit(0)) if not keys else df, "seq", measures, ["k"], {})
+        cut = running(df.withColumn("k", F.lit(0)) if not keys else df, "seq", measures, keys, heavy, span, orders=2700)
+        assert sorted(map(tuple, cut.select(*plain.columns).collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    plan = running(df, "seq", measures, (), None, span, orders=2700)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == levels + 1
+
+
 def test_running_without_keys_equals_prefix(spark):
     df = spark.range(500).select((F.col("id") * 7).alias("seq"), ((F.col("id") * 37) % 101).alias("x"))
     got = running(

@@ -13,7 +13,7 @@ from edops.operators import bi
 from edops.plans import clinical
 from edops.plans.export import export
 from edops.schemas import BI_TABLES, CLINICAL_COLUMNS, names
-from edops.sources import sinks
+from edops.sources import releases, sinks
 from edops.sources.clinical import clinical_schema, read_extract, source_report, table_schema, validate_source
 from edops.sources.files import fingerprints, read_head, read_json_lines, verify_checksum
 
@@ -100,6 +100,72 @@ def test_reconciliation_notices_a_difference(spark, tmp_path):
         sinks.require_reconciled(sinks.reconcile(spark, {"t": spark.range(4)}, str(tmp_path)))
 
 
+def test_reconciliation_notices_changed_content(spark, tmp_path):
+    """Same rows and columns: one changed, moved or doubled cell makes ``matches`` false; order does not."""
+    rows = [(1, "a", 0.5, None), (2, None, None, "x"), (2, None, None, "x"), (3, "c", -0.25, "")]
+    schema = "n long, t string, d double, u string"
+    df = spark.createDataFrame(rows, schema)
+    written = sinks.write_digested(df, str(tmp_path / "a" / "t"))
+    assert written.rows == 4
+    again = sinks.write_digested(spark.createDataFrame(rows[::-1], schema).repartition(3), str(tmp_path / "b" / "t"))
+    assert again == written
+    assert sinks.reconcile(spark, {"t": df}, str(tmp_path / "b")).first()["matches"]
+    changes = [
+        [(1, "a", 0.5, None), (2, None, None, "x"), (2, None, None, "y"), (3, "c", -0.25, "")],
+        [(1, "a", 0.5, None), (2, "x", None, None), (2, None, None, "x"), (3, "c", -0.25, "")],
+        [(1, "a", 0.5, None), (1, "a", 0.5, None), (2, None, None, "x"), (3, "c", -0.25, "")],
+        [(1, "a", 0.5, ""), (2, None, None, "x"), (2, None, None, "x"), (3, "c", -0.25, None)],
+    ]
+    for i, changed in enumerate(changes):
+        spark.createDataFrame(changed, schema).write.parquet(str(tmp_path / f"c{i}" / "t"))
+        for known in (None, {"t": written}):
+            checked = sinks.reconcile(spark, {"t": df}, str(tmp_path / f"c{i}"), written=known).first()
+            assert checked["row_count"] == checked["stored_rows"] == 4 and not checked["matches"]
+
+
+def broken(spark, df):
+    """A table whose write fails after some rows."""
+    n = df.columns[0]
+    return df.withColumn(n, F.when(F.rand() < 2, F.raise_error(F.lit("disk full")).cast(df.schema[n].dataType)))
+
+
+def test_a_failing_write_leaves_the_old_folder(spark, tmp_path):
+    old = spark.createDataFrame([(1, "a")], "n long, t string")
+    for write in (lambda df, p: sinks.write_table(df, p, replace=True), sinks.write_document, sinks.write_csv, lambda df, p: sinks.write_digested(df, p, True)):
+        path = tmp_path / f"t{len(list(tmp_path.iterdir()))}" / "out"
+        write(old, str(path))
+        before = sorted((f.name, f.read_bytes()) for f in path.iterdir())
+        with pytest.raises(Exception, match="disk full"):
+            write(broken(spark, old), str(path))
+        assert sorted((f.name, f.read_bytes()) for f in path.iterdir()) == before
+        assert [f.name for f in path.parent.iterdir()] == ["out"]  # nothing is left aside
+        write(old.union(old), str(path))
+        assert sorted((f.name, f.read_bytes()) for f in path.iterdir()) != before
+
+
+def test_five_tables_change_together(spark, tmp_path):
+    """A release whose fourth table fails leaves the five tables of the one before."""
+    target = str(tmp_path / "gold")
+    with pytest.raises(FileNotFoundError):
+        releases.read_release(spark, target)
+    first = tables(spark)
+    assert all(r["matches"] for r in releases.publish_release(first, target).collect())
+    name = releases.current_release(spark, target)["release"]
+    rows = {t: sorted(map(str, df.collect())) for t, df in releases.read_release(spark, target).items()}
+    assert rows == {t: sorted(map(str, df.collect())) for t, df in first.items()}
+    fourth = list(first)[3]
+    with pytest.raises(Exception, match="disk full"):
+        releases.publish_release(first | {fourth: broken(spark, first[fourth])}, target, contract=False)
+    assert releases.current_release(spark, target)["release"] == name
+    assert {t: sorted(map(str, df.collect())) for t, df in releases.read_release(spark, target).items()} == rows
+    more = {t: df.union(df) for t, df in first.items()}
+    releases.publish_release(more, target)
+    shown = releases.read_release(spark, target, "ed_kpis", fourth)
+    assert all(df.count() == 2 * first[t].count() for t, df in shown.items())
+    kept = releases.prune_releases(spark, target, keep=1)
+    assert name in kept and shown[fourth].count() == 2 * first[fourth].count()
+
+
 def test_schema_document_and_versioned_path():
     fields = [{"name": "a", "type": "INTEGER", "mode": "NULLABLE"}, {"name": "b", "type": "TIMESTAMP"}]
     assert table_schema(json.dumps(fields), ["a", "b"]).simpleString() == "struct<a:bigint,b:timestamp>"
