@@ -132,17 +132,17 @@ def detect(column: pa.Array, logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     rank = np.argsort(np.argsort(-shares, axis=1, kind="stable"), axis=1, kind="stable")
     best = np.full(n_texts, -np.inf)
     chosen = np.zeros((n_texts, n_langs))
-    open_ = np.arange(n_texts)
+    open_, own = np.arange(n_texts), text
     for k in range(1, n_langs + 1):
-        inside = np.isin(text, open_)
-        own = np.searchsorted(open_, text[inside])
         allowed = (rank[open_] < k).astype(float)
-        fitted, mass = mixture(likelihood[inside], own, len(open_), allowed, STEPS if k > 1 else 1)
+        fitted, mass = mixture(likelihood, own, len(open_), allowed, STEPS if k > 1 else 1)
         # Each language beyond the first adds one free share.
         value = mass - 0.5 * (k - 1) * np.log(np.maximum(words[open_], 2))
         better = value > best[open_] + 1e-9
         best[open_[better]], chosen[open_[better]] = value[better], fitted[better]
-        if k >= TRIED:
+        if k >= TRIED:  # go on with the texts that got better
+            inside = better[own]
+            own, likelihood = (np.cumsum(better) - 1)[own[inside]], likelihood[inside]
             open_ = open_[better]
         if not len(open_):
             break
