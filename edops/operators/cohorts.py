@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from edops.functions.numeric import rnd
+from edops.operators.running import heavy_keys
 from edops.schemas import AGE_BANDS, OLDEST_BAND
 from edops.session import stage
 
 ALL = "ALL"
 UNKNOWN = "UNKNOWN"
-BROADCAST_ROWS = 50_000
+BROADCAST_ROWS = 50_000  # of one level
+SALTS = 64
 # Levels from most to least specific, with the dimensions each one keeps.
 LEVELS: list[tuple[str, list[str]]] = [
     ("TRIAGE_AGE_HOUR", ["triage_level", "age_group", "arrival_hour"]),
@@ -163,31 +165,52 @@ def match_cohorts(
 ) -> DataFrame:
     """Add ``cohort``: the row of the most specific cohort that exists.
 
-    The cohort table is stored once and counted. Built from survey visits it has at
-    most 6 triage x 6 age x 101 hour keys plus the coarser levels (3,679 rows), and one
-    broadcast serves all levels; a larger table is joined by exchange. A state without
-    any cohort, not even the overall one, is an error.
+    The cohort table is stored once and its rows are counted by level. Built from survey
+    visits it has at most 6 triage x 6 age x 101 hour keys plus the coarser levels (3,679
+    rows), and every level is broadcast. A level above ``BROADCAST_ROWS`` is joined by
+    exchange: states of a heavy key are dealt over ``SALTS`` copies of its cohort, so no
+    task holds them all. A state without any cohort, not even the overall one, is an error.
     """
     cohorts = stage(cohorts, "cohorts")
-    few = cohorts.count() <= BROADCAST_ROWS
+    level_of = F.substring_index("cohort_key", "|", 1)
+    sizes = cohorts.agg(*[F.count_if(level_of == level).alias(level) for level, _ in LEVELS]).first()
+    small = {level for level, _ in LEVELS if sizes[level] <= BROADCAST_ROWS}
     keys = {"triage_level": triage_key(triage), "age_group": age_band(age), "arrival_hour": hour_key(hour)}
     out = states.withColumns({f"_{name}": value for name, value in keys.items()})
+    wanted = {
+        level: cohort_key(F.lit(level), *[F.col(f"_{d}") if d in kept else F.lit(ALL) for d in DIMENSIONS])
+        for level, kept in LEVELS
+    }
+    large = [level for level, kept in LEVELS if kept and level not in small]
+    if large:
+        out = stage(out.withColumns({f"_wanted_{level}": wanted[level] for level in large}), "states")
+        heavy = heavy_keys(out, *[f"_wanted_{level}" for level in large])
     matches = []
     for i, (level, kept) in enumerate(LEVELS):
-        wanted = cohort_key(
-            F.lit(level), *[F.col(f"_{d}") if d in kept else F.lit(ALL) for d in DIMENSIONS]
-        )
+        of_level = cohorts.filter(level_of == level)
         if not kept:  # one cohort for all rows: a value, not a join
-            overall = cohorts.filter(F.col("cohort_key") == wanted)
-            matches.append(overall.select(F.struct("*")).scalar())
+            matches.append(of_level.filter(F.col("cohort_key") == wanted[level]).select(F.struct("*")).scalar())
             continue
-        side = cohorts.select(
-            F.col("cohort_key").alias(f"_key{i}"), F.struct("*").alias(f"_match{i}")
-        )
-        out = out.join(F.broadcast(side) if few else side, wanted == F.col(f"_key{i}"), "left")
+        side = of_level.select(F.col("cohort_key").alias(f"_key{i}"), F.struct("*").alias(f"_match{i}"))
+        if level in small:
+            out = out.join(F.broadcast(side), wanted[level] == F.col(f"_key{i}"), "left")
+        else:
+            out = _salted(out, side, f"_wanted_{level}", f"_key{i}", heavy[f"_wanted_{level}"])
         matches.append(F.col(f"_match{i}"))
     missing = F.raise_error(F.lit("No cohort matches and there is no overall cohort"))
     found = out.select(*states.columns, F.coalesce(*matches).alias("cohort"))
     return found.withColumn(
         "cohort", F.coalesce(F.col("cohort"), missing.cast(cohorts.schema))
     )
+
+
+def _salted(states: DataFrame, side: DataFrame, wanted: str, key: str, heavy: list) -> DataFrame:
+    """Left join by exchange; rows of heavy keys are dealt over copies of their partner."""
+    if not heavy:
+        return states.join(side, F.col(wanted) == F.col(key), "left")
+    salt = F.when(F.col(wanted).isin(heavy), F.pmod(F.xxhash64(*states.columns), F.lit(SALTS)))
+    dealt = states.withColumn("_salt", F.coalesce(salt, F.lit(0)).cast("int"))
+    copies = F.when(F.col(key).isin(heavy), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    copied = side.withColumn("_copy", F.explode(copies))
+    same = (F.col(wanted) == F.col(key)) & (F.col("_salt") == F.col("_copy"))
+    return dealt.join(copied, same, "left").drop("_salt", "_copy")

@@ -6,7 +6,7 @@ valid events with a unique whole-number processing order ``seq``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from edops.operators.running import SPAN, Running, heavy_keys, running
 from edops.schemas import TERMINAL_TYPES, WATERMARK_MINUTES
@@ -14,6 +14,8 @@ from edops.session import stage, stage_if
 
 ACCEPTED, DUPLICATE, LATE, ORPHAN = "ACCEPTED", "DUPLICATE", "LATE_EVENT", "STATE_WITHOUT_ARRIVAL"
 INVALID = "INVALID"
+FOLD = 4_096  # disputed copies that are replayed as one array
+BROADCAST_IDS = 50_000
 FIRST_EPISODE = -2  # below every order, the -1 of a carried-over visit included
 
 
@@ -42,21 +44,13 @@ def mark_late(
     return seen.withColumn("late", late).drop("mark")
 
 
-def mark_duplicates(
-    flagged: DataFrame, heavy: dict[str, list] | None = None, span: int = SPAN, compare: bool = False
-) -> DataFrame:
+def mark_duplicates(flagged: DataFrame, heavy: dict[str, list] | None = None, span: int = SPAN) -> DataFrame:
     """Add ``duplicate``: a copy of this event id was accepted earlier.
 
-    A late copy is not remembered, so a later copy in time is still accepted. ``compare``
-    adds ``differs``: an earlier copy carries another event time.
+    A late copy is not remembered, so a later copy in time is still accepted.
     """
-    measures = [Running("_known", "max", F.when(~F.col("late"), 1), before=True)]
-    if compare:
-        measures += [Running(f"_{how}", how, F.col("event_ts"), before=True) for how in ("min", "max")]
-    seen = running(flagged, "seq", measures, ["event_id"], heavy, span)
-    if compare:
-        other = (F.col("_min") != F.col("event_ts")) | (F.col("_max") != F.col("event_ts"))
-        seen = seen.withColumn("differs", F.coalesce(other, F.lit(False))).drop("_min", "_max")
+    known = Running("_known", "max", F.when(~F.col("late"), 1), before=True)
+    seen = running(flagged, "seq", [known], ["event_id"], heavy, span)
     return seen.withColumn("duplicate", F.col("_known").isNotNull()).drop("_known")
 
 
@@ -103,37 +97,122 @@ def classify(
     """Add ``outcome`` and ``episode`` to every event of one ordered list.
 
     A copy of an event id that carries another event time than the first one could raise
-    the high-water mark, so the copies are compared in the window that finds duplicates,
-    and if any differ further passes settle the marks.
+    the high-water mark. One aggregate per id looks for such ids; only if there are any,
+    their copies are settled before the marks are taken.
     """
     heavy = heavy_keys(events, "event_id", "visit_id") if heavy is None else heavy
-    checked = stage(mark_duplicates(mark_late(events, minutes, span), heavy, span, compare=True), "checked")
-    if not checked.filter("differs").isEmpty():
-        checked = _settle(events, minutes, heavy, span)
-    checked = checked.drop("differs")
+    times = events.groupBy("event_id").agg(F.min("event_ts").alias("_first"), F.max("event_ts").alias("_last"))
+    disputed = times.filter("_first <> _last").select(F.col("event_id").alias("_id"))
     # Cutting heavy keys reads a step's input twice, so each step is then stored once.
     split = any(heavy.values())
+    if disputed.isEmpty():
+        late = mark_late(events, minutes, span)
+    else:
+        copies = settle(events, stage(disputed, "disputed"), minutes, heavy, span)
+        ignored = copies.filter("duplicate").select(F.col("seq").alias("_seq"))
+        marked = events.join(ignored, F.col("seq") == F.col("_seq"), "left").withColumn("_raises", F.col("_seq").isNull())
+        late = mark_late(marked, minutes, span, F.col("_raises")).drop("_raises", "_seq")
+    checked = stage_if(split, mark_duplicates(late, heavy, span), "checked")
     accepted = ~F.col("duplicate") & ~F.col("late")
     traced = trace_visits(checked, accepted, heavy, span)
     classified = traced.withColumn("outcome", outcome()).drop("duplicate", "late", "live")
     return stage_if(split, classified, "classified")
 
 
-def _settle(events: DataFrame, minutes: int, heavy: dict[str, list], span: int) -> DataFrame:
-    """Late and duplicate marks when copies of an id may differ in their event time.
-
-    A duplicate must not raise the high-water mark, but which rows are duplicates
-    depends on the mark. Each round leaves out the duplicates of the round before. A
-    round settles at least the first row in order that was still wrong, and the rounds
-    end when nothing changes; without conflicting copies that is the second round.
+def settle(
+    events: DataFrame, disputed: DataFrame, minutes: int, heavy: dict[str, list], span: int = SPAN, fold: int = FOLD
+) -> DataFrame:
+    """(seq, duplicate) of every copy of the ``disputed`` ids, whose copies differ in event time.
+
+    A duplicate must not raise the high-water mark, but which rows are duplicates depends on
+    the mark. All other ids raise it whatever their outcome, so one pass over the events
+    leaves the disputed rows alone, each with the highest undisputed time before it
+    (``base``). The rounds work on these rows only. A round bounds the mark of each row from
+    below (rows that surely raise it) and above (rows that may) and decides what both bounds
+    agree on; the first ``fold`` rows still open are then replayed one after another. So a
+    round decides at least ``fold`` rows, in whatever way they hang on each other.
     """
-    current = events.withColumn("_raises", F.lit(True))
+    ids = disputed.count()
+    side = F.broadcast(disputed) if ids <= BROADCAST_IDS else disputed
+    tagged = events.select("seq", "event_id", "event_ts").join(side, F.col("event_id") == F.col("_id"), "left")
+    plain = Running("base", "max", F.when(F.col("_id").isNull(), F.col("event_ts")), before=True)
+    rows = running(tagged, "seq", [plain], span=span).filter(F.col("_id").isNotNull()).drop("_id")
+    # ``dup`` and ``was_late`` are null while open; the first copy of an id is no duplicate.
+    earlier = running(rows, "seq", [Running("_n", "sum", F.lit(1), before=True)], ["event_id"], heavy, span)
+    unknown = F.lit(None).cast("boolean")
+    first = F.coalesce(F.col("_n"), F.lit(0)) == 0
+    rows = earlier.select(
+        "seq", "event_id", "event_ts", "base", F.when(first, False).alias("dup"), unknown.alias("was_late")
+    )
+    rows = stage(rows, "settle")
     while True:
-        late = mark_late(current, minutes, span, F.col("_raises"))
-        checked = stage(mark_duplicates(late, heavy, span), "classified")
-        if checked.filter(F.col("duplicate") == F.col("_raises")).isEmpty():
-            return checked.drop("_raises")
-        current = checked.withColumn("_raises", ~F.col("duplicate")).drop("late", "duplicate")
+        rows = stage(_bounded(rows, minutes, heavy, span), "settle")
+        open_rows = rows.filter("open")
+        if open_rows.isEmpty():
+            return rows.select("seq", F.col("dup").alias("duplicate"))
+        replayed = _replay(open_rows, minutes, fold)
+        rows = rows.join(F.broadcast(replayed), F.col("seq") == F.col("_seq"), "left").select(
+            "seq", "event_id", "event_ts", "base", *[F.coalesce(f"_{c}", c).alias(c) for c in ("dup", "was_late")]
+        )
+
+
+def _bounded(rows: DataFrame, minutes: int, heavy: dict[str, list], span: int) -> DataFrame:
+    """Decide what the bounds of the mark decide; ``open`` marks the rest.
+
+    Adds ``at_least`` (the mark before the row without what is open) and ``known`` (an
+    earlier copy was surely no late one), which a replay of the open rows starts from.
+    """
+    time = F.col("event_ts")
+    raising = [
+        Running("_low", "max", F.when(F.col("dup") == F.lit(False), time), before=True),
+        Running("_high", "max", F.when(~F.coalesce("dup", F.lit(False)), time), before=True),
+    ]
+    seen = running(rows, "seq", raising, span=span)
+    low, high = F.greatest("base", "_low"), F.greatest("base", "_high")
+    surely = before_watermark(time, low, minutes)
+    never = ~before_watermark(time, high, minutes)
+    was_late = F.coalesce("was_late", F.when(surely, True).when(never, False))
+    seen = seen.withColumns({"at_least": low, "was_late": was_late}).drop("_low", "_high")
+    remembered = [
+        Running("_sure", "max", F.when(F.col("was_late") == F.lit(False), 1), before=True),
+        Running("_maybe", "max", F.when(~F.coalesce("was_late", F.lit(False)), 1), before=True),
+    ]
+    seen = running(seen, "seq", remembered, ["event_id"], heavy, span)
+    known = F.col("_sure").isNotNull()
+    dup = F.coalesce("dup", F.when(known, True).when(F.col("_maybe").isNull(), False))
+    seen = seen.withColumns({"known": known, "dup": dup}).drop("_sure", "_maybe")
+    # Whether a duplicate is late does not matter: its id is known already.
+    return seen.withColumn("open", F.col("dup").isNull() | (~F.col("dup") & F.col("was_late").isNull()))
+
+
+def _replay(open_rows: DataFrame, minutes: int, fold: int) -> DataFrame:
+    """(_seq, _dup, _was_late) of the first ``fold`` open rows, replayed in order as one array."""
+    block = open_rows.orderBy("seq").limit(fold)
+    here = Window.partitionBy(F.lit(0)).orderBy("seq")
+    block = block.withColumn("_at", F.row_number().over(here) - 1)
+    block = block.withColumn("_copy", F.lag("_at").over(Window.partitionBy("event_id").orderBy("seq")))
+    row = F.struct("seq", "event_ts", "at_least", "known", "_copy")
+    rows = block.agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    code = F.array().cast("array<int>")  # per row: 1 late, 2 duplicate, 4 id known afterwards
+    start = F.struct(F.lit(None).cast("timestamp").alias("mark"), code.alias("codes"))
+
+    def step(state: Column, row: Column) -> Column:
+        mark = F.greatest(state["mark"], row["at_least"])
+        copy = F.coalesce(F.get(state["codes"], row["_copy"]), F.lit(0))
+        dup = row["known"] | (copy >= 4)
+        late = before_watermark(row["event_ts"], mark, minutes)
+        codes = late.cast("int") + dup.cast("int") * 2 + (dup | ~late).cast("int") * 4
+        # A late row lies below the mark and cannot raise it.
+        raised = F.when(dup, state["mark"]).otherwise(F.greatest(state["mark"], row["event_ts"]))
+        return F.struct(raised.alias("mark"), F.array_append(state["codes"], codes).alias("codes"))
+
+    codes = F.aggregate("rows", start, step, lambda state: state["codes"])
+    done = rows.select(F.inline(F.arrays_zip(F.col("rows.seq").alias("_seq"), codes.alias("code"))))
+    return done.select(
+        "_seq",
+        (F.col("code").bitwiseAND(2) > 0).alias("_dup"),
+        (F.col("code").bitwiseAND(1) > 0).alias("_was_late"),
+    )
 
 
 def outcome() -> Column:

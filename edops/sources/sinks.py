@@ -14,9 +14,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession, functions as F
 
 from edops.operators.bi import assert_contract, manifest, secret_rows
-from edops.schemas import ONE_DAY_PER_RUN, TABLE_LAYOUT
+from edops.schemas import IN_FILE_ORDER, ONE_DAY_PER_RUN, TABLE_LAYOUT
 from edops.sources import folders
 
+RANK_BITS, RANK_SAMPLE = 6, 10_000
+
 
 def _save(writer: DataFrameWriter, spark: SparkSession, path: str, save: Callable[[DataFrameWriter, str], None]) -> None:
     """Write aside, then take the place of what is there."""
@@ -62,20 +64,67 @@ def write_digested(df: DataFrame, path: str, replace: bool = False) -> Written:
     return Written(got["rows"], (Decimal(got["digest_0"]), Decimal(got["digest_1"])))
 
 
-def write_laid_out(df: DataFrame, path: str, table: str, replace: bool = False) -> None:
-    """Parquet table partitioned by day and sorted by its filter columns."""
+def write_laid_out(df: DataFrame, path: str, table: str, replace: bool = False, files: int | None = None) -> None:
+    """Parquet table partitioned by day and clustered by its filter columns.
+
+    With several filter columns the rows are dealt by range of a key that interleaves the
+    ranks of all of them, so that a file holds a narrow range of each; a hash of the row cuts
+    a key that holds many rows. ``files`` is the number of ranges; by default it follows the
+    size of the rows. The bounds are drawn from the rows first, so ``df`` should be stored.
+    Raw records stay in the order of their files, which is that of their filter columns.
+    """
     day, cluster = TABLE_LAYOUT[table]
     out = df.withColumn("partition_date", F.to_date(day)) if day else df
-    if day and day not in ONE_DAY_PER_RUN:
-        # Few files per day, but a large day is split over several tasks and files.
-        out = out.hint("rebalance", "partition_date")
-    order = ["partition_date", *cluster] if day else cluster
-    if order:
-        out = out.sortWithinPartitions(*order)
+    dated = ["partition_date"] if day else []
+    if len(cluster) > 1 and table not in IN_FILE_ORDER:
+        keys = {"_cluster": interleaved(df, cluster), "_row": F.xxhash64(*df.columns)}
+        parts = [files] if files else []
+        ranged = out.withColumns(keys).repartitionByRange(*parts, *dated, *keys)
+        out = ranged.sortWithinPartitions(*dated, "_cluster", *cluster).drop(*keys)
+    else:
+        if day and day not in ONE_DAY_PER_RUN:
+            # Few files per day, but a large day is split over several tasks and files.
+            out = out.hint("rebalance", "partition_date")
+        if dated or cluster:
+            out = out.sortWithinPartitions(*dated, *cluster)
     writer = out.write.mode("overwrite" if replace else "errorifexists")
     (writer.partitionBy("partition_date") if day else writer).parquet(path)
 
 
+def interleaved(df: DataFrame, columns: list[str], bits: int = RANK_BITS, sample: int = RANK_SAMPLE) -> Column:
+    """A space-filling key: the bits of the columns' ranks in turn, the highest bits first.
+
+    A rank is the number of bounds, taken from a sample of at most ``sample`` rows, that the
+    value reaches; rows of one bound share a rank, and nulls have the lowest. The sample
+    moves rows between files only.
+    """
+    drawn = df.select(*columns, F.xxhash64(*df.columns).alias("_draw")).orderBy("_draw", *columns).limit(sample).collect()
+    ranks = []
+    for column in columns:
+        values = sorted(r[column] for r in drawn if r[column] is not None)
+        # Of few distinct values every one is a bound; of many, the quantiles of the sample.
+        kinds, most = sorted(set(values)), (1 << bits) - 1
+        bounds = kinds if len(kinds) <= most else sorted({values[len(values) * i // most] for i in range(most)})
+        spread = (1 << bits) // (len(bounds) + 1)  # the highest bits tell few bounds apart as well
+        ranks.append(F.when(F.col(column).isNull(), 0).otherwise(_rank(F.col(column), bounds, 0, spread)))
+    key = F.lit(0).cast("long")
+    for bit in range(bits - 1, -1, -1):
+        for rank in ranks:
+            key = key * 2 + F.shiftright(rank, bit).bitwiseAND(1)
+    return key
+
+
+def _rank(value: Column, bounds: list, below: int, spread: int) -> Column:
+    """``spread`` times the number of sorted bounds that the value reaches, by halving."""
+    if not bounds:
+        return F.lit(below * spread)
+    middle = len(bounds) // 2
+    lower = _rank(value, bounds[:middle], below, spread)
+    return F.when(value < F.lit(bounds[middle]), lower).otherwise(
+        _rank(value, bounds[middle + 1 :], below + middle + 1, spread)
+    )
+
+
 def write_counted(df: DataFrame, path: str, fmt: str = "parquet", replace: bool = True) -> int:
     """Write and return the number of rows, without a second pass."""
     seen = Observation()

@@ -7,10 +7,12 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
+from edops.operators import cohorts as co
 from edops.operators.bi import attention_order, wait_variance_category
 from edops.operators.cohorts import build_cohorts, match_cohorts
 from edops.operators.context import enrich, expected_wait, wait_context
 from edops.operators.gold import kpis, load_15min, median_wait
+from edops.operators.running import heavy_keys
 from edops.schemas import STORED_STATE
 
 VISIT = "triage_level int, age int, arrival_hour int, waiting_time_minutes double, length_of_stay_minutes double, admitted_flag boolean"
@@ -218,3 +220,28 @@ def test_calculated_fields(spark):
     ]
     levels = spark.createDataFrame([("LOW",), ("MEDIUM",), ("HIGH",), ("CRITICAL",), ("x",)], "l string").coalesce(1)
     assert [r[0] for r in levels.select(attention_order(F.col("l"))).collect()] == [1, 2, 3, 4, 0]
+
+
+def test_a_million_cohorts_are_joined_by_salted_exchange(spark, monkeypatch):
+    """Half of all states ask for one cohort; the finest level is too large to broadcast."""
+    finest = spark.range(1_000_000).select(F.concat(F.lit("TRIAGE_AGE_HOUR|3|18-44|"), F.col("id").cast("string")).alias("cohort_key"))
+    coarse = spark.createDataFrame([("TRIAGE|2|ALL|ALL",), ("OVERALL|ALL|ALL|ALL",)], "cohort_key string")
+    cohorts = finest.union(coarse).withColumn("match_level", F.substring_index("cohort_key", "|", 1))
+    states = spark.range(20_000).select(
+        "id", F.when(F.col("id") % 10 < 9, 3).otherwise(F.lit(2) + F.floor(F.col("id") % 20 / 10)).cast("int").alias("t"),
+        F.lit(30).alias("age"), F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") + 990_000).cast("int").alias("h"),
+    )
+    found = []
+    monkeypatch.setattr(co, "heavy_keys", lambda df, *keys: found.append(heavy_keys(df, *keys, heavy_rows=2_000)) or found[0])
+    got = match_cohorts(states, cohorts, F.col("t"), F.col("age"), F.col("h"))
+    assert found == [{"_wanted_TRIAGE_AGE_HOUR": ["TRIAGE_AGE_HOUR|3|18-44|7"]}]
+    key = got.select("id", F.col("cohort.cohort_key").alias("key")).collect()
+    want = {}
+    for i in range(20_000):
+        triage = 3 if i % 10 < 9 else 2 + i % 20 // 10
+        hour = 7 if i % 2 == 0 else i + 990_000
+        exact = f"TRIAGE_AGE_HOUR|3|18-44|{hour}" if hour < 1_000_000 else "OVERALL|ALL|ALL|ALL"
+        want[i] = exact if triage == 3 else "TRIAGE|2|ALL|ALL"
+    assert {r["id"]: r["key"] for r in key} == want and len(key) == 20_000
+    text = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in text and text.count("strategy=broadcast") == 2

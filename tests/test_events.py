@@ -113,6 +113,56 @@ def test_conflicting_copies_do_not_raise_the_mark(spark, case, heavy, span):
     assert [r["outcome"] for r in classified.orderBy("seq").collect()] == [want for _, _, want in CONFLICTS[case]]
 
 
+def disputed_events(seed, n, span_minutes=60):
+    """Arrivals whose copies carry other times; many outcomes hang on earlier ones."""
+    rng = random.Random(seed)
+    return [
+        event(i, f"E{rng.randint(0, n // 3)}", "ARRIVAL", i + rng.randint(-span_minutes, span_minutes), f"V{i}")
+        for i in range(n)
+    ]
+
+
+def one_by_one(rows, minutes):
+    """Outcome of each arrival by going through the list."""
+    mark, known, out = None, set(), []
+    for row in rows:
+        if row["event_id"] in known:
+            out.append("DUPLICATE")
+        elif mark is not None and row["event_ts"] < mark - timedelta(minutes=minutes):
+            out.append("LATE_EVENT")
+        else:
+            known.add(row["event_id"])
+            mark = row["event_ts"] if mark is None else max(mark, row["event_ts"])
+            out.append("ACCEPTED")
+    return out
+
+
+@pytest.mark.parametrize(
+    "seed,heavy,span,fold",
+    [(1, {}, 1 << 20, 4_096), (2, {"event_id": [f"E{i}" for i in range(9)], "visit_id": []}, 32, 16)],
+    ids=["plain", "chunked"],
+)
+def test_disputed_copies_are_settled_as_in_order(spark, seed, heavy, span, fold, monkeypatch):
+    monkeypatch.setattr(ev.settle, "__defaults__", (ev.SPAN, fold))
+    rows = disputed_events(seed, 90)
+    classified = ev.classify(frame(spark, rows), 30, heavy, span)
+    want = one_by_one(rows, 30)
+    assert [r["outcome"] for r in classified.orderBy("seq").collect()] == want
+    assert set(want) == {"ACCEPTED", "DUPLICATE", "LATE_EVENT"}
+
+
+def test_a_chain_of_disputed_copies_takes_few_passes(spark, monkeypatch):
+    """Every copy would raise the mark above the next id, were it no duplicate."""
+    rows = []
+    for i in range(1_000):
+        rows += [event(2 * i, f"E{i}", "ARRIVAL", i, f"V{2 * i}"), event(2 * i + 1, f"E{i}", "ARRIVAL", i + 500, f"V{2 * i + 1}")]
+    rounds, bounded = [], ev._bounded
+    monkeypatch.setattr(ev, "_bounded", lambda *args: rounds.append(1) or bounded(*args))
+    classified = ev.classify(frame(spark, rows), 30, {})
+    assert [r["outcome"] for r in classified.orderBy("seq").collect()] == one_by_one(rows, 30) == ["ACCEPTED", "DUPLICATE"] * 1_000
+    assert len(rounds) <= 2
+
+
 def test_a_visit_with_a_third_of_all_events_is_cut(spark):
     """The job finds the hot visit itself, cuts it, and gets the uncut result."""
     rows = random_events(9, 400)

@@ -277,3 +277,30 @@ def test_files(spark, tmp_path):
     with pytest.raises(Exception, match="Checksum mismatch"):
         verify_checksum(spark, str(tmp_path / "rows.jsonl"), "0" * 64).collect()
     assert sinks.write_counted(spark.range(7), str(tmp_path / "n")) == 7
+
+
+def test_every_filter_column_reads_few_files(spark, tmp_path):
+    rows = spark.range(20_000).select(
+        F.pmod(F.xxhash64("id"), F.lit(6)).cast("int").alias("triage_level"),
+        F.concat(F.lit("disposition_"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(40)).cast("string")).alias("disposition"),
+        F.when(F.col("id") % 3 > 0, "VALID").alias("data_quality_status"),
+        F.timestamp_seconds(F.lit(1_770_000_000)).alias("ingestion_timestamp"),
+        "id",
+    )
+    path = str(tmp_path / "clustered")
+    sinks.write_laid_out(rows, path, "clean_ed_visits", files=32)
+    read = spark.read.parquet(path)
+    assert read.count() == 20_000 and read.select("id").distinct().count() == 20_000
+    of_file = read.groupBy(F.input_file_name().alias("f"))
+    disposition = of_file.agg(F.min("disposition").alias("lo"), F.max("disposition").alias("hi"), F.count(F.lit(1)).alias("n")).collect()
+    triage = of_file.agg(F.min("triage_level").alias("lo"), F.max("triage_level").alias("hi")).collect()
+    assert len(disposition) == 32 and max(r["n"] for r in disposition) < 3 * 20_000 / 32
+    for found, value in ((disposition, "disposition_7"), (triage, 2)):
+        assert sum(r["lo"] <= value <= r["hi"] for r in found) <= 16
+    # One value everywhere is still cut into files of like size.
+    flat = rows.withColumns({"triage_level": F.lit(1), "disposition": F.lit("x"), "data_quality_status": F.lit(None).cast("string")})
+    sinks.write_laid_out(flat, str(tmp_path / "flat"), "clean_ed_visits", files=8)
+    sizes = spark.read.parquet(str(tmp_path / "flat")).groupBy(F.input_file_name()).count().collect()
+    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 5_000
+    sinks.write_laid_out(flat.limit(0), str(tmp_path / "none"), "clean_ed_visits")
+    assert spark.read.schema(flat.schema).parquet(str(tmp_path / "none")).isEmpty()
