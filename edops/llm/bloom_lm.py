@@ -7,11 +7,17 @@ from that. The probability of a token interpolates the pair with the smoothed ex
 frequency; its weight comes from the quantised count of the context.
 
 Size. N-grams are dealt into a square grid of cells by the hash of their context and of
-their word, finer for more text. One shuffle brings the counts of a cell to one task, which
-sums them and writes the cell's filter, sized for its own entries. Scoring takes the grid in
-square blocks of at most ``MODEL_BYTES``; each block is broadcast, and one pass over the
-texts scores the tokens that fall into it. More training text means more blocks and passes,
-never a larger broadcast, a lower precision or a dropped n-gram.
+their word, finer for more text; words lie in cells of their own, ``1 << FINER`` of them to
+a row or column. One shuffle, sorted by cell and n-gram, brings the counts together; a task
+holds the n-grams of one cell at a time and writes the cell's filter, sized for its own
+entries. Scoring takes the grid in square blocks, cut by their real sizes until each is at
+most ``MODEL_BYTES`` or a single cell; each block is broadcast, and one pass over the texts
+scores the tokens that fall into it. More training text means more blocks and passes, never
+a larger broadcast, a lower precision or a dropped n-gram. A block is assembled by the
+driver, one at a time, as a broadcast starts there.
+
+The middle of a level stands for its counts, so the chances of all tokens after one context
+add up to one on average over contexts only.
 
 Defined cases: a null text is empty and holds the end token alone; rows that agree in key and
 text get equal scores, whatever the key; a row without a verdict of ``learn`` teaches nothing;
@@ -38,6 +44,7 @@ WEIGHT = 30.0  # count of a context at which its pairs and the word frequency we
 FLUSH = 1 << 21
 END, START = (int(x) for x in mix(np.array([1, 2], np.uint64)))
 _WORD, _PAIR = 0, 1
+FINER = 4  # word cells are this many bits finer than a row or column of the grid
 
 
 def tokens(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -81,12 +88,11 @@ def _count(bits: int):
         for batch in batches:
             for part in slices(batch, "text"):
                 token, context, _ = tokens(split_words(part["text"], lower=True))
-                column = _cells(token, bits)
                 starts = int((context == np.uint64(START)).sum())
-                words_.append((token, column))
+                words_.append((token, _cells(token, bits + FINER)))
                 opened = np.full(starts, START, np.uint64)
-                words_.append((opened, _cells(opened, bits)))
-                pairs.append((pair(context, token), (_cells(context, bits) << bits) | column))
+                words_.append((opened, _cells(opened, bits + FINER)))
+                pairs.append((pair(context, token), (_cells(context, bits) << bits) | _cells(token, bits)))
                 held += len(token)
                 if held >= FLUSH:
                     yield emit(words_, pairs)
@@ -120,34 +126,43 @@ def _places(ngram: np.ndarray, level: int, size: np.ndarray) -> Iterator[np.ndar
         entry = entry + step
 
 
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(kind, cell, n-grams, counts) of each cell; the rows come sorted by cell."""
+    now, held = None, []
+    for batch in batches:
+        kind, cell, ngram, n = (batch[i].to_numpy(zero_copy_only=False) for i in range(4))
+        edge = np.flatnonzero(np.append(True, (cell[1:] != cell[:-1]) | (kind[1:] != kind[:-1])))[: len(cell)]
+        for a, b in zip(edge, np.append(edge[1:], len(cell))):
+            key = int(kind[a]), int(cell[a])
+            if held and key != now:
+                yield *now, *(np.concatenate(x) for x in zip(*held))
+                held = []
+            now = key
+            held.append((ngram[a:b].view(np.uint64), n[a:b]))
+    if held:
+        yield *now, *(np.concatenate(x) for x in zip(*held))
+
+
 def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per cell: its filter and, for words, the exact counts."""
-    held = [b for b in batches if len(b)]
-    if not held:
-        return
-    kind, cell, ngram, n = (np.concatenate([b[i].to_numpy(zero_copy_only=False) for b in held]) for i in range(4))
-    held.clear()
-    order = np.lexsort((ngram.view(np.uint64), cell, kind))
-    kind, cell, ngram, n = kind[order], cell[order], ngram[order].view(np.uint64), n[order]
-    new = np.ones(len(n), bool)
-    new[1:] = (ngram[1:] != ngram[:-1]) | (cell[1:] != cell[:-1]) | (kind[1:] != kind[:-1])
-    at = np.flatnonzero(new)
-    n, kind, cell, ngram = np.add.reduceat(n, at), kind[at], cell[at], ngram[at]
-    edge = np.flatnonzero(np.append(True, (cell[1:] != cell[:-1]) | (kind[1:] != kind[:-1])))
-    for a, b in zip(edge, np.append(edge[1:], len(n))):
-        exact = kind[a] == _WORD
-        real = ngram[a:b] != np.uint64(START)
+    for kind, cell, ngram, n in _runs(batches):
+        at = np.flatnonzero(np.append(True, ngram[1:] != ngram[:-1]))
+        ngram, n = ngram[at], np.add.reduceat(n, at)
+        exact = kind == _WORD
+        real = ngram != np.uint64(START)
+        bits = filter_bits(ngram, n).tobytes()
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([int(kind[a])], pa.int32()),
-                pa.array([int(cell[a])], pa.int64()),
+                pa.array([kind], pa.int32()),
+                pa.array([cell], pa.int64()),
                 pa.array([int(real.sum())], pa.int64()),
-                pa.array([int(n[a:b][real].sum())], pa.int64()),
-                pa.array([filter_bits(ngram[a:b], n[a:b]).tobytes()], pa.binary()),
-                pa.array([ngram[a:b][real].tobytes() if exact else None], pa.binary()),
-                pa.array([n[a:b][real].astype(np.int64).tobytes() if exact else None], pa.binary()),
+                pa.array([int(n[real].sum())], pa.int64()),
+                pa.array([len(bits)], pa.int64()),
+                pa.array([bits], pa.binary()),
+                pa.array([ngram[real].tobytes() if exact else None], pa.binary()),
+                pa.array([n[real].astype(np.int64).tobytes() if exact else None], pa.binary()),
             ],
-            ["kind", "cell", "entries", "total", "bits", "ngrams", "counts"],
+            ["kind", "cell", "entries", "total", "size", "bits", "ngrams", "counts"],
         )
 
 
@@ -221,9 +236,11 @@ class Block:
             count = np.where(self.words[place] == kinds, self.counts[place], 0).astype(np.float64)
         count = count[back]
         base = (count + 0.1) / (self.total + 0.1 * (self.distinct + 1))
-        both = dequantise(self.pairs.level(pair(context, token), (row << self.bits) | column))
+        inside = (row - self.rows.start) * len(self.columns) + column - self.columns.start
+        both = dequantise(self.pairs.level(pair(context, token), inside))
         opened, back = np.unique(context, return_inverse=True)
-        seen = dequantise(self.contexts.level(opened, _cells(opened, self.bits)))[back]
+        cell = _cells(opened, self.bits + FINER) - (self.rows.start << FINER)
+        seen = dequantise(self.contexts.level(opened, cell))[back]
         seen = np.maximum(seen, both)
         chance = (both + WEIGHT * base) / (seen + WEIGHT)
         n = words.n_texts
@@ -263,49 +280,69 @@ def train(texts: DataFrame, bytes_per_cell: int = BYTES_PER_CELL) -> tuple[DataF
     counted = texts.mapInArrow(_count(bits), "kind int, cell long, ngram long, n long")
     # About two million rows (32 MB) in a task.
     parts = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // (16 << 20)))
-    dealt = counted.repartition(parts, "kind", "cell")
-    schema = "kind int, cell long, entries long, total long, bits binary, ngrams binary, counts binary"
+    dealt = counted.repartition(parts, "kind", "cell").sortWithinPartitions("kind", "cell", "ngram")
+    schema = "kind int, cell long, entries long, total long, size long, bits binary, ngrams binary, counts binary"
     return stage(dealt.mapInArrow(_build, schema), "lm-model"), bits
 
 
+def _squares(model: DataFrame, bits: int, model_bytes: int) -> list[tuple[int, int, int]]:
+    """(first row, first column, side) of the blocks: halved until each fits or is one cell.
+
+    Only sums of sizes by block come to the driver, one row per block and level.
+    """
+    fits, left, side = [], {(0, 0)}, 1 << bits
+    pairs = model.filter(F.col("kind") == _PAIR)
+    words = model.filter(F.col("kind") == _WORD)
+    while left:
+        row = F.floor(F.shiftright("cell", bits) / side).cast("long")
+        column = F.floor(F.col("cell").bitwiseAND((1 << bits) - 1) / side).cast("long")
+        line = F.floor(F.shiftright("cell", FINER) / side).cast("long")
+        of_pairs = {(r["r"], r["c"]): r["n"] for r in pairs.groupBy(row.alias("r"), column.alias("c")).agg(F.sum("size").alias("n")).collect()}
+        of_words = {
+            r["r"]: (r["filters"], r["counts"])
+            for r in words.groupBy(line.alias("r")).agg(F.sum("size").alias("filters"), (F.sum("entries") * 16).alias("counts")).collect()
+        }
+        places = 16 * (side * side + (side << FINER))  # size and start of every cell
+        small = {
+            (r, c)
+            for r, c in left
+            if side == 1
+            or places + of_pairs.get((r, c), 0) + of_words.get(r, (0, 0))[0] + of_words.get(c, (0, 0))[1] <= model_bytes
+        }
+        fits += [(r * side, c * side, side) for r, c in sorted(small)]
+        left = {(2 * r + i, 2 * c + j) for r, c in left - small for i in (0, 1) for j in (0, 1)}
+        side //= 2
+    return fits
+
+
 def _blocks(model: DataFrame, bits: int, model_bytes: int) -> Iterator[dict]:
     """The grid in square blocks, each read from the stored model when its turn comes."""
-    size = F.octet_length("bits") + F.coalesce(F.octet_length("ngrams") * 2, F.lit(0))
-    sums = model.agg(
-        F.sum(F.when(F.col("kind") == _WORD, F.col("total"))).alias("total"),
-        F.sum(F.when(F.col("kind") == _WORD, F.col("entries"))).alias("distinct"),
-        F.sum(size).alias("bytes"),
-    ).first()
-    total, distinct = sums["total"] or 0, sums["distinct"] or 0
-    cells, sides = 1 << bits, 1
-    while sides < cells and (sums["bytes"] or 0) / sides**2 > model_bytes:
-        sides *= 2
-    side = cells // sides
+    sums = model.filter(F.col("kind") == _WORD).agg(F.sum("total").alias("total"), F.sum("entries").alias("distinct")).first()
     kind, cell = F.col("kind"), F.col("cell")
     # Cells of the pair grid are numbered row by row.
     row, column = F.shiftright("cell", bits), F.col("cell").bitwiseAND((1 << bits) - 1)
 
-    def within(value: Column, span: range) -> Column:
-        return value.between(span.start, span.stop - 1)
-
-    for r in range(0, cells, side):
-        for c in range(0, cells, side):
-            rows, columns = range(r, r + side), range(c, c + side)
-            words = model.filter((kind == _WORD) & within(cell, columns)).select("cell", "ngrams", "counts")
-            contexts = model.filter((kind == _WORD) & within(cell, rows)).select("cell", "bits")
-            pairs = model.filter((kind == _PAIR) & within(row, rows) & within(column, columns)).select("cell", "bits")
-            ngrams, counts = _exact(words.collect())
-            yield {
-                "rows": rows,
-                "columns": columns,
-                "bits": bits,
-                "total": total,
-                "distinct": distinct,
-                "words": ngrams,
-                "counts": counts,
-                "contexts": Filters.arrays(contexts.collect(), cells),
-                "pairs": Filters.arrays(pairs.collect(), cells * cells),
-            }
+    def within(value: Column, first: int, n: int) -> Column:
+        return value.between(first, first + n - 1)
+
+    for r, c, side in _squares(model, bits, model_bytes):
+        words = model.filter((kind == _WORD) & within(cell, c << FINER, side << FINER)).select("ngrams", "counts")
+        contexts = model.filter((kind == _WORD) & within(cell, r << FINER, side << FINER))
+        # The rows of a block lie together in the numbering of the grid.
+        rows = within(cell, r << bits, side << bits) & within(column, c, side)
+        pairs = model.filter((kind == _PAIR) & rows)
+        ngrams, counts = _exact(words.collect())
+        yield {
+            "rows": range(r, r + side),
+            "columns": range(c, c + side),
+            "bits": bits,
+            "total": sums["total"] or 0,
+            "distinct": sums["distinct"] or 0,
+            "words": ngrams,
+            "counts": counts,
+            "contexts": Filters.arrays(contexts.select((cell - (r << FINER)).alias("cell"), "bits").collect(), side << FINER),
+            "pairs": Filters.arrays(pairs.select(((row - r) * side + column - c).alias("cell"), "bits").collect(), side * side),
+        }
 
 
 def _exact(rows: list) -> tuple[np.ndarray, np.ndarray]:
