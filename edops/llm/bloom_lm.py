@@ -210,7 +210,7 @@ def dequantise(level: np.ndarray) -> np.ndarray:
 
 
 class Block:
-    """A square block of the grid: exact word counts, context filters, pair filters.
+    """A block of the grid: exact word counts, context filters, pair filters.
 
     Built in the tasks from plain arrays, which is what is broadcast.
     """
@@ -285,38 +285,43 @@ def train(texts: DataFrame, bytes_per_cell: int = BYTES_PER_CELL) -> tuple[DataF
     return stage(dealt.mapInArrow(_build, schema), "lm-model"), bits
 
 
-def _squares(model: DataFrame, bits: int, model_bytes: int) -> list[tuple[int, int, int]]:
-    """(first row, first column, side) of the blocks: halved until each fits or is one cell.
+def _parts(model: DataFrame, bits: int, model_bytes: int) -> list[tuple[range, range]]:
+    """Rows and columns of the blocks: halved along one side in turn until each fits.
 
     Only sums of sizes by block come to the driver, one row per block and level.
     """
-    fits, left, side = [], {(0, 0)}, 1 << bits
+    fits, left, height, width = [], {(0, 0)}, 1 << bits, 1 << bits
     pairs = model.filter(F.col("kind") == _PAIR)
     words = model.filter(F.col("kind") == _WORD)
+    line = F.shiftright("cell", FINER)
+
+    def sums(rows: DataFrame, size: Column, **by: Column) -> dict:
+        numbers = [F.floor(value).cast("long").alias(name) for name, value in by.items()]
+        return {tuple(r[name] for name in by): r["n"] for r in rows.groupBy(*numbers).agg(F.sum(size).alias("n")).collect()}
+
     while left:
-        row = F.floor(F.shiftright("cell", bits) / side).cast("long")
-        column = F.floor(F.col("cell").bitwiseAND((1 << bits) - 1) / side).cast("long")
-        line = F.floor(F.shiftright("cell", FINER) / side).cast("long")
-        of_pairs = {(r["r"], r["c"]): r["n"] for r in pairs.groupBy(row.alias("r"), column.alias("c")).agg(F.sum("size").alias("n")).collect()}
-        of_words = {
-            r["r"]: (r["filters"], r["counts"])
-            for r in words.groupBy(line.alias("r")).agg(F.sum("size").alias("filters"), (F.sum("entries") * 16).alias("counts")).collect()
-        }
-        places = 16 * (side * side + (side << FINER))  # size and start of every cell
+        column = F.col("cell").bitwiseAND((1 << bits) - 1)
+        of_pairs = sums(pairs, F.col("size"), r=F.shiftright("cell", bits) / height, c=column / width)
+        of_contexts = sums(words, F.col("size"), r=line / height)
+        of_counts = sums(words, F.col("entries") * 16, c=line / width)
+        places = 16 * (height * width + (height << FINER))  # size and start of every cell
         small = {
             (r, c)
             for r, c in left
-            if side == 1
-            or places + of_pairs.get((r, c), 0) + of_words.get(r, (0, 0))[0] + of_words.get(c, (0, 0))[1] <= model_bytes
+            if height * width == 1
+            or places + of_pairs.get((r, c), 0) + of_contexts.get((r,), 0) + of_counts.get((c,), 0) <= model_bytes
         }
-        fits += [(r * side, c * side, side) for r, c in sorted(small)]
-        left = {(2 * r + i, 2 * c + j) for r, c in left - small for i in (0, 1) for j in (0, 1)}
-        side //= 2
+        fits += [(range(r * height, (r + 1) * height), range(c * width, (c + 1) * width)) for r, c in sorted(small)]
+        left -= small
+        if width >= height:
+            left, width = {(r, 2 * c + i) for r, c in left for i in (0, 1)}, width // 2
+        else:
+            left, height = {(2 * r + i, c) for r, c in left for i in (0, 1)}, height // 2
     return fits
 
 
 def _blocks(model: DataFrame, bits: int, model_bytes: int) -> Iterator[dict]:
-    """The grid in square blocks, each read from the stored model when its turn comes."""
+    """The grid in blocks, each read from the stored model when its turn comes."""
     sums = model.filter(F.col("kind") == _WORD).agg(F.sum("total").alias("total"), F.sum("entries").alias("distinct")).first()
     kind, cell = F.col("kind"), F.col("cell")
     # Cells of the pair grid are numbered row by row.
@@ -325,23 +330,24 @@ def _blocks(model: DataFrame, bits: int, model_bytes: int) -> Iterator[dict]:
     def within(value: Column, first: int, n: int) -> Column:
         return value.between(first, first + n - 1)
 
-    for r, c, side in _squares(model, bits, model_bytes):
-        words = model.filter((kind == _WORD) & within(cell, c << FINER, side << FINER)).select("ngrams", "counts")
-        contexts = model.filter((kind == _WORD) & within(cell, r << FINER, side << FINER))
+    for rows, columns in _parts(model, bits, model_bytes):
+        r, c, height, width = rows.start, columns.start, len(rows), len(columns)
+        words = model.filter((kind == _WORD) & within(cell, c << FINER, width << FINER)).select("ngrams", "counts")
+        contexts = model.filter((kind == _WORD) & within(cell, r << FINER, height << FINER))
         # The rows of a block lie together in the numbering of the grid.
-        rows = within(cell, r << bits, side << bits) & within(column, c, side)
-        pairs = model.filter((kind == _PAIR) & rows)
+        inside = within(cell, r << bits, height << bits) & within(column, c, width)
+        pairs = model.filter((kind == _PAIR) & inside)
         ngrams, counts = _exact(words.collect())
         yield {
-            "rows": range(r, r + side),
-            "columns": range(c, c + side),
+            "rows": rows,
+            "columns": columns,
             "bits": bits,
             "total": sums["total"] or 0,
             "distinct": sums["distinct"] or 0,
             "words": ngrams,
             "counts": counts,
-            "contexts": Filters.arrays(contexts.select((cell - (r << FINER)).alias("cell"), "bits").collect(), side << FINER),
-            "pairs": Filters.arrays(pairs.select(((row - r) * side + column - c).alias("cell"), "bits").collect(), side * side),
+            "contexts": Filters.arrays(contexts.select((cell - (r << FINER)).alias("cell"), "bits").collect(), height << FINER),
+            "pairs": Filters.arrays(pairs.select(((row - r) * width + column - c).alias("cell"), "bits").collect(), height * width),
         }
 
 

@@ -209,18 +209,19 @@ def test_a_text_above_the_slice_size(spark):
 
 def test_blocks_of_the_model_are_cut_by_their_real_sizes(spark, monkeypatch):
     """A context that a third of all words follow makes its cells large; they are cut further."""
-    monkeypatch.setattr(bloom_lm.train, "__defaults__", (1 << 12,))
+    monkeypatch.setattr(bloom_lm.train, "__defaults__", (1 << 10,))
     rows = [(i, " ".join(f"the w{i}x{j}" if j % 2 else f"u{i}y{j % 7}" for j in range(60))) for i in range(120)]
     model, bits = bloom_lm.train(spark.createDataFrame(rows, "doc_id long, text string").select("text"))
     assert bits >= 3 and model.count() == model.select("kind", "cell").distinct().count()
     size = 20_000
-    squares = bloom_lm._squares(model, bits, size)
-    # The squares tile the grid.
-    cells = {(r + i, c + j) for r, c, side in squares for i in range(side) for j in range(side)}
-    assert len(cells) == sum(side * side for *_, side in squares) == 1 << 2 * bits
-    for block, (_, _, side) in zip(bloom_lm._blocks(model, bits, size), squares):
+    parts = bloom_lm._parts(model, bits, size)
+    # The parts tile the grid.
+    cells = {(r, c) for rows, columns in parts for r in rows for c in columns}
+    assert len(cells) == sum(len(rows) * len(columns) for rows, columns in parts) == 1 << 2 * bits
+    assert len(parts) > 1
+    for block, (rows, columns) in zip(bloom_lm._blocks(model, bits, size), parts):
         held = sum(a.nbytes for a in (block["words"], block["counts"], *block["contexts"], *block["pairs"]))
-        assert held <= size or side == 1
+        assert held <= size or len(rows) * len(columns) == 1
     total, distinct = model.filter("kind = 0").selectExpr("sum(total)", "sum(entries)").first()
     tokens = [w for _, text in rows for w in text.split()] + ["</>"] * len(rows)
     assert (total, distinct) == (len(tokens), len(set(tokens)))
