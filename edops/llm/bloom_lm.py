@@ -8,7 +8,7 @@ frequency; its weight comes from the quantised count of the context.
 
 Size. N-grams are dealt into a square grid of cells by the hash of their context and of
 their word, finer for more text; words lie in cells of their own, ``1 << FINER`` of them to
-a row or column. One shuffle, sorted by cell and n-gram, brings the counts together; a task
+a row or column. One shuffle, sorted by cell, brings the counts together; a task
 holds the n-grams of one cell at a time and writes the cell's filter, sized for its own
 entries. Scoring takes the grid in square blocks, cut by their real sizes until each is at
 most ``MODEL_BYTES`` or a single cell; each block is broadcast, and one pass over the texts
@@ -146,6 +146,8 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndar
 def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per cell: its filter and, for words, the exact counts."""
     for kind, cell, ngram, n in _runs(batches):
+        order = np.argsort(ngram)
+        ngram, n = ngram[order], n[order]
         at = np.flatnonzero(np.append(True, ngram[1:] != ngram[:-1]))
         ngram, n = ngram[at], np.add.reduceat(n, at)
         exact = kind == _WORD
@@ -280,7 +282,8 @@ def train(texts: DataFrame, bytes_per_cell: int = BYTES_PER_CELL) -> tuple[DataF
     counted = texts.mapInArrow(_count(bits), "kind int, cell long, ngram long, n long")
     # About two million rows (32 MB) in a task.
     parts = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // (16 << 20)))
-    dealt = counted.repartition(parts, "kind", "cell").sortWithinPartitions("kind", "cell", "ngram")
+    # One number for kind and cell: such rows are sorted by their bits, without comparisons.
+    dealt = counted.repartition(parts, "kind", "cell").sortWithinPartitions(F.col("cell") * 2 + F.col("kind"))
     schema = "kind int, cell long, entries long, total long, size long, bits binary, ngrams binary, counts binary"
     return stage(dealt.mapInArrow(_build, schema), "lm-model"), bits
 

@@ -209,11 +209,11 @@ def test_a_text_above_the_slice_size(spark):
 
 def test_blocks_of_the_model_are_cut_by_their_real_sizes(spark, monkeypatch):
     """A context that a third of all words follow makes its cells large; they are cut further."""
-    monkeypatch.setattr(bloom_lm.train, "__defaults__", (1 << 10,))
+    monkeypatch.setattr(bloom_lm.train, "__defaults__", (1 << 12,))
     rows = [(i, " ".join(f"the w{i}x{j}" if j % 2 else f"u{i}y{j % 7}" for j in range(60))) for i in range(120)]
     model, bits = bloom_lm.train(spark.createDataFrame(rows, "doc_id long, text string").select("text"))
-    assert bits >= 3 and model.count() == model.select("kind", "cell").distinct().count()
-    size = 20_000
+    assert bits >= 2 and model.count() == model.select("kind", "cell").distinct().count()
+    size = 60_000
     parts = bloom_lm._parts(model, bits, size)
     # The parts tile the grid.
     cells = {(r, c) for rows, columns in parts for r in rows for c in columns}
