@@ -210,8 +210,8 @@ def test_a_text_above_the_slice_size(spark):
 def test_blocks_of_the_model_are_cut_by_their_real_sizes(spark, monkeypatch):
     """A context that a third of all words follow makes its cells large; they are cut further."""
     monkeypatch.setattr(bloom_lm.train, "__defaults__", (1 << 12,))
-    rows = [(i, " ".join(f"the w{i}x{j}" if j % 2 else f"u{i}y{j % 7}" for j in range(60))) for i in range(120)]
-    model, bits = bloom_lm.train(spark.createDataFrame(rows, "doc_id long, text string").select("text"))
+    docs = [(i, " ".join(f"the w{i}x{j}" if j % 2 else f"u{i}y{j % 7}" for j in range(60))) for i in range(120)]
+    model, bits = bloom_lm.train(spark.createDataFrame(docs, "doc_id long, text string").select("text"))
     assert bits >= 2 and model.count() == model.select("kind", "cell").distinct().count()
     size = 60_000
     parts = bloom_lm._parts(model, bits, size)
@@ -223,5 +223,5 @@ def test_blocks_of_the_model_are_cut_by_their_real_sizes(spark, monkeypatch):
         held = sum(a.nbytes for a in (block["words"], block["counts"], *block["contexts"], *block["pairs"]))
         assert held <= size or len(rows) * len(columns) == 1
     total, distinct = model.filter("kind = 0").selectExpr("sum(total)", "sum(entries)").first()
-    tokens = [w for _, text in rows for w in text.split()] + ["</>"] * len(rows)
+    tokens = [w for _, text in docs for w in text.split()] + ["</>"] * len(docs)
     assert (total, distinct) == (len(tokens), len(set(tokens)))
