@@ -5,13 +5,17 @@ starts earlier (in a document with a smaller key, or earlier in the same documen
 
 Seeds: winnowing picks in every window the ``seed``-word sequence of the smallest hash (the
 last one on ties), so two equal windows always share a seed, and only about one word in
-eight starts one. A join on the seeds leaves those that occur in two different texts.
-Extension: a match is grown from a shared seed to both sides by the hash of each full
-window around it, for all partners of a window at once: the smallest document per window is
-a partial aggregate, so a passage that a third of all documents share is neither expanded
-into pairs nor gathered in one task. Overlapping windows join into maximal repeats.
-
-Texts are read twice: once for the seeds, once joined to the documents that share any.
+seven starts one. A join on the seeds leaves those that occur in two different texts; a
+longer seed costs more of them but opens fewer texts that share it by chance.
+Extension: a match is grown from a shared seed to both sides by two independent hashes of
+each full window around it (128 bits), for all partners of a window at once: the smallest
+document per window is a partial aggregate, so a passage that a third of all documents
+share is neither expanded into pairs nor gathered in one task. Overlapping windows join
+into maximal repeats.
+
+Texts are read twice: once for the seeds, once joined to the documents that share any. The
+windows of these are hashed twice, for the smallest document and for the join back to it,
+as stored windows would take more disk than the texts they come from.
 Exact copies of a whole text are settled by a hash of the text and not extended.
 
 Defined cases: null and empty texts have no words and keep nothing; texts shorter than a
@@ -32,10 +36,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from edops.llm.common import TEXTS, arrow_rows
-from edops.llm.words import Words, rolling, slices, split_words, starts_of
+from edops.llm.words import Words, rolling, second_hash, slices, split_words, starts_of
 from edops.session import stage
 
-LENGTH, SEED = 20, 5
+LENGTH, SEED = 20, 8
 
 
 def _seeds(words: Words, length: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -79,7 +83,7 @@ def _scan(length: int, seed: int):
                 starts, place, hashes = _seeds(words, length, seed)
                 value, owner = _distinct(hashes[np.unique(place)], words.text[np.unique(place)])
                 windows = rolling(words.hash, length)[starts] if len(starts) else np.zeros(0, np.uint64)
-                again = _again(windows, words.text[starts])
+                again = _again(words, starts, windows, length)
                 sha = [hashlib.sha256(b" ".join(raw.split())).hexdigest() for raw in _plain(words)]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -106,17 +110,40 @@ def _distinct(value: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return value[new], text[new]
 
 
-def _again(windows: np.ndarray, text: np.ndarray) -> np.ndarray:
-    """Which windows repeat an earlier one of the same text."""
+def _again(words: Words, starts: np.ndarray, windows: np.ndarray, length: int) -> np.ndarray:
+    """Which windows repeat an earlier one of the same text, by both hashes."""
     if not len(windows):
         return np.zeros(0, np.int64)
+    text = words.text[starts]
     order = np.lexsort((windows, text))  # stable: equal windows stay in word order
     same = (windows[order][1:] == windows[order][:-1]) & (text[order][1:] == text[order][:-1])
-    return np.sort(order[1:][same])
+    equal = np.zeros(len(order), bool)
+    equal[1:] = same
+    equal[:-1] |= same
+    rows = np.sort(order[equal])
+    if not len(rows):
+        return rows
+    text, windows, other = text[rows], windows[rows], _other_windows(words, starts[rows], length)
+    order = np.lexsort((other, windows, text))
+    same = np.ones(len(order) - 1, bool)
+    for values in (text, windows, other):
+        same &= values[order][1:] == values[order][:-1]
+    return np.sort(rows[order[1:][same]])
+
+
+def _other_windows(words: Words, starts: np.ndarray, length: int) -> np.ndarray:
+    """Second hash of the windows at ``starts``; only the words inside them are hashed."""
+    edge = np.zeros(len(words.hash) + 1, np.int64)
+    np.add.at(edge, starts, 1)
+    np.add.at(edge, starts + length, -1)
+    inside = np.flatnonzero(np.cumsum(edge)[:-1] > 0)
+    hashes = np.zeros(len(words.hash), np.uint64)
+    hashes[inside] = second_hash(words.data, words.start[inside], words.end[inside])
+    return rolling(hashes, length)[starts] if len(starts) else hashes[:0]
 
 
 def _windows(length: int, seed: int):
-    """Hash and start of every first-in-its-text window whose seed is shared."""
+    """Hashes and start of every first-in-its-text window whose seed is shared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,8 +158,9 @@ def _windows(length: int, seed: int):
                 text = words.text[starts]
                 hit = _pairs_in(hashes[place], text, flat, owner)
                 windows = rolling(words.hash, length)[starts]
-                hit[_again(windows, text)] = False
+                hit[_again(words, starts, windows, length)] = False
                 starts, text, windows = starts[hit], text[hit], windows[hit]
+                other = _other_windows(words, starts, length)
                 take = pa.array(text)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -140,8 +168,9 @@ def _windows(length: int, seed: int):
                         part["body"].take(take),
                         pa.array((starts - words.firsts[text]).astype(np.int32)),
                         pa.array(windows.view(np.int64)),
+                        pa.array(other.view(np.int64)),
                     ],
-                    ["key", "body", "start", "window"],
+                    ["key", "body", "start", "window", "window2"],
                 )
 
     return run
@@ -250,16 +279,19 @@ def remove_repeats(
         "repeat-texts",
     )
     windows = open_.filter(F.size("seeds") > 0).select("key", "body", "text", "seeds").mapInArrow(
-        _windows(length, seed), "key long, body long, start int, window long"
+        _windows(length, seed), "key long, body long, start int, window long, window2 long"
     )
     # Where keys are distinct they order the texts alone, in half the bytes.
     texts_of = scanned.groupBy("key").agg(F.min("body").alias("lo"), F.max("body").alias("hi"))
     alone = texts_of.filter("lo <> hi").isEmpty()
     # A null key is the smallest, in structs as well.
     lowest = F.coalesce(F.col("key"), F.lit(-(1 << 63))) if alone else F.struct("key", "body")
-    first = windows.groupBy(F.col("window").alias("_window")).agg(F.min(lowest).alias("lo"), F.max(lowest).alias("hi"))
-    first = first.filter("lo < hi").select("_window", "lo")
-    starts = windows.join(first, (F.col("window") == F.col("_window")) & (lowest > F.col("lo")))
+    first = windows.groupBy(F.col("window").alias("_window"), F.col("window2").alias("_window2")).agg(
+        F.min(lowest).alias("lo"), F.max(lowest).alias("hi")
+    )
+    first = first.filter("lo < hi").select("_window", "_window2", "lo")
+    same = (F.col("window") == F.col("_window")) & (F.col("window2") == F.col("_window2"))
+    starts = windows.join(first, same & (lowest > F.col("lo")))
     starts = starts.groupBy("key", "body").agg(F.collect_set("start").alias("starts"))
     marked = open_.alias("d").join(starts.alias("s"), _same_document("d", "s"), "left").select(
         "d.key", "d.body", "d.text", F.coalesce("s.starts", none.cast("array<int>")).alias("starts"), "d.own"

@@ -20,6 +20,8 @@ _LOWER[ord("A") : ord("Z") + 1] += 32
 _FILL = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 STEP = np.uint64(0x9E3779B97F4A7C15)
 SLICE_BYTES = 1 << 20
+PLACES = 64  # letters of a word with random values of their own
+_VALUES = np.random.default_rng(21).integers(0, (1 << 64) - 1, (PLACES, 256), dtype=np.uint64, endpoint=True)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -113,6 +115,25 @@ def hash_ranges(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix(np.add.reduceat(terms, first) + length.astype(np.uint64))
 
 
+def second_hash(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Tabulation hash of each byte range, independent of ``hash_ranges``.
+
+    Every place of a word has random values of its own, so that no pattern of letters makes
+    two words agree; beyond ``PLACES`` letters the values are mixed from letter and place.
+    """
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    length = end - start
+    first = np.concatenate([[0], np.cumsum(length)[:-1]])
+    inside = np.arange(int(length.sum())) - np.repeat(first, length)
+    letter = data[np.repeat(start, length) + inside].astype(np.int64)
+    terms = _VALUES.ravel()[np.minimum(inside, PLACES - 1) * 256 + letter]
+    far = np.flatnonzero(inside >= PLACES)
+    if len(far):
+        terms[far] = mix(terms[far] + inside[far].astype(np.uint64) * STEP)
+    return mix(np.add.reduceat(terms, first) ^ length.astype(np.uint64))
+
+
 def rolling(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of every ``n`` consecutive hashes (as many as there are starts), by doubling.
 

@@ -10,6 +10,7 @@ import pytest
 
 from edops.llm import minhash, substrings
 from llm_helpers import make, prose, words_of
+from test_words import swapped_pair
 
 
 def shingles(text, n):
@@ -116,6 +117,25 @@ def test_passages_in_many_places(spark):
     check_repeats(make(spark, rows), rows)
 
 
+def test_windows_that_only_one_hash_takes_for_equal(spark):
+    """Two long words of one hash: windows around them are equal to it, across and inside texts."""
+    one, other = swapped_pair("ab")
+    left, right = prose(41, 25), prose(42, 25)
+    rows = [(1, f"{left} {one} {right}"), (2, f"{prose(43, 30)} {left} {other} {right}")]
+    left, right = prose(44, 12), prose(45, 12)
+    rows += [(3, f"{left} {one} {right} {prose(46, 9)} {left} {other} {right}"), (4, f"{left} {one} {right}")]
+    check_repeats(make(spark, rows), rows)
+
+
+@pytest.mark.parametrize("seed", [1, 5, 20])
+def test_any_seed_length_finds_the_same(spark, seed):
+    passages = [prose(500 + i, 22) for i in range(4)]
+    rows = [(i, f"{prose(600 + i, 15)} {passages[i % 4]} {prose(700 + i, 9)} {passages[i * i % 4]}") for i in range(24)]
+    want = {k: v[1:3] for k, v in brute_repeats(rows).items()}
+    got = substrings.remove_repeats(make(spark, rows), seed=seed).collect()
+    assert {r["key"]: (r["n_removed"], r["kept_sha256"]) for r in got} == want
+
+
 def test_cut_keeps_the_white_space_of_kept_words(spark):
     copy = prose(9, 25)
     rows = [(1, copy), (2, f"first\tline\n\n{copy} last  line\n")]

@@ -42,3 +42,24 @@ def test_rolling_hash_depends_on_the_window_alone():
         moved = W.rolling(np.concatenate([hashes[7 : 7 + n], hashes[:2]]), n)
         assert moved[0] == rolled[7]
     assert len(W.rolling(hashes[:3], 4)) == 0
+
+
+def swapped_pair(letters: str, n: int = 1024) -> tuple[str, str]:
+    """A word and the one with its two letters swapped, which a polynomial modulo 2^64 confuses."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join(letters[b] for b in bits), "".join(letters[1 - b] for b in bits)
+
+
+def test_the_second_hash_tells_words_apart_that_the_first_does_not():
+    found = W.split_words(pa.array([" ".join(swapped_pair("ab"))]))
+    assert found.hash[0] == found.hash[1]
+    other = W.second_hash(found.data, found.start, found.end)
+    assert other[0] != other[1]
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.text(alphabet="abé", min_size=1, max_size=90), min_size=1, max_size=12))
+def test_the_second_hash_depends_on_the_word_alone(texts):
+    found = W.split_words(pa.array([" ".join(texts)]))
+    other = W.second_hash(found.data, found.start, found.end)
+    assert len(set(zip(texts, other.tolist()))) == len(set(texts)) == len(set(other.tolist()))
