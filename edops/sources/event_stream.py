@@ -11,12 +11,13 @@ def kafka_events(
     topic: str,
     starting_offsets: str = "earliest",
     max_offsets_per_trigger: int | None = None,
+    connector: str = "kafka",
 ) -> DataFrame:
-    """Kafka topic as (raw_value, ingest_ts)."""
+    """Kafka topic as (raw_value, ingest_ts); ``connector`` names a data source with Kafka's options."""
     if starting_offsets not in ("earliest", "latest"):
         raise ValueError("starting_offsets is earliest or latest")
     reader = (
-        spark.readStream.format("kafka")
+        spark.readStream.format(connector)
         .option("kafka.bootstrap.servers", bootstrap)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
@@ -45,10 +46,11 @@ def kafka_records(events: DataFrame) -> DataFrame:
     )
 
 
-def write_kafka(events: DataFrame, bootstrap: str, topic: str) -> None:
+def write_kafka(events: DataFrame, bootstrap: str, topic: str, connector: str = "kafka") -> None:
     (
         kafka_records(events)
-        .write.format("kafka")
+        .write.format(connector)
+        .mode("append")
         .option("kafka.bootstrap.servers", bootstrap)
         .option("kafka.acks", "all")
         .option("topic", topic)
