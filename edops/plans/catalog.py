@@ -27,6 +27,7 @@ from edops.sources.fixed_width import read_bronze
 from edops.streaming.job import VisitStream
 
 MINUTES = 180  # watermark of the replay queries
+_RECORDS_PER_FILE = 50_000  # 120 MB of survey text
 HALF_TIME = "2024-01-16 00:00:00"  # cuts the events into an earlier and a later batch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,7 +68,10 @@ def _stamp() -> Column:
 
 def _bronze_folder(spark: SparkSession, sf_dir: str) -> str:
     path = fresh_path(spark, "survey")
-    fx.records(spark, sf_dir).select("raw_record").write.text(path)
+    # A record of 2.4 KB is mostly blanks. A compressed file cannot be split, so each one
+    # holds as many records as fit a split of plain text.
+    raw = fx.records(spark, sf_dir).select("raw_record")
+    raw.write.option("maxRecordsPerFile", _RECORDS_PER_FILE).text(path, compression="gzip")
     return path
 
 

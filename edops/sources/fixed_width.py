@@ -42,7 +42,7 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
         ),
         "splits",
     )
-    # One row per 128 MB of text; beyond the limit the join exchanges rows instead.
+    # One row per 128 MB of text or compressed file; beyond the limit the join exchanges rows instead.
     few = offsets.count() <= BROADCAST_ROWS
     joined = lines.join(F.broadcast(offsets) if few else offsets, ["path", "block"], "left")
     place = F.col("position") - F.col("first")

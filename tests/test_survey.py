@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from edops.operators.cohorts import age_band
 from edops.operators.quality import quality_report
 from edops.operators.survey import clean_visits, diagnosis_group
-from edops.plans import historical
+from edops.plans import catalog, fixtures, historical
 from edops.schemas import CLEAN_VISITS, RECORD_WIDTH, SURVEY_LAYOUT
 from edops.sources.fixed_width import read_bronze
 from edops.sources.sinks import write_table
@@ -129,6 +129,23 @@ def test_empty_table_reports_zero(spark):
     assert report["row_count"] == 0 and report["records_flagged"] == 0
 
 
+def test_survey_text_takes_a_fraction_of_its_width_on_disk(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(catalog, "fresh_path", lambda _, name: str(tmp_path / name))
+    monkeypatch.setattr(catalog, "_RECORDS_PER_FILE", 500, raising=False)
+    folder = catalog._bronze_folder(spark, "/root/testdata/sf0.001")
+    files = list((tmp_path / "survey").glob("part-*"))
+    want = fixtures.records(spark, "/root/testdata/sf0.001").select("raw_record")
+    rows = want.count()
+    assert sum(f.stat().st_size for f in files) < rows * RECORD_WIDTH / 10
+    got = read_bronze(spark, folder).cache()
+    assert got.select("raw_record").exceptAll(want).isEmpty() and got.count() == rows
+    # Several compressed files share a task; each one counts its own lines.
+    per_file = got.groupBy("source_filename").agg(F.max("source_row_number"), F.count_distinct("source_row_number"), F.count("*"))
+    counts = [tuple(r)[1:] for r in per_file.collect()]
+    assert len(counts) == len(files) >= rows / 500 and all(a == b == c <= 500 for a, b, c in counts)
+    got.unpersist()
+
+
 def test_line_numbers_count_blank_lines_across_splits(spark, tmp_path):
     lines = [f"record {i} " + "x" * (i % 7) if i % 5 else "" for i in range(1, 400)]
     (tmp_path / "in").mkdir()
