@@ -72,11 +72,12 @@ def read_bronze(
 ) -> DataFrame:
     """Raw records with their origin. Blank lines are counted, then left out."""
     stamp = utc_literal(ingested_at) if ingested_at else F.current_timestamp()
-    checked = numbered_lines(spark, path).withColumn("raw_record", ascii_only(F.col("value")))
+    # Told blank by the text as read, so that a line is checked once and not for the filter as well.
     return (
-        checked.filter(F.col("raw_record") != "")
+        numbered_lines(spark, path)
+        .filter(F.col("value") != "")
         .select(
-            "raw_record",
+            ascii_only(F.col("value")).alias("raw_record"),
             F.lit(source_system).alias("source_system"),
             F.lit(source_year).cast("int").alias("source_year"),
             F.col("filename").alias("source_filename"),

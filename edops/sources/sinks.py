@@ -88,6 +88,8 @@ def write_laid_out(df: DataFrame, path: str, table: str, replace: bool = False,
         if dated or cluster:
             out = out.sortWithinPartitions(*dated, *cluster)
     writer = out.write.mode("overwrite" if replace else "errorifexists")
+    if table in IN_FILE_ORDER:  # wide text, mostly blanks
+        writer = writer.option("compression", "zstd")
     (writer.partitionBy("partition_date") if day else writer).parquet(path)
 
 

@@ -146,6 +146,21 @@ def test_survey_text_takes_a_fraction_of_its_width_on_disk(spark, tmp_path, monk
     got.unpersist()
 
 
+def test_historical_run_stores_raw_records_small(spark, tmp_path):
+    lines = [record(age=f"{i % 90:03}", patient_weight=f"{i * 7919 % 9973}.5") for i in range(4_000)]
+    (tmp_path / "ed2022").write_text("\n".join(lines))
+    done = historical.run(spark, str(tmp_path / "ed2022"), str(tmp_path / "out"), STAMP)
+    assert sorted(r[0] for r in done["bronze_visits"].select("raw_record").collect()) == sorted(lines)
+    stored = sum(f.stat().st_size for f in (tmp_path / "out" / "bronze_visits").rglob("part-*"))
+    assert stored < len(lines) * RECORD_WIDTH / 50
+
+
+def test_a_line_is_checked_once(spark, tmp_path):
+    (tmp_path / "ed2022").write_text("plain\n\nmore\n")
+    plan = read_bronze(spark, str(tmp_path / "ed2022"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("is_valid_utf8") + plan.count("isValid") <= 1
+
+
 def test_line_numbers_count_blank_lines_across_splits(spark, tmp_path):
     lines = [f"record {i} " + "x" * (i % 7) if i % 5 else "" for i in range(1, 400)]
     (tmp_path / "in").mkdir()
