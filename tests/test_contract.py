@@ -106,3 +106,12 @@ def test_malformed_and_missing_are_counted_and_quarantined(spark):
         "malformed_events": 1, "late_events": 0, "missing_fields": 1,
     }
     assert sorted(r["seq"] for r in quarantine(booked).collect()) == [0, 1]
+
+
+def test_contract_errors_run_no_function_per_element(spark):
+    raw = spark.createDataFrame([('{"event_id": 1}',), ("[",), ('{"event_version": "1"}',)], "raw_value string")
+    parsed = parse_events(raw)
+    assert "lambda" not in parsed._jdf.queryExecution().optimizedPlan().toString()
+    errors = {r["raw_value"]: r["errors"] for r in parsed.collect()}
+    assert errors["["] == ["MALFORMED_JSON"] and "" not in sum(errors.values(), [])
+    assert "MISSING_EVENT_ID" not in errors['{"event_id": 1}'] and "UNSUPPORTED_EVENT_VERSION" in errors['{"event_version": "1"}']
