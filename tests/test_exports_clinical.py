@@ -304,3 +304,11 @@ def test_every_filter_column_reads_few_files(spark, tmp_path):
     assert len(sizes) == 8 and max(r["count"] for r in sizes) < 5_000
     sinks.write_laid_out(flat.limit(0), str(tmp_path / "none"), "clean_ed_visits")
     assert spark.read.schema(flat.schema).parquet(str(tmp_path / "none")).isEmpty()
+
+
+def test_check_table_reads_a_stored_report(spark):
+    from edops.plans import catalog
+
+    report, streaming = catalog._reports(spark, "/root/testdata/sf0.001")
+    plan = bi.bi_data_quality(report, streaming)._jdf.queryExecution().optimizedPlan().toString()
+    assert "_before" not in report._jdf.queryExecution().optimizedPlan().toString() and "l_orderkey" not in plan
