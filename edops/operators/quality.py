@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from edops.functions.labels import labels_of
 from edops.operators.running import Running, heavy_keys, running
 from edops.schemas import FLAG_NAMES, NOT_VITAL_FLAGS, RANGE_RULES
 
@@ -16,17 +17,12 @@ def quality_flags(
 ) -> Column:
     """Array of rule violations in rule order; NULL values pass the range rules."""
     checks = [
-        F.when(
-            ~F.col(name).between(low, high),
-            F.lit(FLAG_NAMES.get(name, f"INVALID_{name.upper()}")),
-        )
+        (~F.col(name).between(low, high), FLAG_NAMES.get(name, f"INVALID_{name.upper()}"))
         for name, low, high in rules
     ]
-    checks.append(
-        F.when(F.col("systolic_bp") <= F.col("diastolic_bp"), F.lit("INVALID_BP_RELATION"))
-    )
-    checks.append(F.when(F.coalesce(F.col(key), F.lit("")) == "", F.lit("NULL_VISIT_ID")))
-    return F.array_compact(F.array(*checks))
+    checks.append((F.col("systolic_bp") <= F.col("diastolic_bp"), "INVALID_BP_RELATION"))
+    checks.append((F.coalesce(F.col(key), F.lit("")) == "", "NULL_VISIT_ID"))
+    return labels_of(checks)
 
 
 def quality_status(flags: Column) -> Column:
@@ -48,16 +44,17 @@ def mark_repeats(
     heavy keys, so a key that fills a third of the table is still split. Rows without
     a key repeat each other.
     """
-    keyed = visits.withColumn("_key", F.coalesce(F.col(key), F.lit(_NO_KEY)))
+    # Visit ids begin alike, which a sort compares slowly; a number in front parts them at once.
+    keyed = visits.withColumn("_key", F.coalesce(F.col(key), F.lit(_NO_KEY))).withColumn("_hash", F.xxhash64("_key"))
     found = heavy_keys(keyed, "_key") if heavy is None else {"_key": heavy}
-    seen = running(keyed, order, [Running("_before", "sum", F.lit(1), before=True)], ["_key"], found)
+    seen = running(keyed, order, [Running("_before", "sum", F.lit(1), before=True)], ["_hash", "_key"], found)
     flags = F.col("data_quality_flags")
     marked = F.when(F.col("_before") > 0, F.array_append(flags, F.lit(REPEATED))).otherwise(flags)
     return (
         seen.withColumn("data_quality_flags", marked)
         .withColumn("data_quality_status", quality_status(F.col("data_quality_flags")))
         .withColumn("occurrence", (F.col("_before") + 1).cast("long"))
-        .drop("_before", "_key")
+        .drop("_before", "_key", "_hash")
     )
 
 

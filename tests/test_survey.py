@@ -161,6 +161,13 @@ def test_a_line_is_checked_once(spark, tmp_path):
     assert plan.count("is_valid_utf8") + plan.count("isValid") <= 1
 
 
+def test_flags_are_compiled_and_ids_sorted_by_a_number_first(spark):
+    plan = clean_visits(bronze(spark, record()), heavy=[])._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
+    window = next(line for line in plan.splitlines() if "Window [" in line)
+    assert "], [_hash#" in window
+
+
 def test_line_numbers_count_blank_lines_across_splits(spark, tmp_path):
     lines = [f"record {i} " + "x" * (i % 7) if i % 5 else "" for i in range(1, 400)]
     (tmp_path / "in").mkdir()
