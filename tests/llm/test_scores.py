@@ -225,3 +225,28 @@ def test_blocks_of_the_model_are_cut_by_their_real_sizes(spark, monkeypatch):
     total, distinct = model.filter("kind = 0").selectExpr("sum(total)", "sum(entries)").first()
     tokens = [w for _, text in docs for w in text.split()] + ["</>"] * len(docs)
     assert (total, distinct) == (len(tokens), len(set(tokens)))
+
+
+def test_passes_do_not_grow_with_the_model(spark, monkeypatch):
+    """A model above ``model_bytes`` takes as many stored steps however large it is, and the same scores."""
+    stored = []
+    stage = bloom_lm.stage
+    monkeypatch.setattr(bloom_lm, "stage", lambda df, name: stored.append(name) or stage(df, name))
+    monkeypatch.setattr(bloom_lm.train, "__defaults__", (1 << 12,))
+    monkeypatch.setattr(bloom_lm, "FLUSH", 700)  # several chunks in a task
+    steps = {}
+    for n in (40, 160):
+        rows = [(i, f"{prose(i, 60)} Own{i} the the", "en") for i in range(n)] + [(None, None), (7, ""), (7, "")]
+        df = make(spark, rows).repartition(3)
+        learn = F.col("doc_id") % 5 != 0
+        stored.clear()
+        got = bloom_lm.score(df, learn, model_bytes=1 << 12).collect()
+        steps[n] = list(stored)
+        want = bloom_lm.score(df, learn).collect()
+        names = ("n_tokens", "n_known", "train_tokens")
+        assert sorted((str(r["key"]), *(r[c] for c in names)) for r in got) == sorted(
+            (str(r["key"]), *(r[c] for c in names)) for r in want
+        )
+        for c in ("base_score", "score"):
+            assert sorted(r[c] for r in got) == pytest.approx(sorted(r[c] for r in want))
+    assert steps[40] == steps[160] and len(steps[40]) <= 3
