@@ -26,11 +26,12 @@ import types
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations_with_replacement
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from edops.llm.common import TEXTS, arrow_rows, number_rows
@@ -40,20 +41,23 @@ CAPACITY = 4096
 END_ID = 1
 LARGE = 0.25
 GROUPS = 16
-CACHED = 600_000  # chunks of text whose ids a worker remembers (about 120 MB)
+CACHED = 600_000  # words whose ids a worker remembers (about 120 MB)
+PLAIN = r"^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<mark>[!-/:-@\[-`{-~]*)$"  # letters, then ASCII marks
+JOINED = 500  # words that the tokenizer gets as one text
 
 
 class Encoder:
-    """Token ids of whole texts, chunk by chunk between blanks and line breaks.
+    """Token ids of whole texts, chunk by chunk between ASCII white space.
 
     The tokenizer drops white space and never joins across it, so the ids of a text are those
-    of its chunks one after the other; most chunks occur often and are encoded once. A chunk
-    of letters and one mark is encoded as both parts. The memory lasts as long as the worker.
+    of its chunks one after the other. A chunk of letters and ASCII marks is encoded as both
+    parts; most parts occur often and are encoded once. Words of letters go to the tokenizer
+    many at once, between blanks, and are told apart by their last token, which is one that
+    ends a word. The memory lasts as long as the worker.
     """
 
     def __init__(self, path: str):
         import os
-        import re
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -61,31 +65,66 @@ class Encoder:
         kept = sys.modules.setdefault("edops_token_memory", types.ModuleType("edops_token_memory"))
         if getattr(kept, "path", None) != path:
             kept.path, kept.tokenizer, kept.ids = path, Tokenizer.from_file(path), {}
-        self.tokenizer, self.ids = kept.tokenizer, kept.ids
-        self.plain = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)").fullmatch
-        self.marks = dict(zip((".", ",", ""), self._encode([".", ",", ""])))
+            vocabulary = kept.tokenizer.get_vocab()
+            suffix = getattr(kept.tokenizer.model, "end_of_word_suffix", None)
+            kept.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            if suffix:
+                kept.ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        self.tokenizer, self.ids, self.ends = kept.tokenizer, kept.ids, kept.ends
 
     def _encode(self, chunks: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of words of lower-case letters, each of which the tokenizer takes as one."""
+        lines = [" ".join(words[at : at + JOINED]) for at in range(0, len(words), JOINED)]
+        found = self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)
+        out = []
+        for at, line in zip(range(0, len(words), JOINED), found):
+            ids = np.array(line.ids, "<u4")
+            raw, to = ids.tobytes(), (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            part = words[at : at + JOINED]
+            if len(to) == len(part) and to[-1] == len(raw):
+                out += [raw[a:b] for a, b in zip([0, *to], to)]
+            else:  # a tokenizer that marks no ends, or several
+                out += self._encode(part)
+        return out
+
+    def _ids(self, parts: pa.DictionaryArray, encode: Callable[[list[str]], list[bytes]]) -> pa.Array:
+        """The ids of each distinct part, from memory or ``encode``."""
+        # No part holds a line break; one string to cut is far cheaper than one call for each.
+        empty, ends = (pa.scalar(x, pa.large_string()) for x in ("", "\n"))
+        lines = pc.binary_join_element_wise(parts.dictionary, empty, ends)
+        _, offsets, raw = lines.buffers()
+        size = int(np.frombuffer(offsets, np.int64)[len(lines)])
+        strings = bytes(raw or b"")[:size].decode().split("\n")[: len(lines)]
+        new = list(set(strings).difference(self.ids))
+        self.ids.update(zip(new, encode(new)))
+        return pa.array(list(map(self.ids.__getitem__, strings)), pa.large_binary())
+
+    def __call__(self, texts: pa.Array) -> list[memoryview]:
         """The ids of every text as little-endian 32-bit numbers."""
         if len(self.ids) > CACHED:
             self.ids.clear()
-        chunks = [t.replace("\n", " ").split(" ") for t in texts]
-        parts, cores = {}, set()
-        for chunk in set().union(*chunks).difference(self.ids):
-            match = self.plain(chunk)
-            core = match[1].lower() if match else chunk
-            if match:
-                parts[chunk] = core, match[2]
-            if core not in self.ids:
-                cores.add(core)
-        cores = list(cores)
-        self.ids.update(zip(cores, self._encode(cores)))
-        self.ids.update({c: self.ids[core] + self.marks[mark] for c, (core, mark) in parts.items()})
-        return [b"".join(map(self.ids.__getitem__, c)) for c in chunks]
+        self.ids[""] = b""
+        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        bounds = split.offsets.to_numpy()
+        chunks = split.flatten().dictionary_encode()
+        # Each chunk is a word and a mark, or no word and itself.
+        plain = pc.extract_regex(chunks.dictionary, PLAIN)
+        words = pc.utf8_lower(pc.struct_field(plain, "word")).fill_null("").dictionary_encode()
+        marks = pc.if_else(plain.is_valid(), pc.struct_field(plain, "mark"), chunks.dictionary).dictionary_encode()
+        known = pa.concat_arrays([self._ids(words, self._words), self._ids(marks, self._encode)])
+        take = np.empty((len(chunks), 2), np.int64)
+        at = chunks.indices.to_numpy()
+        take[:, 0] = words.indices.to_numpy()[at]
+        take[:, 1] = len(words.dictionary) + marks.indices.to_numpy()[at]
+        ids = known.take(pa.array(take.ravel()))
+        _, offsets, raw = ids.buffers()
+        to = np.frombuffer(offsets, np.int64)[2 * (bounds - bounds[0])].tolist()
+        raw = memoryview(raw or b"")
+        return [raw[a:b] for a, b in zip(to, to[1:])]
 
 
 def _pieces(path: str, capacity: int, with_ids: bool):
@@ -96,8 +135,8 @@ def _pieces(path: str, capacity: int, with_ids: bool):
         encode = Encoder(path)
         for batch in batches:
             row, piece, length, crc, ids = [], [], [], [], []
-            for i, raw in enumerate(encode(batch["text"].to_pylist())):
-                raw += end
+            for i, raw in enumerate(encode(batch["text"])):
+                raw = bytes(raw) + end
                 for n, at in enumerate(range(0, len(raw), width)):
                     part = raw[at : at + width]
                     row.append(i)

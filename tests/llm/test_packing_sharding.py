@@ -139,3 +139,34 @@ def test_ranks_of_many_values_in_many_ranges(spark):
     ranks = {r["name"]: r["rank"] for r in sharding._ranked(df.withColumn("rank", F.col("name")), "rank").collect()}
     named = sorted(v for v in values if v is not None)
     assert ranks == {None: None} | {v: float(i) for i, v in enumerate(named, 1)}
+
+
+@pytest.mark.parametrize("marked", [True, False])
+def test_words_go_to_the_tokenizer_many_at_once(marked):
+    """And the ids stay those of whole texts, also if no token is known to end a word."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer_path())
+    encoder = packing.Encoder(tokenizer_path())
+    encoder.ids = {}
+    if not marked:
+        encoder.ends = np.zeros_like(encoder.ends)
+    sent = []
+
+    class Counting:
+        def encode_batch_fast(self, texts, **how):
+            sent.append(len(texts))
+            return plain.encode_batch_fast(texts, **how)
+
+    encoder.tokenizer = Counting()
+    draw = random.Random(3)
+    words = ["".join(draw.choices("abcdefghÉéß", k=9)) for _ in range(3000)]
+    texts = [" ".join(w + draw.choice(["", ",", "%%%", ".$$", "'"]) for w in words[at : at + 300]) for at in range(0, 3000, 300)]
+    texts += ["", " ", "\ta b\x0bC\r\n\nd ", "it's I'LL é x́, İ ΑΣ × a÷b", "a<|endoftext|> <|ENDOFTEXT|>!!", "a1b2 12,3 ?? — …"]
+    for part in (texts, texts[8:], ["", ""], []):
+        found = encoder(pa.array(part, pa.string()))
+        assert [np.frombuffer(raw, "<u4").tolist() for raw in found] == [
+            plain.encode(t, add_special_tokens=False).ids for t in part
+        ]
+    assert not marked or sum(sent) < 100
