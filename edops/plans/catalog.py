@@ -225,9 +225,9 @@ def price_statistics(spark, sf_dir):
 # --- Event contract ---------------------------------------------------------------------
 
 
-def _parsed(spark, sf_dir):
+def _parsed(spark, sf_dir, *kept: str):
     raw = fx.raw_events(spark, sf_dir)
-    return flatten_events(parse_events(raw), ("seq", "number", "raw_value"))
+    return flatten_events(parse_events(raw), ("seq", "number", *kept))
 
 
 @query("event_parse")
@@ -242,13 +242,14 @@ def event_validation(spark, sf_dir):
     )
 
 
-def _raw_ledger(spark, sf_dir):
-    return ev.ledger(stage(_parsed(spark, sf_dir), "parsed"), MINUTES, span=fx.ORDER_SPAN)
+def _raw_ledger(spark, sf_dir, *kept: str):
+    # The counters need no raw text, which is the widest column of all.
+    return ev.ledger(stage(_parsed(spark, sf_dir, *kept), "parsed"), MINUTES, span=fx.ORDER_SPAN)
 
 
 @query("quarantine")
 def quarantine(spark, sf_dir):
-    rows = ev.quarantine(_raw_ledger(spark, sf_dir))
+    rows = ev.quarantine(_raw_ledger(spark, sf_dir, "raw_value"))
     # The rejected text itself: the id inside it, or the whole text if it is no JSON.
     inside = F.coalesce(F.get_json_object("raw_value", "$.event_id"), F.col("raw_value"))
     return rows.select("seq", "event_id", "errors", inside.alias("raw_event"))

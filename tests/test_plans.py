@@ -73,3 +73,18 @@ def test_silver_moves_rows_once(spark, tmp_path):
     stored = spark.read.parquet(str(tmp_path / "bronze"))
     tree = plan(clean_visits(stored, "record_order", [])).split("\n\n")[0]
     assert tree.count("Exchange") == 1
+
+
+def test_events_are_searched_once_a_row(spark):
+    rows = fx.events(spark, DATA)
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract(") == 1
+
+
+def test_counters_store_no_raw_text(spark, monkeypatch):
+    from edops.plans import catalog
+
+    stored = {}
+    stage = catalog.stage
+    monkeypatch.setattr(catalog, "stage", lambda df, name: stored.setdefault(name, df.columns) and stage(df, name))
+    catalog.QUERIES["dq_streaming"](spark, DATA)
+    assert "raw_value" not in stored["parsed"] and set(catalog.EVENT_COLUMNS) <= set(stored["parsed"])
