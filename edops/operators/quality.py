@@ -40,21 +40,37 @@ def mark_repeats(
 ) -> DataFrame:
     """Append ``DUPLICATE_VISIT_ID`` to the second and later rows of each key.
 
-    Adds ``occurrence`` (1 for the first row). ``heavy`` defaults to the measured
-    heavy keys, so a key that fills a third of the table is still split. Rows without
-    a key repeat each other.
+    Adds ``occurrence``, see ``number_repeats``.
+    """
+    return flag_repeats(number_repeats(visits, key, order, heavy))
+
+
+def number_repeats(
+    visits: DataFrame, key: str, order: str, heavy: list | None = None
+) -> DataFrame:
+    """Add ``occurrence`` (1 for the first row of each key).
+
+    ``heavy`` defaults to the measured heavy keys, so a key that fills a third of the table
+    is still split. Rows without a key repeat each other.
     """
     # Visit ids begin alike, which a sort compares slowly; a number in front parts them at once.
-    keyed = visits.withColumn("_key", F.coalesce(F.col(key), F.lit(_NO_KEY))).withColumn("_hash", F.xxhash64("_key"))
-    found = heavy_keys(keyed, "_key") if heavy is None else {"_key": heavy}
-    seen = running(keyed, order, [Running("_before", "sum", F.lit(1), before=True)], ["_hash", "_key"], found)
+    filled = F.coalesce(F.col(key), F.lit(_NO_KEY))
+    keyed = visits.withColumn("_hash", F.xxhash64(filled))
+    found = heavy_keys(visits.select(filled.alias("_key")), "_key") if heavy is None else {"_key": heavy}
+    if found["_key"]:
+        keyed = keyed.withColumn("_key", filled)
+    # Without heavy keys the key itself will do, nulls being one group, and is moved once only.
+    by = ["_hash", "_key" if found["_key"] else key]
+    seen = running(keyed, order, [Running("_before", "sum", F.lit(1), before=True)], by, found)
+    return seen.withColumn("occurrence", (F.col("_before") + 1).cast("long")).drop("_before", "_key", "_hash")
+
+
+def flag_repeats(numbered: DataFrame) -> DataFrame:
+    """Append ``DUPLICATE_VISIT_ID`` to the rows that are not the first of their key."""
     flags = F.col("data_quality_flags")
-    marked = F.when(F.col("_before") > 0, F.array_append(flags, F.lit(REPEATED))).otherwise(flags)
-    return (
-        seen.withColumn("data_quality_flags", marked)
-        .withColumn("data_quality_status", quality_status(F.col("data_quality_flags")))
-        .withColumn("occurrence", (F.col("_before") + 1).cast("long"))
-        .drop("_before", "_key", "_hash")
+    marked = F.when(F.col("occurrence") > 1, F.array_append(flags, F.lit(REPEATED))).otherwise(flags)
+    return numbered.withColumn("data_quality_flags", marked).withColumn(
+        "data_quality_status", quality_status(F.col("data_quality_flags"))
     )
 
 

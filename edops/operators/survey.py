@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from edops.functions.numeric import code_number, real_number, scaled_number
-from edops.operators.quality import add_quality, mark_repeats
+from edops.operators.quality import add_quality, flag_repeats, number_repeats
 from edops.schemas import (
     CLEAN_VISITS,
     DISPOSITIONS,
@@ -22,26 +23,38 @@ from edops.schemas import (
 )
 
 _BLANKS = " \t\x0b\x0c\x1c\x1d\x1e\x1f"
+# Fields read as whole numbers: the cast leaves out blanks at both ends itself.
+_WHOLE = [
+    "visit_month", "age", "triage_level", "temperature_f", "heart_rate", "respiratory_rate", "systolic_bp",
+    "diastolic_bp", "spo2", "pain_score", "waiting_time_minutes", "length_of_stay_minutes",
+]
 
 
 def parse_fields(
-    records: DataFrame, layout: dict[str, tuple[int, int]] = SURVEY_LAYOUT, raw: str = "raw_record"
+    records: DataFrame,
+    layout: dict[str, tuple[int, int]] = SURVEY_LAYOUT,
+    raw: str = "raw_record",
+    untrimmed: Collection[str] = (),
 ) -> DataFrame:
     """Replace ``raw`` by one trimmed text column per layout field.
 
     Records are ASCII, so fields are cut by byte; cutting by character would count
-    through the record from its start for every field.
+    through the record from its start for every field. ``untrimmed`` fields keep their blanks,
+    for readers to whom these make no difference.
     """
     record = F.col(raw).cast("binary")
 
-    def cut(start: int, width: int) -> Column:
-        text = F.trim(F.substring(record, start, width).cast("string"))
+    def cut(name: str, start: int, width: int) -> Column:
+        whole = F.substring(record, start, width).cast("string")
+        if name in untrimmed:
+            return whole
+        text = F.trim(whole)
         # Control blanks are rare; only a field that starts or ends with one pays for
         # the slower trim. They all sort before the space.
         odd = (text != "") & ((text < " ") | (F.right(text, F.lit(1)) < " "))
         return F.when(odd, F.trim(text, F.lit(_BLANKS))).otherwise(text)
 
-    fields = [cut(start, width).alias(name) for name, (start, width) in layout.items()]
+    fields = [cut(name, *place).alias(name) for name, place in layout.items()]
     return records.select(*[c for c in records.columns if c != raw], *fields)
 
 
@@ -106,15 +119,16 @@ def clean_visits(
     """Bronze records to the clean visit table with quality flags.
 
     Flagged rows stay. Second and later rows of a visit id, in ``order``, get
-    ``DUPLICATE_VISIT_ID`` as their last flag.
+    ``DUPLICATE_VISIT_ID`` as their last flag. Rows move once, by visit id; what follows from
+    other columns or is the same everywhere, like the flags, is added after that.
     """
-    text = parse_fields(bronze)
+    # Of a field of one byte only a byte that is no blank counts, trimmed or not.
+    codes = [name for name, (_, width) in SURVEY_LAYOUT.items() if width == 1]
+    text = parse_fields(bronze, untrimmed={*_WHOLE, *codes})
     f = {name: F.col(name) for name in SURVEY_LAYOUT}
     typed = text.select(
         F.col(order).alias("_order"),
         visit_id(record_id(F.col("source_row_number"))).alias("visit_id"),
-        F.lit(None).cast("string").alias("patient_id"),
-        F.lit(None).cast("timestamp").alias("arrival_time"),
         arrival_hour(f["arrival_time"]).alias("arrival_hour"),
         code_number(f["visit_month"]).alias("visit_month"),
         code_label(f["visit_weekday"], WEEKDAY_CODES).alias("visit_weekday"),
@@ -132,15 +146,21 @@ def clean_visits(
             for name in ["heart_rate", "respiratory_rate", "systolic_bp", "diastolic_bp", "spo2", "pain_score"]
         ],
         F.nullif(f["diagnosis_code"], F.lit("")).alias("diagnosis_code"),
-        F.lit(None).cast("string").alias("diagnosis_description"),
         disposition(f).alias("disposition"),
         admitted(f).alias("admitted_flag"),
         scaled_number(f["waiting_time_minutes"]).alias("waiting_time_minutes"),
         scaled_number(f["length_of_stay_minutes"]).alias("length_of_stay_minutes"),
-        F.lit(SOURCE_SYSTEM).alias("source_system"),
         record_id(F.col("source_row_number")).alias("source_record_id"),
         real_number(f["patient_weight"]).alias("source_weight"),
         F.col("ingestion_timestamp"),
     )
-    flagged = add_quality(typed)
-    return mark_repeats(flagged, "visit_id", "_order", heavy).select(*CLEAN_VISITS)
+    numbered = number_repeats(typed, "visit_id", "_order", heavy)
+    whole = numbered.withColumns(
+        {
+            "patient_id": F.lit(None).cast("string"),
+            "arrival_time": F.lit(None).cast("timestamp"),
+            "diagnosis_description": F.lit(None).cast("string"),
+            "source_system": F.lit(SOURCE_SYSTEM),
+        }
+    )
+    return flag_repeats(add_quality(whole)).select(*CLEAN_VISITS)

@@ -16,6 +16,13 @@ DISPOSITION_FLAGS = [
     "other_disposition",
 ]
 
+# Survey texts that have the width of their field, whatever the order line holds.
+_FULL = {
+    "visit_month", "arrival_by_ambulance", "temperature_f", "heart_rate", "respiratory_rate", "systolic_bp",
+    "diastolic_bp", "spo2", "triage_level", "pain_score", "hospital_code", "patient_code", "survey_year",
+    *DISPOSITION_FLAGS,
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -112,12 +119,12 @@ def record_texts() -> dict[str, Column]:
 
 
 def raw_record(texts: dict[str, Column]) -> Column:
-    """Fixed-width record with each text right-aligned in its field."""
+    """Fixed-width record with each text right-aligned in its field; ``_FULL`` texts fill theirs."""
     pieces, position = [], 1
     for name, (start, width) in sorted(SURVEY_LAYOUT.items(), key=lambda item: item[1]):
         if start > position:
             pieces.append(F.lit(" " * (start - position)))
-        pieces.append(F.lpad(texts[name], width, " "))
+        pieces.append(texts[name] if name in _FULL else F.lpad(texts[name], width, " "))
         position = start + width
     pieces.append(F.lit(" " * (RECORD_WIDTH - position + 1)))
     return F.concat(*pieces)

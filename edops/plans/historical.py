@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from edops.operators.cohorts import build_cohorts
 from edops.operators.quality import quality_report
 from edops.operators.survey import clean_visits
-from edops.session import stage
+from edops.session import stage, transient_shuffles
 from edops.sources.fixed_width import read_bronze
 from edops.sources.sinks import write_laid_out
 from edops.streaming.metrics import metrics_table, timed
@@ -23,11 +23,11 @@ def run(
     spark: SparkSession, source: str, target: str, ingested_at: datetime | None = None, replace: bool = False
 ) -> dict[str, DataFrame]:
     """Run every layer from stored tables and return them, with a metrics row."""
-    with timed() as elapsed:
+    with timed() as elapsed, transient_shuffles(spark):
         bronze = _store(read_bronze(spark, source, ingested_at), target, "bronze_visits", replace)
         visits = _store(stage(clean_visits(bronze), "clean"), target, "clean_ed_visits", replace)
         report = _store(quality_report(visits), target, "dq_historical", replace)
-        cohorts = _store(build_cohorts(visits), target, "historical_cohorts", replace)
+        cohorts = _store(stage(build_cohorts(visits), "cohorts"), target, "historical_cohorts", replace)
         totals = report.first()
         row = (
             "historical",

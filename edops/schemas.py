@@ -198,7 +198,7 @@ TABLE_LAYOUT: dict[str, tuple[str | None, list[str]]] = {
 # Day columns that hold a single day per run: their rows need no exchange before a write.
 ONE_DAY_PER_RUN = ["ingestion_timestamp", "as_of"]
 
-# Tables whose rows come file by file and so lie by their filter columns already.
+# Tables whose rows come file by file, so that equal values of their filter columns lie together already.
 IN_FILE_ORDER = ["bronze_visits"]
 
 # Columns of the three clinical extracts.

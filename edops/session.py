@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +23,8 @@ _SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _local_roots: dict[str, str] = {}
 
 
@@ -31,6 +35,20 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def transient_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of a query go when it ends, not when the driver collects its garbage.
+
+    For jobs whose every step ends in a stored table, so that nothing is exchanged again.
+    """
+    before = spark.conf.get(_DROP_SHUFFLES, "false")
+    spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_DROP_SHUFFLES, before)
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder for staged tables: the cluster's checkpoint folder.
 

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import hashlib
+import re
+import time
 from datetime import datetime
 
 import pytest
@@ -11,6 +13,8 @@ from edops.operators.quality import quality_report
 from edops.operators.survey import clean_visits, diagnosis_group
 from edops.plans import catalog, fixtures, historical
 from edops.schemas import CLEAN_VISITS, RECORD_WIDTH, SURVEY_LAYOUT
+from edops.session import stage
+from edops.sources import sinks
 from edops.sources.fixed_width import read_bronze
 from edops.sources.sinks import write_table
 
@@ -31,6 +35,16 @@ def bronze(spark, *records):
     return spark.createDataFrame(rows, "raw_record string, source_row_number long, ingestion_timestamp timestamp")
 
 
+def whole_plan(spark, df) -> str:
+    """The optimised plan with all columns of every step."""
+    old = spark.conf.get("spark.sql.debug.maxToStringFields")
+    spark.conf.set("spark.sql.debug.maxToStringFields", 1000)
+    try:
+        return df._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.debug.maxToStringFields", old)
+
+
 def clean(spark, *records):
     return clean_visits(bronze(spark, *records), heavy=[]).orderBy("source_record_id").collect()
 
@@ -161,6 +175,84 @@ def test_a_line_is_checked_once(spark, tmp_path):
     assert plan.count("is_valid_utf8") + plan.count("isValid") <= 1
 
 
+def test_raw_records_are_stored_in_line_order_without_a_sort(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    for name, n in (("a", 300), ("b", 900), ("c", 600)):  # tasks read large files first
+        (tmp_path / "in" / name).write_text("\n".join(record(age=f"{i % 90:03}") for i in range(n)))
+    rows = read_bronze(spark, str(tmp_path / "in"), STAMP).coalesce(1)
+    monkeypatch.setattr(type(rows), "sortWithinPartitions", lambda *_: pytest.fail("raw records are sorted"))
+    sinks.write_laid_out(rows, str(tmp_path / "out"), "bronze_visits")
+    stored = spark.read.parquet(str(tmp_path / "out")).coalesce(1).select("source_filename", "source_row_number").collect()
+    assert stored == [(name, i + 1) for name, n in (("b", 900), ("c", 600), ("a", 300)) for i in range(n)]
+    assert (tmp_path / "out" / "partition_date=2026-01-01").is_dir()
+
+
+def test_ascii_check_does_not_count_characters(spark, tmp_path):
+    (tmp_path / "ed2022").write_text("plain\n")
+    plan = read_bronze(spark, str(tmp_path / "ed2022"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "char_length" not in plan and "length(value" not in plan.replace("octet_length(", "")
+
+
+@pytest.mark.parametrize("bad", [bytes([b]) for b in (0x80, 0xBF, 0xC2, 0xE9, 0xF0, 0xFF)] + ["é".encode(), "€".encode(), "😀".encode()])
+def test_any_byte_outside_ascii_fails_wherever_it_stands(spark, tmp_path, bad):
+    path = tmp_path / "bad"
+    for line in (bad + b"x" * 40, b"x" * 40 + bad, b"x" * 20 + bad + b"x" * 20):
+        path.write_bytes(b"plain\n" + line + b"\n")
+        with pytest.raises(Exception, match="not plain ASCII"):
+            read_bronze(spark, str(path)).collect()
+    path.write_bytes(bytes(b for b in range(128) if b not in (10, 13)) + b"\n")
+    assert len(read_bronze(spark, str(path)).collect()) == 1
+
+
+def test_numbers_and_codes_do_not_need_trimmed_fields(spark):
+    blanks = " \t\x0b\x0c\x1c\x1d\x1e\x1f"
+    rows = [record(age=f"{a}7{b}", waiting_time_minutes=f"{a}{b}8{a}", triage_level=f"{a}3", spo2=f"9{b}{a}") for a in blanks for b in blanks]
+    rows += [record(sex=b, visit_weekday=b, admit_hospital=b, age=b * 3, pain_score=b * 2) for b in blanks]
+    found = clean(spark, *rows)
+    read = [tuple(r[c] for c in ("age", "waiting_time_minutes", "triage_level", "spo2")) for r in found[: len(blanks) ** 2]]
+    assert set(read) == {(7, 8.0, 3, 9.0)}
+    blank = [tuple(r[c] for c in ("sex", "visit_weekday", "admitted_flag", "disposition", "age", "pain_score")) for r in found[len(blanks) ** 2 :]]
+    assert set(blank) == {(None, None, False, None, None, None)}
+    plan = whole_plan(spark, clean_visits(bronze(spark, record()), heavy=[]))
+    places = set(re.findall(r"trim\(cast\(substring\(cast\(raw_record#\d+ as binary\), (\d+), ", plan))
+    texts = ("arrival_time", "reason_for_visit_code", "diagnosis_code", "patient_weight")
+    assert places == {str(SURVEY_LAYOUT[name][0]) for name in texts}
+
+
+def test_flags_and_constants_are_not_exchanged(spark):
+    plan = whole_plan(spark, clean_visits(bronze(spark, record()), heavy=[]))
+    below = plan[plan.index("Window [") :]
+    assert "visit_id#" in below and not any(c in below for c in ("data_quality_flags", "source_system", "_key#", "diagnosis_description"))
+
+
+def test_rows_without_a_key_repeat_each_other(spark):
+    from edops.operators.quality import number_repeats
+
+    rows = spark.createDataFrame([(None, 1), ("a", 2), (None, 3), ("", 4), ("a", 5)], "k string, o long")
+    for heavy in ([], ["a"], ["\0"], None):
+        out = {r["o"]: r["occurrence"] for r in number_repeats(rows, "k", "o", heavy).collect()}
+        assert out == {1: 1, 2: 1, 3: 2, 4: 1, 5: 2}
+
+
+def test_historical_run_leaves_no_shuffle_files_and_builds_cohorts_once(spark, tmp_path, monkeypatch):
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {str(files.apply(i).getName()) for i in range(files.size()) if str(files.apply(i).getName()).startswith("shuffle_")}
+
+    staged = []
+    monkeypatch.setattr(historical, "stage", lambda df, name: staged.append(name) or stage(df, name))
+    (tmp_path / "ed2022").write_text("\n".join(record(age=f"{i % 90:03}", triage_level="03") for i in range(500)))
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old, before = spark.conf.get(setting), shuffles()
+    historical.run(spark, str(tmp_path / "ed2022"), str(tmp_path / "out"), STAMP)
+    assert staged == ["clean", "cohorts"] and spark.conf.get(setting) == old
+    for _ in range(50):  # files are deleted in the background
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before
+
+
 def test_flags_are_compiled_and_ids_sorted_by_a_number_first(spark):
     plan = clean_visits(bronze(spark, record()), heavy=[])._jdf.queryExecution().optimizedPlan().toString()
     assert "lambda" not in plan
